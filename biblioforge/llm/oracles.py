@@ -1,19 +1,42 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 SQL = {
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM words),
 flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
 reach AS (SELECT doc_id AS d, doc_id AS r FROM sets UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.r = links.a)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(r) FROM reach WHERE reach.d = sets.doc_id) AS component_id FROM sets
+""",
+    # Windows of 2**k lines (k up to 13) of the lines with a word; a window of 20 words or more that has an earlier copy goes.
+    "op2_line_dedup": """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+numbered AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS line FROM split),
+worded AS (
+  SELECT doc_id, line_no, line, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos,
+    len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
+  FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+docs AS (SELECT doc_id, list(md5(line) ORDER BY pos) AS h, list(w ORDER BY pos) AS ws FROM worded GROUP BY doc_id),
+levels AS (SELECT doc_id, h, ws, CAST(pow(2, k) AS BIGINT) AS size FROM docs, range(0, 14) t(k) WHERE pow(2, k) <= len(h)),
+windows AS (SELECT doc_id, h, ws, size, unnest(range(1, len(h) - size + 2)) AS pos FROM levels),
+named AS (SELECT doc_id, pos, size, md5(array_to_string(h[pos:pos+size-1], ' ')) AS name, list_sum(ws[pos:pos+size-1]) AS words FROM windows),
+firsts AS (SELECT size AS s, name AS n, min((doc_id, pos)) AS first FROM named GROUP BY ALL),
+later AS (SELECT doc_id, pos, size FROM named JOIN firsts ON size = s AND name = n WHERE words >= 20 AND (doc_id, pos) <> first),
+gone AS (SELECT DISTINCT w.doc_id, w.line_no FROM worded w JOIN later t ON w.doc_id = t.doc_id AND w.pos >= t.pos AND w.pos < t.pos + t.size),
+left_over AS (
+  SELECT n.doc_id, coalesce(string_agg(line, chr(10) ORDER BY n.line_no), '') AS text
+  FROM numbered n WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = n.doc_id AND g.line_no = n.line_no) GROUP BY n.doc_id)
+SELECT s.doc_id, (SELECT count(*) FROM worded w WHERE w.doc_id = s.doc_id) AS n_lines,
+  (SELECT count(*) FROM gone g WHERE g.doc_id = s.doc_id) AS n_removed,
+  CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars_left, md5(coalesce(text, '')) AS text_md5
+FROM split s LEFT JOIN left_over o ON o.doc_id = s.doc_id
 """,
 }

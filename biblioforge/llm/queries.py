@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from biblioforge.llm import oracles
+from biblioforge.llm.bpe import encode_digests
+from biblioforge.llm.common import Scratch
+from biblioforge.llm.decontaminate import contaminated
+from biblioforge.llm.html_text import main_text
+from biblioforge.llm.licenses import document_files, scan_licenses
+from biblioforge.llm.line_dedup import dedup_lines
 from biblioforge.llm.ngram_jaccard import similarity_components
+from biblioforge.llm.quality import quality_rules
+from biblioforge.llm.token_counts import TokenRollup
+from biblioforge.llm.token_orc import token_checksums, write_token_orc
+from biblioforge.llm.toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +29,53 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars_left"), F.md5(text.cast("binary")).alias("text_md5"))
+
+
+def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "token-orc").path("ids")
+    write_token_orc(_table(spark, sf_dir, "documents"), path)
+    return token_checksums(spark, path)
+
+
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(_table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(document_files(_table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as one batch, delivered twice; the second delivery changes nothing."""
+    rollup = TokenRollup(spark, Scratch(spark, "token-counts").path("rollup"))
+    changes = _table(spark, sf_dir, "documents").withColumn("op", F.lit("insert"))
+    rollup.commit("documents", changes)
+    rollup.commit("documents", changes)
+    return rollup.totals()
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_ngram_jaccard_join]
+    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity]
     return {f.__name__: f for f in own}
 
 
