@@ -31,7 +31,8 @@ from biblioforge.llm.components import connected_components
 
 BLOCK = 1_000_000  # shingles that a task holds before it sends them
 BUCKET_BYTES = 4 << 20  # input bytes per hash bucket
-PIVOTS, ROUNDS, PAIRS = 4, 6, 50_000  # pivots of a shingle in a round; rounds; undecided pairs that end them early
+PIVOTS, ROUNDS = 2, 2  # pivots of a shingle in a round; rounds
+BLOCK_NODES = 256  # documents that are compared with as many others at once
 MULTI = 0xFFFF
 
 
@@ -272,24 +273,13 @@ def _link(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     shared = posts.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
     posts = scratch.keep(posts.join(shared, "h"), "posts")
     comp_of = nodes.select(F.col("node").alias("gid"), "comp")
-    for number in range(ROUNDS + 1):
-        now = posts.join(comp_of, "gid")
-        per = now.groupBy("h", "comp").agg(F.count("*").alias("c")).groupBy("h").agg(F.expr("sum(c) * sum(c) - sum(c * c)").alias("open"))
-        open_h = scratch.keep(per.where("open > 0"), "open")
-        open_pairs = open_h.agg(F.coalesce(F.sum("open") / 2, F.lit(0))).first()[0]
-        if not open_pairs:
-            break
-        last = open_pairs <= PAIRS or number == ROUNDS
-        now = now.join(open_h.select("h"), "h")
+    for number in range(ROUNDS):
+        now = _undecided(posts, comp_of)
         fits = f"ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
         mine = now.select("h", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-        if last:
-            other = now.select("h", F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = mine.join(other, "h").where(f"ga < gb and {fits}")
-        else:
-            seeds = [F.min_by(F.struct("gid", "n", "comp"), F.xxhash64("gid", F.lit(number * PIVOTS + i))) for i in range(PIVOTS)]
-            pivots = now.groupBy("h").agg(F.array(*seeds).alias("p")).select("h", F.explode("p").alias("p"))
-            pairs = mine.join(pivots.select("h", F.col("p.gid").alias("gb"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb")), "h").where(fits)
+        seeds = [F.min_by(F.struct("gid", "n", "comp"), F.xxhash64("gid", F.lit(number * PIVOTS + i))) for i in range(PIVOTS)]
+        pivots = now.groupBy("h").agg(F.array(*seeds).alias("p")).select("h", F.explode("p").alias("p"))
+        pairs = mine.join(pivots.select("h", F.col("p.gid").alias("gb"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb")), "h").where(fits)
         pairs = pairs.select("ga", "gb").distinct()
         pairs = pairs.join(members.select(F.col("gid").alias("ga"), F.col("node").alias("a")), "ga").join(members.select(F.col("gid").alias("gb"), F.col("node").alias("b")), "gb")
         found = scratch.keep(_verify(pairs, sets, percent), "found")
@@ -297,9 +287,77 @@ def _link(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
         comps = connected_components(links, scratch)
         comp_of = nodes.select(F.col("node").alias("gid")).join(comps.withColumnRenamed("node", "gid"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
         comp_of = scratch.keep(comp_of, "comp")
-        if last:
-            break
-    return comps
+    now = scratch.keep(_undecided(posts, comp_of), "undecided")
+    if not now.limit(1).count():
+        return comps
+    found = _between_blocks(now, members, comp_of, sets, percent, scratch)
+    return connected_components(scratch.keep(links.union(found), "all-links"), scratch)
+
+
+def _undecided(posts: DataFrame, comp_of: DataFrame) -> DataFrame:
+    """h, gid, n, comp of the shingles that are shared by groups of different components."""
+    now = posts.join(comp_of, "gid")
+    mixed = now.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
+    return now.join(mixed, "h").select("h", "gid", "n", "comp")
+
+
+def _between_blocks(now: DataFrame, members: DataFrame, comp_of: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links between components, one for each two components of two blocks at least.
+
+    Groups that shared shingles chain together are a cluster; its members stand in blocks of about BLOCK_NODES, with
+    large components in blocks of their own. Two blocks are compared as a whole in one task, set against set, so
+    their pairs are never rows; blocks of one component aren't compared.
+    """
+    star = now.join(now.groupBy("h").agg(F.min("gid").alias("b")), "h").select(F.col("gid").alias("a"), "b").distinct()
+    cluster = connected_components(star, scratch).select(F.col("node").alias("gid"), F.col("comp").alias("cluster"))
+    part = scratch.keep(cluster.join(comp_of, "gid").join(members, "gid").select("cluster", "comp", "node"), "clusters")
+    size = part.groupBy("cluster", "comp").agg(F.count("*").alias("c"))
+    small = size.groupBy("cluster").agg(F.sum(F.when(F.col("c") * 2 <= BLOCK_NODES, F.col("c")).otherwise(0)).alias("rest"))
+    wide = lambda n: F.ceil(F.col(n) / BLOCK_NODES).cast("long")
+    one = F.col("c") * 2 > BLOCK_NODES
+    placed = part.join(size, ["cluster", "comp"]).join(small, "cluster")
+    placed = placed.select("cluster", "comp", "node", F.when(one, F.col("comp")).alias("alone"), F.when(one, F.pmod(F.xxhash64("node"), wide("c"))).otherwise(F.pmod(F.xxhash64("comp"), F.greatest(wide("rest"), F.lit(1)))).alias("sub"))
+    full = placed.join(sets.select("node", "n", "shingles"), "node")
+    blocks = full.groupBy("cluster", "alone", "sub").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.collect_list(F.struct("node", "comp", "shingles")).alias("m"))
+    blocks = scratch.keep(blocks.withColumn("id", F.struct(F.coalesce("alone", F.lit(-1)).alias("k"), "sub")), "blocks")
+    light = blocks.select("cluster", "id", "alone", "lo", "hi")
+    two = light.alias("x").join(light.alias("y"), F.expr(f"x.cluster = y.cluster and x.id <= y.id and not (x.alone <=> y.alone and x.alone is not null) and 100 * x.hi >= {percent} * y.lo and 100 * y.hi >= {percent} * x.lo"))
+    two = two.select("x.cluster", F.col("x.id").alias("i"), F.col("y.id").alias("j"))
+    met = two.join(blocks.select("cluster", F.col("id").alias("i"), F.col("m").alias("x")), ["cluster", "i"]).join(blocks.select("cluster", F.col("id").alias("j"), F.col("m").alias("y")), ["cluster", "j"])
+    return scratch.keep(met.select("x", "y").mapInArrow(_compare(percent), "a long, b long"), "found")
+
+
+def _compare(percent: int):
+    def flat(block):
+        m = block.values
+        lists = m.field("shingles")
+        n = np.diff(np.asarray(lists.offsets))
+        n = n[: len(m)]
+        h = np.asarray(lists.flatten())
+        return np.asarray(m.field("node")), np.asarray(m.field("comp")), n, h, np.repeat(np.arange(len(n)), n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for x, y in zip(batch.column(0), batch.column(1), strict=True):
+                (xi, xc, xn, xh, xo), (yi, yc, yn, yh, yo) = flat(x), flat(y)
+                order = np.argsort(yh, kind="stable")
+                yh, yo = yh[order], yo[order]
+                lo, hi = np.searchsorted(yh, xh, "left"), np.searchsorted(yh, xh, "right")
+                common = np.zeros((len(xi), len(yi)), np.int64)
+                for i, start in enumerate(np.cumsum(xn) - xn):  # one document against the other block
+                    lo_i, len_i = lo[start : start + xn[i]], (hi - lo)[start : start + xn[i]]
+                    if len_i.sum():
+                        at = np.repeat(lo_i - np.cumsum(len_i) + len_i, len_i) + np.arange(len_i.sum())
+                        common[i] = np.bincount(yo[at], minlength=len(yi))
+                like = (100 * common >= percent * (xn[:, None] + yn[None, :] - common)) & (xc[:, None] != yc[None, :])
+                i, j = np.nonzero(like)
+                _, first = np.unique(np.column_stack((xc[i], yc[j])), axis=0, return_index=True)
+                a.append(xi[i[first]])
+                b.append(yi[j[first]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a) if a else [], pa.int64()), pa.array(np.concatenate(b) if b else [], pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def keep_one_per_component(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
