@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+MODULES = ["scalars"]
+
 
 def modules() -> list:
-    return []
+    return [importlib.import_module(f"biblioforge.plans.{m}") for m in MODULES]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
