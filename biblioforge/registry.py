@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["scalars"]
+MODULES = ["scalars", "relational"]
 
 
 def modules() -> list:
