@@ -86,6 +86,9 @@ def merge_editions(works: DataFrame, keys: list[str], order: str = "_ord", first
 def flatten(works: DataFrame, order: str = "_ord") -> dict[str, DataFrame]:
     """The eight tables of the relational projection; the last record of a work id replaces earlier ones, records without id are skipped."""
     w = pick(works.where("work_id is not null"), ["work_id"], order, last=True)
+    for c in ("authors", "editors", "topics", "data_sources"):
+        if c not in w.columns:
+            w = w.withColumn(c, F.lit(None).cast("array<string>"))
     nested = {"authors", "editors", "topics", "data_sources", "editions"}
     positions = lambda c, name: w.select("work_id", F.posexplode(c).alias("position", name))
     editions = w.select("work_id", F.explode("editions").alias("e")).select("work_id", "e.*").dropDuplicates(["work_id", "edition_number"])
