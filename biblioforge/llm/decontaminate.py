@@ -15,6 +15,8 @@ The items are a stated query set: they go to all executors in blocks of bounded
 
 from __future__ import annotations
 
+import functools
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,20 +38,18 @@ def allowed(length: int, share: float = SHARE) -> int:
     return int(length * share)
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
-    """Word edit distance, or limit + 1 if it is larger."""
-    if abs(len(a) - len(b)) > limit:
-        return limit + 1
+def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Word edit distance."""
     if len(a) == len(b) and (n := int((a != b).sum())) <= 1:
         return n
-    row = np.arange(len(b) + 1)
     steps = np.arange(len(b) + 1)
-    for i, x in enumerate(a, 1):
-        best = np.minimum(row[1:] + 1, row[:-1] + (b != x))
-        row = np.minimum.accumulate(np.concatenate(([i], best)) - steps) + steps
-        if row.min() > limit:
-            return limit + 1
-    return min(int(row[-1]), limit + 1)
+    row = steps
+    for i, x in enumerate(a.tolist(), 1):
+        best = np.empty(len(b) + 1, np.int64)
+        best[0] = i
+        np.minimum(row[1:] + 1, row[:-1] + (b != x), out=best[1:])
+        row = np.minimum.accumulate(best - steps) + steps
+    return int(row[-1])
 
 
 def sampled_positions(length: int) -> np.ndarray:
@@ -109,6 +109,13 @@ class Items:
                 for i, keys in zip(part, sampled_keys(w, walks(w, 3 * n), n).tolist(), strict=True):
                     for x in keys:
                         table.setdefault(x, []).append(i)
+        # Which lengths of items each pair belongs to: bit k stands for the k-th length, and every 64th after it.
+        self.bit = {n: k % 64 for k, n in enumerate(self.lengths)}
+        self.mask = np.zeros(len(self.all_pairs), np.uint64)
+        for i, p in self.pairs.items():
+            self.mask[np.searchsorted(self.all_pairs, p)] |= np.uint64(1 << self.bit[len(self.words[i])])
+        self.word_sets = {i: set(w.tolist()) for i, w in self.words.items()}
+        self.pair_sets = {i: set(p.tolist()) for i, p in self.pairs.items()}
         # Few bits of the hash tell most foreign pairs at once.
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.all_pairs >> np.uint64(42)).astype(np.int64)] = True
@@ -117,38 +124,49 @@ class Items:
     def pair(w: np.ndarray) -> np.ndarray:
         return mix(w[:-1] * np.uint64(0x9E3779B97F4A7C15) + w[1:])
 
-    def known_pairs(self, pairs: np.ndarray) -> np.ndarray:
-        """Whether each pair stands in an item."""
-        out = self.bits[(pairs >> np.uint64(42)).astype(np.int64)]
-        at = np.flatnonzero(out)
+    def pair_at(self, w: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return mix(w[places] * np.uint64(0x9E3779B97F4A7C15) + w[places + 1])
+
+    def known_pairs(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs that stand in an item, and their masks."""
+        at = np.flatnonzero(self.bits[(pairs >> np.uint64(42)).astype(np.int64)])
         where = np.minimum(np.searchsorted(self.all_pairs, pairs[at]), len(self.all_pairs) - 1)
-        out[at] = self.all_pairs[where] == pairs[at]
-        return out
+        same = self.all_pairs[where] == pairs[at]
+        return at[same], self.mask[where[same]]
 
     @staticmethod
     def rows(length: int) -> int:
         """Walks at once, for bounded memory."""
         return max(8, (1 << 23) // (3 * length * REPEATS))
 
-    def find(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, first word, distance) of the items that texts hold; a text: its words, and known_pairs of them."""
+    def find(self, texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, first word, distance) of the items that texts hold; a text: its words, and known_pairs of its pairs."""
         wanted: dict[tuple[int, int], list[tuple[int, int]]] = {}  # (text, start) -> (count of known pairs, length)
-        for t, (w, hit) in enumerate(texts):
-            sums = np.concatenate(([0], np.cumsum(hit)))
+        for t, (w, places, masks) in enumerate(texts):
+            totals = ((masks[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(0)
             for n in self.lengths:
                 limit = allowed(n, self.share)
-                size = min(n, len(w))
+                size, need = min(n, len(w)), n - 1 - 2 * limit
                 if size < n - limit:
                     break
-                count = sums[size - 1 :] - sums[: len(sums) - size + 1]
-                for s in np.flatnonzero(count >= n - 1 - 2 * limit).tolist():
+                if totals[self.bit[n]] < need:
+                    continue
+                own = places[(masks >> np.uint64(self.bit[n])) & np.uint64(1) == 1]
+                sums = np.zeros(len(w) + 1, np.int64)
+                sums[own + 1] = 1
+                sums = np.cumsum(sums)  # sums[k]: known pairs before place k
+                count = sums[size - 1 : len(w)] - sums[: len(w) - size + 1]
+                for s in np.flatnonzero(count >= need).tolist():
                     wanted.setdefault((t, s), []).append((int(count[s]), n))
         if not wanted:
             return
         # The windows with the most known pairs first: what they confirm needs no further look.
         order = sorted(wanted, key=lambda x: (x[0], -max(wanted[x])[0], x[1]))
         width = max(self.lengths)
-        found, pairs = set(), {}
+        pairs_of = functools.lru_cache(4)(lambda t: self.pair_at(texts[t][0], texts[t][1]))
+        found: set[tuple[int, int]] = set()
+        far: dict[tuple[int, int], list[tuple[int, int]]] = {}  # (text, item) -> windows that don't match, with their distance
+        own_places: dict[tuple[int, int], list[int]] = {}  # (text, item) -> places of the item's pairs
         for k in range(0, len(order), self.rows(width)):
             part = order[k : k + self.rows(width)]
             words = np.zeros((len(part), width), np.uint64)
@@ -167,16 +185,24 @@ class Items:
                     for i in {i for x in keys if x in table for i in table[x]}:
                         if (t, i) in found:
                             continue
-                        w = texts[t][0]
-                        if t not in pairs:
-                            pairs = {t: self.pair(w)}
+                        w, places, _ = texts[t]
+                        if (t, i) not in own_places:
+                            own = self.pair_sets[i]
+                            own_places[t, i] = [p for p, x in zip(places.tolist(), pairs_of(t).tolist(), strict=True) if x in own]
                         size = min(n, len(w) - s)
-                        if np.isin(pairs[t][s : s + size - 1], self.pairs[i]).sum() < n - 1 - 2 * limit:
+                        if bisect_left(own_places[t, i], s + size - 1) - bisect_left(own_places[t, i], s) < n - 1 - 2 * limit:
+                            continue
+                        if sum([x in self.word_sets[i] for x in w[s : s + size].tolist()]) < n - limit:  # an edit costs one word of the item at most
+                            continue
+                        # A window one word on is at most two edits away, so near a window that is far off none can match.
+                        if any(d - 2 * abs(s - at) > limit for at, d in far.get((t, i), ())):
                             continue
-                        d = edit_distance(w[s : s + size], self.words[i], limit)
+                        d = edit_distance(w[s : s + size], self.words[i])
                         if d <= limit:
                             found.add((t, i))
                             yield t, i, s, d
+                        else:
+                            far.setdefault((t, i), []).append((s, d))
 
 
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("distance", pa.int64())])
@@ -199,11 +225,13 @@ def _search(items: list[tuple[int, str]], share: float):
             words = word_hashes(raw, starts, ends)
             size = np.array([len(d) + 1 for d in data])
             first = np.searchsorted(starts, np.concatenate(([0], np.cumsum(size))))
-            hit = np.append(known.known_pairs(known.pair(words)), False) if len(words) > 1 else np.zeros(len(words), bool)
-            hit[first[1:][(first[1:] > 0) & (first[1:] <= len(hit))] - 1] = False  # a pair across two documents is none
-            sums = np.concatenate(([0], np.cumsum(hit)))
-            near = [k for k in np.flatnonzero(sums[first[1:]] - sums[first[:-1]] >= least).tolist() if first[k + 1] - first[k] > 1]
-            spans = [(words[first[k] : first[k + 1]], hit[first[k] : first[k + 1] - 1]) for k in near]
+            places, masks = known.known_pairs(known.pair(words)) if len(words) > 1 else (np.empty(0, np.int64), np.empty(0, np.uint64))
+            owner = np.searchsorted(first, places, side="right") - 1
+            inside = places + 1 < first[owner + 1]  # a pair across two documents is none
+            places, masks, owner = places[inside], masks[inside], owner[inside]
+            cuts = np.searchsorted(owner, np.arange(len(data) + 1))
+            near = [k for k in np.flatnonzero(np.diff(cuts) >= least).tolist() if first[k + 1] - first[k] > 1]
+            spans = [(words[first[k] : first[k + 1]], places[cuts[k] : cuts[k + 1]] - first[k], masks[cuts[k] : cuts[k + 1]]) for k in near]
             out = [(ids[near[t]], *x) for t, *x in known.find(spans)]
             cols = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=FOUND)
