@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 import os
 import re
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP_BYTES = 8 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 
 def byte_alphabet() -> list[str]:
@@ -149,6 +150,41 @@ class PairIndex:
         return [bytes(self.to_byte[c] for c in w) for w, _ in self._library.pre_tokenizer.pre_tokenize_str(text)]
 
 
+def make_room(known: dict, chunks: set[bytes]) -> list[bytes]:
+    """The chunks that a cache doesn't know; it first forgets its older half if they would overfill it."""
+    new = [c for c in chunks if c not in known]
+    if len(known) + len(new) > CACHE_WORDS:
+        for c in list(itertools.islice(known, max(len(known) // 2, len(known) + len(new) - CACHE_WORDS))):
+            del known[c]
+        new = [c for c in chunks if c not in known]
+    return new
+
+
+_coders: dict = {}
+
+
+def cached_encoder(name: str) -> CachedEncoder:
+    """The encoder of this Python worker, which serves many tasks."""
+    if name not in _coders:
+        _coders[name] = CachedEncoder(tokenizer_path(name))
+    return _coders[name]
+
+
+# Texts of ASCII and the accented letters of Latin-1 alone, without special tokens, are split here as the tokenizer file
+# says; NFC and case folding leave nothing else to do for them.
+_OTHER = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]|<\|")
+_PLAIN = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+WHOLE = b" "  # marks a key that is a chunk of any other text, to be split by the tokenizer's own rules
+
+
+def keys_of(text: str | None) -> list[bytes]:
+    """Pieces of a text that can be encoded one by one: words of a plain text, else chunks between ASCII white space."""
+    data = (text or "").encode()
+    if _OTHER.search(data):
+        return [WHOLE + c for c in data.split()]
+    return _PLAIN.findall(data.lower() if data.isascii() else text.lower().encode())
+
+
 class CachedEncoder:
     """Digest parts of chunks: (number of ids, ids as text, tokens as text)."""
 
@@ -156,11 +192,8 @@ class CachedEncoder:
         self.bpe, self.known = PairIndex(path), {}
 
     def learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(chunks)
-        split = [self.bpe.pieces(c) for c in new]
+        new = make_room(self.known, chunks)
+        split = [self.bpe.pieces(c[1:]) if c.startswith(WHOLE) else [c] for c in new]
         words = list({w for s in split for w in s if not isinstance(w, int)})
         ids = dict(zip(words, self.bpe.encode(words), strict=True))
         tokens = self.bpe.tokens
@@ -170,7 +203,7 @@ class CachedEncoder:
 
     def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text) of each text."""
-        split = [(t or "").encode().split() for t in texts]
+        split = [keys_of(t) for t in texts]
         self.learn({c for s in split for c in s})
         for s in split:
             got = [g for g in map(self.known.__getitem__, s) if g[0]]
@@ -178,7 +211,7 @@ class CachedEncoder:
             yield sum(g[0] for g in got), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     def ids(self, texts: list[str | None]) -> Iterator[list[int]]:
-        split = [(t or "").encode().split() for t in texts]
+        split = [keys_of(t) for t in texts]
         self.learn({c for s in split for c in s})
         for s in split:
             yield [int(i) for c in s if self.known[c][0] for i in self.known[c][1].split(" ")]
@@ -222,7 +255,7 @@ def encode_digests(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFram
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = CachedEncoder(tokenizer_path(name))
+        coder = cached_encoder(name)
         for ids, texts in groups(batches):
             got = list(coder.digests(texts))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.string())], schema=DIGEST)

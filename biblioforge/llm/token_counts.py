@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioforge.llm.bpe import CachedEncoder, tokenizer_path
+from biblioforge.llm.bpe import cached_encoder, keys_of
 
 KEYS = ["source", "lang", "tokenizer"]
 STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, alive boolean"
@@ -27,14 +27,11 @@ def whitespace_count(texts: list[str | None]) -> list[int]:
 
 
 def bpe_counter(name: str = "word_bpe_49k.json") -> Callable[[list[str | None]], list[int]]:
-    coder: list[CachedEncoder] = []
-
     def count(texts: list[str | None]) -> list[int]:
-        if not coder:
-            coder.append(CachedEncoder(tokenizer_path(name)))
-        split = [(t or "").encode().split() for t in texts]
-        coder[0].learn({c for s in split for c in s})
-        return [sum([coder[0].known[c][0] for c in s]) for s in split]
+        coder = cached_encoder(name)
+        split = [keys_of(t) for t in texts]
+        coder.learn({c for s in split for c in s})
+        return [sum([coder.known[c][0] for c in s]) for s in split]
 
     return count
 
