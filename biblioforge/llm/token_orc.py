@@ -17,13 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from biblioforge.llm.bpe import CACHE_WORDS, groups, tokenizer_path
+from biblioforge.llm.bpe import WHOLE, groups, keys_of, make_room, tokenizer_path
 
 END_ID = 1
 WRITTEN = "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>"
 _KINDS = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
+_known: dict = {}  # ids of chunks by tokenizer, in each Python worker
+
+
 def _encode(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,18 +36,15 @@ def _encode(name: str):
         coder = Tokenizer.from_file(tokenizer_path(name))
         coder.no_padding()
         coder.no_truncation()
-        part, start, known = TaskContext.get().partitionId(), 0, {}
+        part, start, known = TaskContext.get().partitionId(), 0, _known.setdefault(name, {})
         end = np.array([END_ID], np.int32).tobytes()
         for doc_ids, texts in groups(batches):
-            # ASCII white space splits words and is dropped, so chunks between it are encoded alone, each once.
-            split = [(t or "").encode().split() for t in texts]
-            new = list({c for s in split for c in s if c not in known})
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list({c for s in split for c in s})
+            # The tokenizer never merges across these pieces, so each is encoded alone, and once.
+            split = [keys_of(t) for t in texts]
+            new = make_room(known, {c for s in split for c in s})
             for k in range(0, len(new), 5000):
                 piece = new[k : k + 5000]
-                for c, e in zip(piece, coder.encode_batch([c.decode() for c in piece], add_special_tokens=False), strict=True):
+                for c, e in zip(piece, coder.encode_batch([c.removeprefix(WHOLE).decode() for c in piece], add_special_tokens=False), strict=True):
                     known[c] = np.array(e.ids, np.int32).tobytes()
             packed = [b"".join([known[c] for c in s]) + end for s in split]
             size = np.array([len(p) // 4 for p in packed], np.int64)
