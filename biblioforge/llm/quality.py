@@ -20,8 +20,8 @@ from biblioforge.llm.common import Scratch, hashed_words, window_hashes, word_ha
 BUCKETS = 8192  # hash buckets of words in the references
 COMMON = 60  # most common buckets of a language that a document is compared on; the rest is one bin
 MIN_WORDS = 50  # below, no distance is taken
-MAX_CHAR_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.75
+MAX_CHAR_DISTANCE = 0.31
+MAX_WORD_DISTANCE, SHORT_ALLOWANCE = 0.35, 5.0  # the word distance may be MAX_WORD_DISTANCE + SHORT_ALLOWANCE / n_words: few words spread widely
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 #: Classes of bytes: lower, upper, digit, space, newline, common punctuation, symbols, other ASCII, UTF-8 lead bytes.
@@ -124,7 +124,7 @@ def _score(references: dict, min_words: int, max_char: float, max_word: float):
                         by_char = js_distance(char_histogram(raw).astype(float), char_ref)
                         own = bins[lang][(hashed_words(text, lower=True) % np.uint64(BUCKETS)).astype(np.int64)]
                         by_word = js_distance(np.bincount(own, minlength=len(top) + 1).astype(float), word_ref)
-                    kept = not failed and (by_char is None or by_char <= max_char) and (by_word is None or by_word <= max_word)
+                    kept = not failed and (by_char is None or by_char <= max_char) and (by_word is None or by_word <= max_word + SHORT_ALLOWANCE / n)
                     rows.append((n, chars, symbols, dup, repeat, failed, kept, by_char, by_word))
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2

@@ -20,7 +20,7 @@ from biblioforge.llm.common import mix, word_hashes
 
 FOLDS = 5  # rows whose crc32(doc_id) is a multiple are held out
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 9000  # labelled rows that fit the model, at most
-CANDIDATES = 20_000  # features of toxic rows that are looked at
+CANDIDATES, GOOD = 200_000, 4000  # most frequent features of the sample's toxic rows, and those of them that clean rows hardly have, at most
 VOTERS = 80
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # bytes
 LETTER = np.zeros(256, bool)
@@ -51,6 +51,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "f"])
 
 
+def _occurrences(keep: np.ndarray):
+    """Per partition: place in `keep` (sorted) and in how many rows it occurs; the place after the last counts the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(keep) + 1, np.int64)
+        for b in batches:
+            for t in b.column(1).to_pylist():
+                f = np.unique(text_features(t).view(np.int64))
+                at = np.minimum(np.searchsorted(keep, f), len(keep) - 1)
+                total[at[keep[at] == f]] += 1
+                total[-1] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    return run
+
+
 def _restricted(keep: np.ndarray):
     """doc_id, toxic, f: the features among `keep` (sorted)."""
 
@@ -71,14 +88,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")  # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of 12 bytes
 
 
-def choose_voters(toxic_sets: list[np.ndarray], clean_times: dict[int, int], n_clean: int) -> list[int]:
-    """Greedy cover of the toxic rows by features that clean rows hardly have."""
-    rows: dict[int, set[int]] = {}
+def rare(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    """Features whose share of the clean rows is at most 3 % of their share of the toxic rows (n_toxic: a lower bound will do)."""
+    return clean * n_toxic <= 0.03 * toxic * max(1, n_clean)
+
+
+def choose_voters(toxic_sets: list[np.ndarray], clean_times: dict[int, int]) -> list[int]:
+    """Greedy cover of the toxic rows by features that clean rows hardly have; of equal ones the rarer among clean rows."""
+    good: dict[int, set[int]] = {}
     for i, f in enumerate(toxic_sets):
         for x in f.tolist():
-            rows.setdefault(x, set()).add(i)
-    rate = len(toxic_sets) / max(1, n_clean)
-    good = {x: r for x, r in rows.items() if len(r) >= 2 and clean_times.get(x, 0) * rate <= 0.03 * len(r)}
+            good.setdefault(x, set()).add(i)
     left, out = set(range(len(toxic_sets))), []
     while good and len(out) < VOTERS:
         best = max(good, key=lambda x: (len(good[x] & left), -clean_times.get(x, 0), len(good[x]), x))
@@ -159,15 +179,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from the labelled sample. Features of at most the sample's rows reach the driver."""
     sample = labelled_sample(docs, labels)
     toxic = sample.where("toxic = 1").select("doc_id", "text").mapInArrow(_features, "doc_id long, f array<long>")
-    top = toxic.select(F.explode("f").alias("f")).groupBy("f").count().where("count >= 2").orderBy(F.desc("count"), "f").limit(CANDIDATES)
-    keep = np.sort(np.array([r.f for r in top.collect()], np.int64))
+    top = toxic.select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where("n >= 2").orderBy(F.desc("n"), "f").limit(CANDIDATES).toArrow()
+    keep, times = np.asarray(top.column("f")), np.asarray(top.column("n"))
     if not len(keep):
         return Model(keep, np.zeros(1), 0.0)
-    rows = sample.mapInArrow(_restricted(keep), "doc_id long, toxic int, f array<long>").toArrow()
+    order = np.argsort(keep)
+    keep, times = keep[order], times[order]
+    sums = sample.where("toxic = 0").select("doc_id", "text").mapInArrow(_occurrences(keep), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    clean = np.zeros(len(keep) + 1, np.int64)  # the last cell counts the rows
+    clean[np.asarray(sums.column("at"))] = np.asarray(sums.column("n"))
+    n_clean, clean = int(clean[-1]), clean[:-1]
+    fair = np.flatnonzero(rare(clean, times, n_clean, int(times.max())))
+    fair = fair[np.lexsort((keep[fair], -times[fair]))][:GOOD]
+    good = np.sort(keep[fair])
+    rows = sample.mapInArrow(_restricted(good), "doc_id long, toxic int, f array<long>").toArrow()
     gold = np.asarray(rows.column("toxic"))
     sets = [np.asarray(x.values) for x in rows.column("f")]
-    values, times = np.unique(np.concatenate([s for s, g in zip(sets, gold, strict=True) if g == 0] or [np.empty(0, np.int64)]), return_counts=True)
-    chosen = choose_voters([s for s, g in zip(sets, gold, strict=True) if g == 1], dict(zip(values.tolist(), times.tolist(), strict=True)), int((gold == 0).sum()))
+    chosen = choose_voters([s for s, g in zip(sets, gold, strict=True) if g == 1], dict(zip(keep[fair].tolist(), clean[fair].tolist(), strict=True)))
     voters = np.sort(np.array(chosen, np.int64))
     if not len(voters):
         return Model(voters, np.zeros(1), float(gold.mean()))
