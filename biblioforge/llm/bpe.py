@@ -152,11 +152,11 @@ class PairIndex:
 
 def make_room(known: dict, chunks: set[bytes]) -> list[bytes]:
     """The chunks that a cache doesn't know; it first forgets its older half if they would overfill it."""
-    new = [c for c in chunks if c not in known]
+    new = list(chunks.difference(known))
     if len(known) + len(new) > CACHE_WORDS:
         for c in list(itertools.islice(known, max(len(known) // 2, len(known) + len(new) - CACHE_WORDS))):
             del known[c]
-        new = [c for c in chunks if c not in known]
+        new = list(chunks.difference(known))
     return new
 
 
@@ -172,15 +172,15 @@ def cached_encoder(name: str) -> CachedEncoder:
 
 # Texts of ASCII and the accented letters of Latin-1 alone, without special tokens, are split here as the tokenizer file
 # says; NFC and case folding leave nothing else to do for them.
-_OTHER = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]|<\|")
-_PLAIN = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+_OTHER = re.compile(rb"[\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+_PLAIN = re.compile(rb"[a-z\x80-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9\x80-\xff]+")
 WHOLE = b" "  # marks a key that is a chunk of any other text, to be split by the tokenizer's own rules
 
 
 def keys_of(text: str | None) -> list[bytes]:
     """Pieces of a text that can be encoded one by one: words of a plain text, else chunks between ASCII white space."""
     data = (text or "").encode()
-    if _OTHER.search(data):
+    if b"<|" in data or not data.isascii() and _OTHER.search(data):
         return [WHOLE + c for c in data.split()]
     return _PLAIN.findall(data.lower() if data.isascii() else text.lower().encode())
 
@@ -204,7 +204,7 @@ class CachedEncoder:
     def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text) of each text."""
         split = [keys_of(t) for t in texts]
-        self.learn({c for s in split for c in s})
+        self.learn(set().union(*split))
         for s in split:
             got = [g for g in map(self.known.__getitem__, s) if g[0]]
             ids, decoded = " ".join([g[1] for g in got]), " ".join([g[2] for g in got])
@@ -212,7 +212,7 @@ class CachedEncoder:
 
     def ids(self, texts: list[str | None]) -> Iterator[list[int]]:
         split = [keys_of(t) for t in texts]
-        self.learn({c for s in split for c in s})
+        self.learn(set().union(*split))
         for s in split:
             yield [int(i) for c in s if self.known[c][0] for i in self.known[c][1].split(" ")]
 

@@ -30,7 +30,7 @@ def bpe_counter(name: str = "word_bpe_49k.json") -> Callable[[list[str | None]],
     def count(texts: list[str | None]) -> list[int]:
         coder = cached_encoder(name)
         split = [keys_of(t) for t in texts]
-        coder.learn({c for s in split for c in s})
+        coder.learn(set().union(*split))
         return [sum([coder.known[c][0] for c in s]) for s in split]
 
     return count

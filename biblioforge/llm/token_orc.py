@@ -24,7 +24,26 @@ WRITTEN = "doc_id long, part int, start_in_part long, n_tokens long, ids array<i
 _KINDS = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-_known: dict = {}  # ids of chunks by tokenizer, in each Python worker
+_learners: dict = {}  # by tokenizer, in each Python worker: how to learn pieces, and the ids of those known
+
+
+def _learner(coder):
+    """Adds the ids of pieces to a dict. Words go to the library as one text: each ends with a token that ends a word."""
+    ends = np.zeros(coder.get_vocab_size(), bool)
+    ends[[i for t, i in coder.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def learn(pieces: list[bytes], known: dict) -> None:
+        words = [p for p in pieces if not p.startswith(WHOLE)]
+        ids = np.array(coder.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.int32)
+        cuts = np.flatnonzero(ends[ids]) + 1 if len(ids) else np.empty(0, np.int64)
+        if len(cuts) == len(words):
+            raw = ids.tobytes()
+            known.update((w, raw[4 * lo : 4 * hi]) for w, lo, hi in zip(words, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True))
+            pieces = [p for p in pieces if p.startswith(WHOLE)]
+        for p, e in zip(pieces, coder.encode_batch_fast([p.removeprefix(WHOLE).decode() for p in pieces], add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, np.int32).tobytes()
+
+    return learn
 
 
 def _encode(name: str):
@@ -33,20 +52,21 @@ def _encode(name: str):
         from pyspark import TaskContext
         from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(tokenizer_path(name))
-        coder.no_padding()
-        coder.no_truncation()
-        part, start, known = TaskContext.get().partitionId(), 0, _known.setdefault(name, {})
+        if name not in _learners:
+            coder = Tokenizer.from_file(tokenizer_path(name))
+            coder.no_padding()
+            coder.no_truncation()
+            _learners[name] = _learner(coder), {}
+        learn, known = _learners[name]
+        part, start = TaskContext.get().partitionId(), 0
         end = np.array([END_ID], np.int32).tobytes()
         for doc_ids, texts in groups(batches):
             # The tokenizer never merges across these pieces, so each is encoded alone, and once.
             split = [keys_of(t) for t in texts]
-            new = make_room(known, {c for s in split for c in s})
-            for k in range(0, len(new), 5000):
-                piece = new[k : k + 5000]
-                for c, e in zip(piece, coder.encode_batch([c.removeprefix(WHOLE).decode() for c in piece], add_special_tokens=False), strict=True):
-                    known[c] = np.array(e.ids, np.int32).tobytes()
-            packed = [b"".join([known[c] for c in s]) + end for s in split]
+            new = make_room(known, set().union(*split))
+            for k in range(0, len(new), 2000):
+                learn(new[k : k + 2000], known)
+            packed = [b"".join(map(known.__getitem__, s)) + end for s in split]
             size = np.array([len(p) // 4 for p in packed], np.int64)
             ends = np.cumsum(size)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
