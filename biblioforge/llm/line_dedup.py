@@ -1,11 +1,15 @@
-"""Line dedup by distributed prefix doubling over line-ID sequences (operator 2). DataFrame operations only.
+"""Line dedup by prefix doubling over line-ID sequences (operator 2). DataFrame operations only.
 
-Lines with a word get ids (128 bits of hash). The name of a window of 2**k lines is made of the names of its halves,
-so after k rounds equal names are the depth-2**k intervals of the suffix array of all line sequences: the positions
-whose suffixes share at least 2**k lines. A round goes on with the positions whose window repeats; the rest can't
-repeat at a greater depth. Each interval knows its first position in (doc_id, text hash, line) order. A window that is
-not the first of its interval and holds at least min_words words is a later copy, and its lines go. A repeated run of
-n lines is the union of two such windows of the largest power of two up to n.
+A window of lines (of those with a word) that has an earlier copy in (doc_id, text hash, line) order and holds at least
+min_words words is a later copy, whatever its length, and its lines go: that is every maximal repeated run of so many
+words. Only some of the windows need comparing. Parts of a later copy are later copies too, so a run of min_words words
+or more is the union of the shortest such windows that start at its lines and the one that ends at its last line. Each
+line has a word, so none of them is longer than min_words lines.
+
+Lines get ids (128 bits of hash). The name of a window of 2**k lines is made of the names of its halves, up to the
+largest power of two in min_words; the name of any other window is made of its length and the two overlapping windows
+of 2**k lines that cover it. Equal names are the intervals of the suffix array of all line sequences at that depth; each
+interval knows its first position.
 
 Every deleted line has an earlier copy, so one copy of each line stays. Only ids are shuffled, besides one join that
 brings the decisions to the texts.
@@ -13,7 +17,7 @@ brings the decisions to the texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioforge.llm.common import Scratch
@@ -21,46 +25,42 @@ from biblioforge.llm.common import Scratch
 MIN_WORDS = 20
 DOC = ["doc_id", "th"]
 _WORD = r"[^\x20\x09-\x0D]+"
+_WORDED = "rlike '[^\\\\x20\\\\x09-\\\\x0D]'"
 
 
-def _worded_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th, pos among the lines with a word, line number, name, words."""
-    numbered = "filter(transform(split(text, '\\n', -1), (l, i) -> struct(i AS line_no, l AS line)), x -> x.line rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.expr(numbered)).alias("pos", "x"))
-    return rows.select(*DOC, "pos", F.col("x.line_no").alias("line_no"), F.xxhash64("x.line").alias("n1"), F.xxhash64(F.lit(7), "x.line").alias("n2"), F.regexp_count("x.line", F.lit(_WORD)).cast("long").alias("w"))
-
-
-def _repeated(rows: DataFrame) -> DataFrame:
-    """Rows whose name occurs twice or more, with `later`: whether it occurs before."""
-    here = F.struct(*DOC, "pos")
-    names = rows.groupBy("n1", "n2").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last").select("n1", "n2", "first")
-    return rows.join(names, ["n1", "n2"]).withColumn("later", here != F.col("first")).drop("first")
+def _windows(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, th, first and last line number, name: the shortest windows with min_words words from each line and up to each line."""
+    lines = f"filter(transform(split(text, '\\n', -1), (l, i) -> struct(i AS line_no, l AS line)), x -> x.line {_WORDED})"
+    ids = f"transform({lines}, x -> struct(x.line_no AS line_no, xxhash64(x.line) AS n1, xxhash64(7, x.line) AS n2, cast(regexp_count(x.line, '{_WORD.replace(chr(92), chr(92) * 2)}') AS bigint) AS w))"
+    doubled = "transform(element_at(acc, -1), (x, i) -> struct(xxhash64(x.n1, get(element_at(acc, -1), i + s).n1) AS n1, xxhash64(x.n2, get(element_at(acc, -1), i + s).n2, 7) AS n2))"
+    sizes = [1 << k for k in range(min_words.bit_length() - 1)]
+    steps = f"array({', '.join(map(str, sizes))})" if sizes else "array_repeat(1, 0)"
+    levels = f"aggregate({steps}, array(transform(v, x -> struct(x.n1 AS n1, x.n2 AS n2))), (acc, s) -> concat(acc, array({doubled})))"
+    # Words and size of the shortest window: the lines are added until there are enough words.
+    shortest = f"aggregate({{}}, struct(0L AS words, 0 AS size), (a, x) -> if(a.words < {min_words}, struct(a.words + x.w AS words, a.size + 1 AS size), a))"
+    ahead = shortest.format(f"slice(v, i + 1, if(x.w >= {min_words}, 1, {min_words}))")
+    behind = shortest.format(f"reverse(slice(v, greatest(i + 2 - {min_words}, 1), least(i + 1, {min_words})))")
+    # A window that stays long enough without its last line isn't among those from its first line.
+    found = f"""transform(v, (x, i) -> filter(array(
+        transform(array({ahead}), a -> if(a.words >= {min_words}, struct(i AS at, a.size AS size), null))[0],
+        if(x.w >= {min_words}, null, transform(array({behind}), a -> if(a.words - x.w >= {min_words}, struct(i + 1 - a.size AS at, a.size AS size), null))[0])), y -> y IS NOT NULL))"""
+    named = f"""transform(array({levels}), names -> transform(flatten({found}), y -> transform(array(names[length(bin(y.size)) - 1]), n ->
+        transform(array(y.at + y.size - shiftleft(1, length(bin(y.size)) - 1)), z -> struct(v[y.at].line_no AS lo, v[y.at + y.size - 1].line_no AS hi,
+        xxhash64(y.size, n[y.at].n1, n[z].n1) AS n1, xxhash64(n[y.at].n2, n[z].n2, y.size) AS n2))[0])[0]))[0]"""
+    # One-element arrays bind names: an expression that is used in a lambda would be evaluated for each element.
+    windows = F.expr(f"transform(array({ids}), v -> {named})[0]")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode(windows).alias("x")).select(*DOC, "x.lo", "x.hi", "x.n1", "x.n2")
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, th, drop: the numbers of the lines that are later copies, for the documents that have any."""
+    """doc_id, th, drop: the numbers of the lines in later copies, and of empty lines between them, for the documents that have any."""
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    rows = docs.where("doc_id is not null and text is not null")
-    base = scratch.keep(_repeated(_worded_lines(rows).dropDuplicates([*DOC, "pos"])), "lines")
-    level, size, windows = base.drop("line_no"), 1, []
-    while True:
-        windows.append(level.where(F.col("later") & (F.col("w") >= min_words)).select(*DOC, "pos", F.lit(size).alias("size")))
-        ahead = level.select(*DOC, (F.col("pos") - size).alias("pos"), F.col("n1").alias("m1"), F.col("n2").alias("m2"), F.col("w").alias("v"))
-        longer = level.join(ahead, [*DOC, "pos"]).select(*DOC, "pos", F.xxhash64("n1", "m1").alias("n1"), F.xxhash64("n2", "m2", F.lit(7)).alias("n2"), (F.col("w") + F.col("v")).alias("w"))
-        level, size = scratch.keep(_repeated(longer), f"windows-{size}"), size * 2
-        if not level.limit(1).count():
-            break
-    found = windows[0]
-    for x in windows[1:]:
-        found = found.union(x)
-    # Lines under at least one window: window starts and ends summed up along the document.
-    found = found.groupBy(*DOC, "pos").agg(F.max("size").alias("size"))
-    starts = found.select(*DOC, "pos", F.lit(1).alias("step"), F.lit(None).cast("int").alias("line_no"))
-    ends = found.select(*DOC, (F.col("pos") + F.col("size")).alias("pos"), F.lit(-1).alias("step"), F.lit(None).cast("int").alias("line_no"))
-    lines = base.select(*DOC, "pos", F.lit(0).alias("step"), "line_no")
-    along = Window.partitionBy(*DOC).orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = starts.union(ends).union(lines).withColumn("open", F.sum("step").over(along)).where("line_no is not null and open > 0")
-    return scratch.keep(marked.groupBy(*DOC).agg(F.collect_set("line_no").alias("drop")), "drop")
+    windows = scratch.keep(_windows(docs.where("doc_id is not null and text is not null"), max(min_words, 1)), "windows")
+    here = F.struct(*DOC, "lo")
+    names = windows.groupBy("n1", "n2").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last").select("n1", "n2", "first")
+    later = windows.join(names, ["n1", "n2"]).where(here != F.col("first"))
+    lines = later.select(*DOC, F.explode(F.sequence("lo", "hi")).alias("line_no"))
+    return scratch.keep(lines.groupBy(*DOC).agg(F.collect_set("line_no").alias("drop")), "drop")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -72,9 +72,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     drop = later_copies(plain, min_words).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("drop").alias("__drop"))
-    out = docs.join(drop, (docs.doc_id.cast("long") == drop["__id"]) & (F.xxhash64(docs.text.cast("string")) == drop["__th"]), "left")
-    kept = F.expr("array_join(transform(filter(transform(split(text, '\\n', -1), (l, i) -> struct(i AS i, l AS l)), x -> NOT array_contains(__drop, x.i)), x -> x.l), '\\n')")
-    worded = F.expr("coalesce(cast(size(filter(split(text, '\\n', -1), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')) as bigint), 0)")
-    out = out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(worded))
-    out = out.withColumn("n_removed", F.when(F.col("__drop").isNull(), F.lit(0)).otherwise(F.size("__drop")).cast("long"))
-    return out.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept)).drop("__id", "__th", "__drop")
+    # The same join at every size: a broadcast, which only small tables get, would make the shuffle seem to grow faster than the input.
+    out = docs.join(drop.hint("merge"), (docs.doc_id.cast("long") == drop["__id"]) & (F.xxhash64(docs.text.cast("string")) == drop["__th"]), "left")
+    kept = F.expr(f"array_join(transform(filter(transform(split(text, '\\n', -1), (l, i) -> struct(i AS i, l AS l)), x -> NOT (array_contains(__drop, x.i) AND x.l {_WORDED})), x -> x.l), '\\n')")
+    worded = f"coalesce(cast(size(filter(split({{}}, '\\n', -1), l -> l {_WORDED})) as bigint), 0)"
+    out = out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.expr(worded.format("text"))))
+    out = out.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
+    out = out.withColumn("n_removed", F.when(F.col("__drop").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.expr(worded.format("text"))).cast("long"))
+    return out.drop("__id", "__th", "__drop")
