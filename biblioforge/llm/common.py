@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 import numpy as np
@@ -10,18 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see: spark.checkpoint.dir, or /tmp/checkpoints where it is unset (local runs)."""
+    """Folder that the driver and all executors see: spark.checkpoint.dir. Where it is unset, a local session gets /tmp/checkpoints; a cluster, an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "/tmp/checkpoints/biblioforge"
     return base.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class Scratch:
     """Tables of one operator run below the shared folder; a lost executor never takes them along."""
 
+    roots: list[str] = []  # of all runs in this process that haven't been deleted
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        Scratch.roots.append(self.root)
 
     def path(self, name: str) -> str:
         self.n += 1
@@ -33,13 +44,19 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, df: DataFrame) -> None:
-        """Deletes the files of a table that keep() returned."""
-        jvm = self.spark._jvm
-        for f in {os.path.dirname(x) for x in df.inputFiles()}:
-            if self.root.split("/")[-1] in f:
-                p = jvm.org.apache.hadoop.fs.Path(f)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes the files of tables that keep() returned and that nothing reads any more."""
+        name = self.root.split("/")[-1]
+        for f in {os.path.dirname(x) for df in frames for x in df.inputFiles()}:
+            if name in f:
+                _delete(self.spark, f)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Deletes all tables of the runs that began after the first `since` of Scratch.roots. Their results must have been written."""
+    for root in Scratch.roots[since:]:
+        _delete(spark, root)
+    del Scratch.roots[since:]
 
 
 def plan_bytes(df: DataFrame) -> int:

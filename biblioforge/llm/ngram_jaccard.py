@@ -9,9 +9,12 @@ How it works
    shingles of its own therefore has no partner, whatever the rest holds. Copies with equal sets are one class.
 2. The classes left (those with something to share) get exact document frequencies the same way, and with them
    their prefixes; common passages stand last in the order and so stay out of prefixes.
-3. Classes with identical prefix and size form one group. Groups that share a prefix shingle are compared through a
-   few pivots of each shingle first; pairs that are already in one component need no comparison. What is still
-   apart is compared pair by pair, so that no link between two components is lost. Verified with the whole sets.
+3. Classes with identical prefix and size form one group. Group pairs that share a prefix shingle are filtered by
+   size, and first each group's head is verified against a few pivots of the shingle: what is in one component
+   already needs no comparison. Shingles whose groups still lie in several components stay in the prefix index. Those
+   with the very same groups count once; their groups are expanded to members, in blocks of bounded size and similar
+   set sizes, and blocks of one shingle are compared whole sets against whole sets, so that no link between two
+   components is lost and pairs are never rows.
 
 Nothing is capped or sampled; shuffled data grow in proportion to the input. Buckets get one entry per task block
 for a shingle at most, so a shingle in a third of all documents is no hot key.
@@ -32,7 +35,7 @@ from biblioforge.llm.components import connected_components
 BLOCK = 1_000_000  # shingles that a task holds before it sends them
 BUCKET_BYTES = 4 << 20  # input bytes per hash bucket
 PIVOTS, ROUNDS = 2, 2  # pivots of a shingle in a round; rounds
-BLOCK_NODES = 256  # documents that are compared with as many others at once
+BLOCK_SHINGLES = 100_000  # shingles of the members that are compared with as many others at once
 MULTI = 0xFFFF
 
 
@@ -50,25 +53,30 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, list, list[np.ndarray]]]:
-    """Documents of a partition in blocks of about BLOCK shingles: (block id, doc ids, sets)."""
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, list, list, list[np.ndarray]]]:
+    """Documents of a partition in blocks of about BLOCK shingles: (block id, ids, text hashes, sets).
+
+    Block ids depend on the order of the rows, so the rows must come straight from files, which a repeated task reads
+    in the same order.
+    """
     from pyspark import TaskContext
 
     part, number, held = TaskContext.get().partitionId(), 0, 0
-    ids, sets = [], []
+    ids, texts, sets = [], [], []
     for batch in batches:
         for k in range(0, batch.num_rows, 256):
             piece = batch.slice(k, 256)
-            for i, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+            for i, th, text in zip(*(c.to_pylist() for c in piece.columns), strict=True):
                 s = shingle_set(text, size)
                 ids.append(i)
+                texts.append(th)
                 sets.append(s)
                 held += len(s)
                 if held >= BLOCK or len(ids) >= MULTI - 1:
-                    yield part << 24 | number, ids, sets
-                    ids, sets, held, number = [], [], 0, number + 1
+                    yield part << 24 | number, ids, texts, sets
+                    ids, texts, sets, held, number = [], [], [], 0, number + 1
     if ids:
-        yield part << 24 | number, ids, sets
+        yield part << 24 | number, ids, texts, sets
 
 
 def _cut(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +91,7 @@ def _send(size: int, bits: int, whole: bool):
     """Map side. kind 0: shingles of a block for a bucket; kind 1: the block's header, back to itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids, sets in _blocks(batches, size):
+        for block, ids, texts, sets in _blocks(batches, size):
             n = np.array([len(s) for s in sets], np.int64)
             flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             own = np.repeat(np.arange(len(sets), dtype=np.uint16), n)
@@ -107,7 +115,7 @@ def _send(size: int, bits: int, whole: bool):
                 for b, lo, hi in zip(present.tolist(), bounds[:-1], bounds[1:], strict=True):
                     put(b, 0, _pack(low[lo:hi]), (times[lo:hi].astype(np.uint16) if whole else own[lo:hi]).tobytes())
             known = np.array([i is not None for i in ids])
-            head = np.array([i or 0 for i in ids], np.int64).tobytes() + n.tobytes() + known.tobytes()
+            head = np.array([i or 0 for i in ids], np.int64).tobytes() + n.tobytes() + np.array(texts, np.int64).tobytes() + known.tobytes()
             if whole:
                 put(-1 - block, 1, head, flat.tobytes())
             else:
@@ -156,29 +164,29 @@ def _count(whole: bool):
     return run
 
 
-def _header(a: bytes) -> tuple[list, np.ndarray]:
-    count = len(a) // 17
+def _header(a: bytes) -> tuple[list, np.ndarray, np.ndarray]:
+    count = len(a) // 25
     ids = np.frombuffer(a, np.int64, count).tolist()
-    n = np.frombuffer(a, np.int64, count, 8 * count)
-    known = np.frombuffer(a, bool, count, 16 * count)
-    return [i if k else None for i, k in zip(ids, known, strict=True)], n
+    n, texts = (np.frombuffer(a, np.int64, count, k * count) for k in (8, 16))
+    known = np.frombuffer(a, bool, count, 24 * count)
+    return [i if k else None for i, k in zip(ids, known, strict=True)], n, texts
 
 
-PROFILE_DDL = "doc_id long, n long, k1 long, k2 long, shares boolean"
+PROFILE_DDL = "doc_id long, th long, n long, k1 long, k2 long, shares boolean"
 
 
 def _profile(percent: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         head = next(r for r in rows if r["kind"] == 1)
-        ids, n = _header(head["a"])
+        ids, n, texts = _header(head["a"])
         keys = np.frombuffer(head["b"], np.uint64).view(np.int64).reshape(-1, 2)
         alone = np.zeros(len(ids), np.int64)
         for r in rows:
             if r["kind"] == 0:
                 alone[np.frombuffer(r["a"], np.uint16)] += np.frombuffer(r["b"], np.uint16)
         return pa.table(
-            {"doc_id": pa.array(ids, pa.int64()), "n": n, "k1": keys[:, 0], "k2": keys[:, 1], "shares": (n > 0) & (alone < prefix_length(n, percent))}
+            {"doc_id": pa.array(ids, pa.int64()), "th": texts, "n": n, "k1": keys[:, 0], "k2": keys[:, 1], "shares": (n > 0) & (alone < prefix_length(n, percent))}
         )
 
     return run
@@ -191,7 +199,7 @@ def _prefixes(percent: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         head = next(r for r in rows if r["kind"] == 1)
-        ids, n = _header(head["a"])
+        ids, n, _ = _header(head["a"])
         flat = np.frombuffer(head["b"], np.uint64)
         answers = sorted((r["key"], r["a"]) for r in rows if r["kind"] == 0)
         df = np.concatenate([np.frombuffer(x, np.uint16) for _, x in answers]) if answers else np.empty(0, np.uint16)
@@ -216,7 +224,7 @@ def _prefixes(percent: int):
 
 
 def _exchange(docs: DataFrame, size: int, whole: bool, finish, ddl: str) -> DataFrame:
-    bits = min(20, max(4, (plan_bytes(docs) // BUCKET_BYTES).bit_length()))
+    bits = min(30, max(4, (plan_bytes(docs) // BUCKET_BYTES).bit_length()))
     sent = docs.mapInArrow(_send(size, bits, whole), SENT_DDL)
     counted = sent.groupBy("key").applyInArrow(_count(whole), ANSWER_DDL)
     return counted.groupBy("block").applyInArrow(finish, ddl)
@@ -235,27 +243,41 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.withColumn("common", F.expr("size(array_intersect(sa, sb))")).where(_similar(percent, "na", "nb", "common")).select("a", "b")
 
 
+def _classes(docs: DataFrame, size: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Profile of all rows (doc_id, th: text hash, n, k1, k2, shares), and the classes of equal sets among rows with words and an id: n, k1, k2, component_id, first.
+
+    first: doc_id and text hash of the row that stands for the component.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string").alias("text"))
+    profile = scratch.keep(_exchange(docs, size, False, _profile(percent), PROFILE_DDL), "profile")
+    classes = profile.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.max("shares").alias("shares"))
+    # Nodes are numbers of their own: a doc_id may stand on different texts. They are written once, so they stay as they are.
+    classes = scratch.keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    sharing = classes.where("shares").select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"))
+    left = docs.join(sharing, ["doc_id", "th"]).groupBy("node").agg(F.first("th").alias("th"), F.first("text").alias("text"))
+    left = scratch.keep(left, "texts")
+    sets = scratch.keep(_exchange(left, size, True, _prefixes(percent), SET_DDL), "sets")
+    comps = _link(sets, percent, scratch)
+    scratch.drop(left, sets)
+    linked = classes.join(comps, "node").select("n", "k1", "k2", "comp", "first")
+    firsts = linked.groupBy("comp").agg(F.min("first").alias("least"))
+    least = linked.join(firsts, "comp").select("n", "k1", "k2", "least")
+    named = classes.join(least, ["n", "k1", "k2"], "left").select("n", "k1", "k2", F.coalesce("least", "first").alias("first"))
+    return profile, named.select("n", "k1", "k2", F.col("first.doc_id").alias("component_id"), "first")
+
+
 def similarity_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """Components of documents linked by shingle Jaccard >= percent / 100.
 
     docs: doc_id long, text string; other columns are ignored. Returns doc_id, n_shingles, component_id for every
     row. Null or empty texts: n_shingles 0, alone. A null doc_id: its own n_shingles, component_id null, linked with
-    nothing. Repeated rows are documents of their own with equal results. Empty tables give empty results.
+    nothing. Repeated rows are documents of their own with equal results; so are rows with one doc_id and different
+    texts, which the id doesn't link. Empty tables give empty results.
     """
-    spark: SparkSession = docs.sparkSession
-    scratch = Scratch(spark, "ngram-jaccard")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = scratch.keep(_exchange(docs, size, False, _profile(percent), PROFILE_DDL), "profile")
-    classes = profile.where("n > 0 and doc_id is not null").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("node"), F.max("shares").alias("shares"))
-    classes = scratch.keep(classes, "classes")
-    sharing = classes.where("shares").select(F.col("node").alias("doc_id")).distinct()
-    left = docs.join(sharing, "doc_id").dropDuplicates(["doc_id", "text"])
-    sets = scratch.keep(_exchange(left, size, True, _prefixes(percent), SET_DDL), "sets")
-    comps = _link(sets, percent, scratch)
-    named = classes.join(comps, "node", "left").select("n", "k1", "k2", F.coalesce("comp", "node").alias("component_id"))
-    named = named.groupBy("n", "k1", "k2").agg(F.min("component_id").alias("component_id"))
+    scratch = Scratch(docs.sparkSession, "ngram-jaccard")
+    profile, classes = _classes(docs, size, percent, scratch)
     alone = profile.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return profile.where("n > 0 and doc_id is not null").join(named, ["n", "k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone)
+    return profile.where("n > 0 and doc_id is not null").join(classes, ["n", "k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(alone)
 
 
 def _link(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -268,21 +290,18 @@ def _link(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     nodes = light.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = scratch.keep(nodes.join(nodes.groupBy("n", "pkey", "comp").agg(F.min("node").alias("gid")), ["n", "pkey", "comp"]), "nodes")
     members = nodes.select("gid", "node")
-    heads = nodes.where("node = gid")
-    posts = scratch.keep(heads.select("gid", "n", F.explode("prefix").alias("h")), "posts")
+    posts = scratch.keep(nodes.where("node = gid").select("gid", "n", F.explode("prefix").alias("h")), "posts")
     shared = posts.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
     posts = scratch.keep(posts.join(shared, "h"), "posts")
     comp_of = nodes.select(F.col("node").alias("gid"), "comp")
     for number in range(ROUNDS):
         now = _undecided(posts, comp_of)
         fits = f"ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
-        mine = now.select("h", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("ca"))
+        mine = now.select("h", F.col("gid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
         seeds = [F.min_by(F.struct("gid", "n", "comp"), F.xxhash64("gid", F.lit(number * PIVOTS + i))) for i in range(PIVOTS)]
         pivots = now.groupBy("h").agg(F.array(*seeds).alias("p")).select("h", F.explode("p").alias("p"))
-        pairs = mine.join(pivots.select("h", F.col("p.gid").alias("gb"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb")), "h").where(fits)
-        pairs = pairs.select("ga", "gb").distinct()
-        pairs = pairs.join(members.select(F.col("gid").alias("ga"), F.col("node").alias("a")), "ga").join(members.select(F.col("gid").alias("gb"), F.col("node").alias("b")), "gb")
-        found = scratch.keep(_verify(pairs, sets, percent), "found")
+        pairs = mine.join(pivots.select("h", F.col("p.gid").alias("b"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb")), "h").where(fits)
+        found = scratch.keep(_verify(pairs.select("a", "b"), sets, percent), "found")
         links = scratch.keep(links.union(found), "all-links")
         comps = connected_components(links, scratch)
         comp_of = nodes.select(F.col("node").alias("gid")).join(comps.withColumnRenamed("node", "gid"), "gid", "left").withColumn("comp", F.coalesce("comp", "gid"))
@@ -290,7 +309,7 @@ def _link(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     now = scratch.keep(_undecided(posts, comp_of), "undecided")
     if not now.limit(1).count():
         return comps
-    found = _between_blocks(now, members, comp_of, sets, percent, scratch)
+    found = _within_shingles(now, members, comp_of, sets, percent, scratch)
     return connected_components(scratch.keep(links.union(found), "all-links"), scratch)
 
 
@@ -301,30 +320,37 @@ def _undecided(posts: DataFrame, comp_of: DataFrame) -> DataFrame:
     return now.join(mixed, "h").select("h", "gid", "n", "comp")
 
 
-def _between_blocks(now: DataFrame, members: DataFrame, comp_of: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Links between components, one for each two components of two blocks at least.
+def _within_shingles(now: DataFrame, members: DataFrame, comp_of: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links between components that share an undecided shingle, one for each two components of two blocks at least.
 
-    Groups that shared shingles chain together are a cluster; its members stand in blocks of about BLOCK_NODES, with
-    large components in blocks of their own. Two blocks are compared as a whole in one task, set against set, so
-    their pairs are never rows; blocks of one component aren't compared.
+    The members of a shingle stand in bands of set sizes, each a factor 100 / percent wide, so that only a band and the
+    next one can hold similar sets. A band is dealt into blocks of about BLOCK_SHINGLES shingles; a component with more
+    has blocks of its own, which aren't compared with each other.
     """
-    star = now.join(now.groupBy("h").agg(F.min("gid").alias("b")), "h").select(F.col("gid").alias("a"), "b").distinct()
-    cluster = connected_components(star, scratch).select(F.col("node").alias("gid"), F.col("comp").alias("cluster"))
-    part = scratch.keep(cluster.join(comp_of, "gid").join(members, "gid").select("cluster", "comp", "node"), "clusters")
-    size = part.groupBy("cluster", "comp").agg(F.count("*").alias("c"))
-    small = size.groupBy("cluster").agg(F.sum(F.when(F.col("c") * 2 <= BLOCK_NODES, F.col("c")).otherwise(0)).alias("rest"))
-    wide = lambda n: F.ceil(F.col(n) / BLOCK_NODES).cast("long")
-    one = F.col("c") * 2 > BLOCK_NODES
-    placed = part.join(size, ["cluster", "comp"]).join(small, "cluster")
-    placed = placed.select("cluster", "comp", "node", F.when(one, F.col("comp")).alias("alone"), F.when(one, F.pmod(F.xxhash64("node"), wide("c"))).otherwise(F.pmod(F.xxhash64("comp"), F.greatest(wide("rest"), F.lit(1)))).alias("sub"))
-    full = placed.join(sets.select("node", "n", "shingles"), "node")
-    blocks = full.groupBy("cluster", "alone", "sub").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.collect_list(F.struct("node", "comp", "shingles")).alias("m"))
-    blocks = scratch.keep(blocks.withColumn("id", F.struct(F.coalesce("alone", F.lit(-1)).alias("k"), "sub")), "blocks")
-    light = blocks.select("cluster", "id", "alone", "lo", "hi")
-    two = light.alias("x").join(light.alias("y"), F.expr(f"x.cluster = y.cluster and x.id <= y.id and not (x.alone <=> y.alone and x.alone is not null) and 100 * x.hi >= {percent} * y.lo and 100 * y.hi >= {percent} * x.lo"))
-    two = two.select("x.cluster", F.col("x.id").alias("i"), F.col("y.id").alias("j"))
-    met = two.join(blocks.select("cluster", F.col("id").alias("i"), F.col("m").alias("x")), ["cluster", "i"]).join(blocks.select("cluster", F.col("id").alias("j"), F.col("m").alias("y")), ["cluster", "j"])
-    return scratch.keep(met.select("x", "y").mapInArrow(_compare(percent), "a long, b long"), "found")
+    own = now.groupBy("h").agg(F.count("*").alias("m"), F.sum(F.xxhash64("gid").cast("decimal(38,0)")).alias("s1"), F.sum(F.xxhash64(F.lit(1), "gid").cast("decimal(38,0)")).alias("s2"))
+    kept = scratch.keep(own.groupBy("m", "s1", "s2").agg(F.min("h").alias("h")).select("h"), "shingles")
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
+    part = now.join(kept, "h").select("h", "gid").join(members, "gid").join(comp_of.withColumnRenamed("gid", "node"), "node")
+    part = scratch.keep(part.join(sets.select("node", "n"), "node").select("h", "comp", "node", "n", band.alias("band")), "members")
+    size = part.groupBy("h", "band", "comp").agg(F.sum("n").alias("c"))
+    large = F.col("c") * 2 > BLOCK_SHINGLES
+    rest = size.where(~large).groupBy("h", "band").agg(F.sum("c").alias("rest"))
+    wide = lambda c: (F.floor(F.col(c) / BLOCK_SHINGLES) + 1).cast("long")
+    placed = part.join(size, ["h", "band", "comp"]).join(rest, ["h", "band"], "left")
+    placed = placed.select("h", "band", "comp", "node", F.when(large, F.col("comp")).otherwise(F.lit(-1)).alias("alone"), F.when(large, F.pmod(F.xxhash64("node"), wide("c"))).otherwise(F.pmod(F.xxhash64("comp"), wide("rest"))).alias("sub"))
+    placed = scratch.keep(placed, "placed")
+    key = ["h", "band", "alone", "sub"]
+    light = placed.groupBy(*key).agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    met = light.alias("x").join(light.alias("y"), F.expr("x.h = y.h and (x.band = y.band and struct(x.alone, x.sub) <= struct(y.alone, y.sub) or x.band + 1 = y.band) and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)"))
+    # Blocks without a partner aren't made.
+    met = scratch.keep(met.select(F.struct(*[f"x.{k}" for k in key]).alias("i"), F.struct(*[f"y.{k}" for k in key]).alias("j")), "meetings")
+    needed = met.select("i").union(met.select("j")).distinct().withColumnRenamed("i", "id")
+    full = placed.withColumn("id", F.struct(*key)).join(needed, "id").join(sets.select("node", "shingles"), "node")
+    blocks = scratch.keep(full.groupBy("id").agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("m")), "blocks")
+    both = met.join(blocks.select(F.col("id").alias("i"), F.col("m").alias("x")), "i").join(blocks.select(F.col("id").alias("j"), F.col("m").alias("y")), "j")
+    found = scratch.keep(both.select("x", "y").mapInArrow(_compare(percent), "a long, b long"), "found")
+    scratch.drop(blocks, placed, part)
+    return found
 
 
 def _compare(percent: int):
@@ -338,34 +364,42 @@ def _compare(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
             for x, y in zip(batch.column(0), batch.column(1), strict=True):
                 (xi, xc, xn, xh, xo), (yi, yc, yn, yh, yo) = flat(x), flat(y)
                 order = np.argsort(yh, kind="stable")
                 yh, yo = yh[order], yo[order]
                 lo, hi = np.searchsorted(yh, xh, "left"), np.searchsorted(yh, xh, "right")
-                common = np.zeros((len(xi), len(yi)), np.int64)
+                found: dict[tuple[int, int], tuple[int, int]] = {}  # one link for two components
                 for i, start in enumerate(np.cumsum(xn) - xn):  # one document against the other block
                     lo_i, len_i = lo[start : start + xn[i]], (hi - lo)[start : start + xn[i]]
-                    if len_i.sum():
-                        at = np.repeat(lo_i - np.cumsum(len_i) + len_i, len_i) + np.arange(len_i.sum())
-                        common[i] = np.bincount(yo[at], minlength=len(yi))
-                like = (100 * common >= percent * (xn[:, None] + yn[None, :] - common)) & (xc[:, None] != yc[None, :])
-                i, j = np.nonzero(like)
-                _, first = np.unique(np.column_stack((xc[i], yc[j])), axis=0, return_index=True)
-                a.append(xi[i[first]])
-                b.append(yi[j[first]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a) if a else [], pa.int64()), pa.array(np.concatenate(b) if b else [], pa.int64())], names=["a", "b"])
+                    if not len_i.sum():
+                        continue
+                    at = np.repeat(lo_i - np.cumsum(len_i) + len_i, len_i) + np.arange(len_i.sum())
+                    common = np.bincount(yo[at], minlength=len(yi))
+                    like = (100 * common >= percent * (xn[i] + yn - common)) & (yc != xc[i])
+                    for j in np.flatnonzero(like).tolist():
+                        found.setdefault((int(xc[i]), int(yc[j])), (int(xi[i]), int(yi[j])))
+                cols = list(zip(*found.values(), strict=True)) or [[], []]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
 
     return run
 
 
 def keep_one_per_component(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of docs, all columns, less near copies: of each component the smallest doc_id stays.
+    """The rows of docs, all columns, less near copies: of each component the row with the smallest doc_id stays.
 
-    Rows without words or without doc_id stay. Of repeated rows with one doc_id one stays.
+    Rows without words or without doc_id stay. Rows with one doc_id and one text are one document and one of them
+    stays; a doc_id on different texts stands for different documents, and of those in one component the text with the
+    smallest hash stays.
     """
-    found = similarity_components(docs, size, percent)
-    losers = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(losers, "doc_id", "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    scratch = Scratch(docs.sparkSession, "ngram-jaccard")
+    profile, classes = _classes(docs, size, percent, scratch)
+    rows = profile.where("n > 0 and doc_id is not null").join(classes, ["n", "k1", "k2"])
+    verdict = rows.groupBy("doc_id", "th").agg(F.count("*").alias("times"), F.first("first").alias("first"))
+    verdict = verdict.select("doc_id", "th", F.expr("first <> struct(doc_id, th)").alias("goes"), F.expr("times > 1").alias("again")).where("goes or again")
+    verdict = scratch.keep(verdict.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("goes").alias("__goes"), F.col("again").alias("__again")), "verdict")
+    match = (docs.doc_id.cast("long") == F.col("__id")) & (F.xxhash64(docs.text.cast("string")) == F.col("__th"))
+    # Rows that repeat are few: they alone are grouped.
+    once = docs.join(verdict, match, "left_anti")
+    stays = docs.join(verdict.where("__again and not __goes"), match, "left_semi")
+    return once.unionByName(stays.dropDuplicates(["doc_id", "text"]))

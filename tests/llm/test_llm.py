@@ -76,7 +76,7 @@ def test_ngram_join_equals_brute_force(spark):
 
 def test_ngram_join_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "ROUNDS", 0)
-    monkeypatch.setattr(ngram_jaccard, "BLOCK_NODES", 4)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_SHINGLES", 150)
     rows = corpus(2)
     got = ngram_jaccard.similarity_components(frame(spark, rows)).where("doc_id is not null").collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
