@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblioforge.llm.bpe import encode_digests
-from biblioforge.llm.common import Scratch
+from biblioforge.llm.common import Scratch, release
 from biblioforge.llm.decontaminate import drop_contaminated
 from biblioforge.llm.line_dedup import dedup_lines
 from biblioforge.llm.ngram_jaccard import keep_one_per_component
@@ -50,7 +50,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the documents of sf_dir; each stage's rows are written and read again."""
-    docs, scratch = _table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    docs, scratch, last = _table(spark, sf_dir, "documents"), Scratch(spark, "pipeline"), None
     for name, stage in STAGES[:-1]:
+        began = len(Scratch.roots)
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        release(spark, began)  # the stage's own tables
+        if last is not None:
+            scratch.drop(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
