@@ -3,8 +3,9 @@
 The texts of a partition come in groups of some MB. Their words that are not known yet are laid out as one symbol
 array with links to the neighbours. An index maps each mergeable pair to all its positions; the active rank that is
 lowest is applied to all its positions at once, and only the lists of the pairs next to these positions are updated.
-Word ids are kept in a bounded cache, since words repeat. Words are split and folded as the tokenizer file says:
-NFC, lower case, white space dropped, special tokens found in the raw text.
+Words repeat, so the ids of recent ones stay in a cache of bounded size. Words are split and folded as the tokenizer
+file says: NFC, lower case, white space dropped, special tokens found in the raw text. encode_ids() gives the ids,
+decode_ids() the texts of ids, encode_digests() what a query reports of both.
 """
 
 from __future__ import annotations
@@ -13,17 +14,18 @@ import hashlib
 import heapq
 import itertools
 import json
-import os
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GROUP_BYTES = 8 << 20
-CACHE_WORDS = 400_000
+GROUP_BYTES = 8 << 20  # text that is split and encoded at once
+CACHE_BYTES = 8 << 20  # of each of the two generations of a word cache
+ENTRY_BYTES = 150  # what an entry of a cache takes besides its contents
 
 
 def byte_alphabet() -> list[str]:
@@ -48,8 +50,8 @@ class PairIndex:
         self.tokens = {i: t for t, i in vocab.items()} | {i: t.decode() for t, i in self.special.items()}
         alphabet = byte_alphabet()
         self.to_byte = {c: b for b, c in enumerate(alphabet)}
-        self.inner = np.array([vocab[c] for c in alphabet], np.int64)
-        self.final = np.array([vocab[c + end] for c in alphabet], np.int64)
+        self.inner = np.array([vocab[c] for c in alphabet], np.int32)
+        self.final = np.array([vocab[c + end] for c in alphabet], np.int32)
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.left = np.array([vocab[a] for a, _ in merges], np.int64)
         self.right = np.array([vocab[b] for _, b in merges], np.int64)
@@ -62,7 +64,7 @@ class PairIndex:
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 if it never merges."""
-        key = left << 32 | right
+        key = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], -1)
 
@@ -76,7 +78,7 @@ class PairIndex:
             s[best[1] : best[1] + 2] = [int(self.made[best[0]])]
         return s
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
+    def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word (none empty)."""
         if not words:
             return []
@@ -85,9 +87,9 @@ class PairIndex:
         raw = np.frombuffer(b"".join(words), np.uint8)
         sym = self.inner[raw]
         sym[ends - 1] = self.final[raw[ends - 1]]
-        nxt = np.arange(1, len(raw) + 1)
+        nxt = np.arange(1, len(raw) + 1, dtype=np.int32)
         nxt[ends - 1] = -1
-        prv = np.arange(-1, len(raw) - 1)
+        prv = np.arange(-1, len(raw) - 1, dtype=np.int32)
         prv[ends - size] = -1
         index: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
@@ -108,7 +110,7 @@ class PairIndex:
                     heapq.heappush(active, r)
                 index[r].append(part)
 
-        note(np.arange(len(raw)), -1)
+        note(np.arange(len(raw), dtype=np.int32), -1)
         while active:
             r = heapq.heappop(active)
             at = index.pop(r)
@@ -129,9 +131,9 @@ class PairIndex:
             note(np.unique(np.concatenate((before[before >= 0], at))), r)
         live = sym >= 0
         count = np.add.reduceat(live, ends - size)
-        out = [x.tolist() for x in np.split(sym[live], np.cumsum(count)[:-1])]
+        out = np.split(sym[live], np.cumsum(count)[:-1])
         for w in np.unique(np.searchsorted(ends, np.concatenate(odd), side="right")).tolist() if odd else []:
-            out[w] = self.one_by_one(words[w])
+            out[w] = np.array(self.one_by_one(words[w]), np.int32)
         return out
 
     _ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
@@ -150,14 +152,48 @@ class PairIndex:
         return [bytes(self.to_byte[c] for c in w) for w, _ in self._library.pre_tokenizer.pre_tokenize_str(text)]
 
 
-def make_room(known: dict, chunks: set[bytes]) -> list[bytes]:
-    """The chunks that a cache doesn't know; it first forgets its older half if they would overfill it."""
-    new = list(chunks.difference(known))
-    if len(known) + len(new) > CACHE_WORDS:
-        for c in list(itertools.islice(known, max(len(known) // 2, len(known) + len(new) - CACHE_WORDS))):
-            del known[c]
-        new = list(chunks.difference(known))
-    return new
+class WordCache:
+    """Packed ids of pieces of texts, in two generations of bounded size: what the older one is asked for moves to the younger one."""
+
+    def __init__(self, limit: int | None = None):
+        self.young, self.old, self.held, self.limit = {}, {}, 0, limit or CACHE_BYTES
+
+    def put(self, key: bytes, packed: bytes) -> None:
+        self.held += ENTRY_BYTES + len(key) + len(packed)
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, ENTRY_BYTES + len(key) + len(packed)
+        self.young[key] = packed
+
+    def resolve(self, keys: Iterable[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
+        """The packed ids of distinct keys, in their order; learn gives those of the new ones."""
+        out, new = [], []
+        for k in keys:
+            packed = self.young.get(k)
+            if packed is None:
+                packed = self.old.get(k)
+                if packed is None:
+                    new.append((len(out), k))
+                else:
+                    self.put(k, packed)
+            out.append(packed)
+        for (at, k), packed in zip(new, learn([k for _, k in new]), strict=True):
+            out[at] = packed
+            self.put(k, packed)
+        return out
+
+    def ids(self, texts: list[str | None], learn: Callable[[list[bytes]], list[bytes]]) -> list[np.ndarray]:
+        """Ids of each text. Only the distinct pieces of the texts are held, and their places in the texts."""
+        place: dict[bytes, int] = defaultdict(itertools.count().__next__)
+        placed = [np.fromiter(map(place.__getitem__, s), np.int32, len(s)) for s in map(keys_of, texts)]
+        packed = self.resolve(place, learn)
+        size = np.array([len(p) // 4 for p in packed], np.int64)
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(packed), np.int32)
+        out = []
+        for p in placed:
+            n = size[p]
+            out.append(flat[np.repeat(start[p] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        return out
 
 
 _coders: dict = {}
@@ -186,39 +222,31 @@ def keys_of(text: str | None) -> list[bytes]:
 
 
 class CachedEncoder:
-    """Digest parts of chunks: (number of ids, ids as text, tokens as text)."""
+    """Encodes and decodes whole texts."""
 
     def __init__(self, path: str):
-        self.bpe, self.known = PairIndex(path), {}
-
-    def learn(self, chunks: set[bytes]) -> None:
-        new = make_room(self.known, chunks)
-        split = [self.bpe.pieces(c[1:]) if c.startswith(WHOLE) else [c] for c in new]
+        self.bpe, self.cache = PairIndex(path), WordCache()
+        size = max(self.bpe.tokens) + 1
+        self.tokens = [self.bpe.tokens.get(i, "") for i in range(size)]
+        self.numbers = [str(i) for i in range(size)]
+
+    def learn(self, chunks: list[bytes]) -> list[bytes]:
+        """Packed ids of each chunk."""
+        split = [self.bpe.pieces(c[1:]) if c.startswith(WHOLE) else [c] for c in chunks]
         words = list({w for s in split for w in s if not isinstance(w, int)})
-        ids = dict(zip(words, self.bpe.encode(words), strict=True))
-        tokens = self.bpe.tokens
-        for chunk, s in zip(new, split, strict=True):
-            own = [i for w in s for i in ([w] if isinstance(w, int) else ids[w])]
-            self.known[chunk] = (len(own), " ".join(map(str, own)), " ".join([tokens[i] for i in own]))
-
-    def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
-        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text) of each text."""
-        split = [keys_of(t) for t in texts]
-        self.learn(set().union(*split))
-        for s in split:
-            got = [g for g in map(self.known.__getitem__, s) if g[0]]
-            ids, decoded = " ".join([g[1] for g in got]), " ".join([g[2] for g in got])
-            yield sum(g[0] for g in got), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
-
-    def ids(self, texts: list[str | None]) -> Iterator[list[int]]:
-        split = [keys_of(t) for t in texts]
-        self.learn(set().union(*split))
-        for s in split:
-            yield [int(i) for c in s if self.known[c][0] for i in self.known[c][1].split(" ")]
+        ids = {w: x.tobytes() for w, x in zip(words, self.bpe.encode(words), strict=True)}
+        return [b"".join([w.to_bytes(4, "little") if isinstance(w, int) else ids[w] for w in s]) for s in split]
+
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        return self.cache.ids(texts, self.learn)
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a space, special tokens as well: the file names no decoder."""
-        return " ".join([self.bpe.tokens[i] for i in ids])
+        return " ".join(map(self.tokens.__getitem__, ids))
+
+    def shown(self, ids: list[int]) -> str:
+        """Decimal ids joined by a space."""
+        return " ".join(map(self.numbers.__getitem__, ids))
 
 
 def groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES) -> Iterator[tuple[list, list[str | None]]]:
@@ -238,26 +266,62 @@ def groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_BYTES) -> Itera
         yield ids, texts
 
 
-DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-
-
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+
+
+def encode_ids(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
+    """Per row: doc_id, ids array<int>. No shuffle.
+
+    docs: doc_id, text; other columns are ignored. Null or empty texts have no ids. Null doc_ids stay null; repeated
+    rows give repeated results; an empty table gives none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = cached_encoder(name)
+        for doc_ids, texts in groups(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), id_lists(coder.ids(texts))], names=["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+
+
+def decode_ids(encoded: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
+    """Per row of encoded (doc_id, ids): doc_id and the decoded text. Null ids give an empty text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = cached_encoder(name)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                doc_ids, lists = batch.slice(k, 256).columns
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array([coder.decode(np.asarray(x.values).tolist()) if x.is_valid else "" for x in lists], pa.string())], names=["doc_id", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+
+
+DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+
 def encode_digests(docs: DataFrame, name: str = "word_bpe_49k.json") -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256. No shuffle.
+    """Per row: doc_id, n_tokens, and SHA-256 of the decimal ids and of the text that the ids decode to.
 
-    docs: doc_id, text; other columns are ignored. Null or empty texts have no ids (digests of the empty string).
-    Null doc_ids stay null; repeated rows give repeated results; an empty table gives none.
+    As encode_ids() and decode_ids() give them, in one pass over the rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = cached_encoder(name)
-        for ids, texts in groups(batches):
-            got = list(coder.digests(texts))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.string())], schema=DIGEST)
+        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        for doc_ids, texts in groups(batches):
+            rows = []
+            for x in coder.ids(texts):
+                ids = x.tolist()
+                rows.append((len(ids), sha(coder.shown(ids)), sha(coder.decode(ids))))
+            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), DIGEST.types[1:], strict=True)]], schema=DIGEST)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

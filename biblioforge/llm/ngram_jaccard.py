@@ -36,6 +36,7 @@ BLOCK = 1_000_000  # shingles that a task holds before it sends them
 BUCKET_BYTES = 4 << 20  # input bytes per hash bucket
 PIVOTS, ROUNDS = 2, 2  # pivots of a shingle in a round; rounds
 BLOCK_SHINGLES = 100_000  # shingles of the members that are compared with as many others at once
+TASK_SHINGLES = 1_000_000  # shingles of the meetings of blocks that are sent to one call
 MULTI = 0xFFFF
 
 
@@ -337,50 +338,59 @@ def _within_shingles(now: DataFrame, members: DataFrame, comp_of: DataFrame, set
     rest = size.where(~large).groupBy("h", "band").agg(F.sum("c").alias("rest"))
     wide = lambda c: (F.floor(F.col(c) / BLOCK_SHINGLES) + 1).cast("long")
     placed = part.join(size, ["h", "band", "comp"]).join(rest, ["h", "band"], "left")
-    placed = placed.select("h", "band", "comp", "node", F.when(large, F.col("comp")).otherwise(F.lit(-1)).alias("alone"), F.when(large, F.pmod(F.xxhash64("node"), wide("c"))).otherwise(F.pmod(F.xxhash64("comp"), wide("rest"))).alias("sub"))
+    placed = placed.select("h", "band", "comp", "node", "n", F.when(large, F.col("comp")).otherwise(F.lit(-1)).alias("alone"), F.when(large, F.pmod(F.xxhash64("node"), wide("c"))).otherwise(F.pmod(F.xxhash64("comp"), wide("rest"))).alias("sub"))
     placed = scratch.keep(placed, "placed")
     key = ["h", "band", "alone", "sub"]
-    light = placed.groupBy(*key).agg(F.count("*").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    light = placed.groupBy(*key).agg(F.sum("n").alias("w"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     met = light.alias("x").join(light.alias("y"), F.expr("x.h = y.h and (x.band = y.band and struct(x.alone, x.sub) <= struct(y.alone, y.sub) or x.band + 1 = y.band) and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)"))
-    # Blocks without a partner aren't made.
-    met = scratch.keep(met.select(F.struct(*[f"x.{k}" for k in key]).alias("i"), F.struct(*[f"y.{k}" for k in key]).alias("j")), "meetings")
-    needed = met.select("i").union(met.select("j")).distinct().withColumnRenamed("i", "id")
-    full = placed.withColumn("id", F.struct(*key)).join(needed, "id").join(sets.select("node", "shingles"), "node")
-    blocks = scratch.keep(full.groupBy("id").agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("m")), "blocks")
-    both = met.join(blocks.select(F.col("id").alias("i"), F.col("m").alias("x")), "i").join(blocks.select(F.col("id").alias("j"), F.col("m").alias("y")), "j")
-    found = scratch.keep(both.select("x", "y").mapInArrow(_compare(percent), "a long, b long"), "found")
-    scratch.drop(blocks, placed, part)
+    met = met.select(F.monotonically_increasing_id().alias("pair"), F.struct(*[f"x.{k}" for k in key]).alias("i"), F.struct(*[f"y.{k}" for k in key]).alias("j"), (F.col("x.w") + F.col("y.w")).alias("w"))
+    met = scratch.keep(met, "meetings")
+    calls = (met.agg(F.sum("w")).first()[0] or 0) // TASK_SHINGLES + 1
+    call = F.pmod(F.xxhash64("pair"), F.lit(calls)).alias("call")
+    sides = met.select(call, "pair", F.lit(0).alias("side"), F.col("i").alias("id")).union(met.where("i <> j").select(call, "pair", F.lit(1).alias("side"), F.col("j").alias("id")))
+    rows = placed.select(F.struct(*key).alias("id"), "node", "comp").join(sides, "id").join(sets.select("node", "shingles"), "node")
+    found = scratch.keep(rows.select("call", "pair", "side", "node", "comp", "shingles").groupBy("call").applyInArrow(_compare(percent), "a long, b long"), "found")
+    scratch.drop(met, placed, part)
     return found
 
 
-def _compare(percent: int):
-    def flat(block):
-        m = block.values
-        lists = m.field("shingles")
-        n = np.diff(np.asarray(lists.offsets))
-        n = n[: len(m)]
-        h = np.asarray(lists.flatten())
-        return np.asarray(m.field("node")), np.asarray(m.field("comp")), n, h, np.repeat(np.arange(len(n)), n)
+Side = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # node, comp, size of each member; all shingles
+
+
+def _links(x: Side, y: Side, percent: int) -> dict[tuple[int, int], tuple[int, int]]:
+    """One link (a, b) for two components of two blocks."""
+    (xi, xc, xn, xh), (yi, yc, yn, yh) = x, y
+    order = np.argsort(yh, kind="stable")
+    yh, yo = yh[order], np.repeat(np.arange(len(yn)), yn)[order]
+    lo, hi = np.searchsorted(yh, xh, "left"), np.searchsorted(yh, xh, "right")
+    found = {}
+    for i, start in enumerate(np.cumsum(xn) - xn):  # one document against the other block
+        first, times = lo[start : start + xn[i]], (hi - lo)[start : start + xn[i]]
+        if not times.any():
+            continue
+        at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+        common = np.bincount(yo[at], minlength=len(yi))
+        like = (100 * common >= percent * (xn[i] + yn - common)) & (yc != xc[i])
+        for j in np.flatnonzero(like).tolist():
+            found.setdefault((int(xc[i]), int(yc[j])), (int(xi[i]), int(yi[j])))
+    return found
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1), strict=True):
-                (xi, xc, xn, xh, xo), (yi, yc, yn, yh, yo) = flat(x), flat(y)
-                order = np.argsort(yh, kind="stable")
-                yh, yo = yh[order], yo[order]
-                lo, hi = np.searchsorted(yh, xh, "left"), np.searchsorted(yh, xh, "right")
-                found: dict[tuple[int, int], tuple[int, int]] = {}  # one link for two components
-                for i, start in enumerate(np.cumsum(xn) - xn):  # one document against the other block
-                    lo_i, len_i = lo[start : start + xn[i]], (hi - lo)[start : start + xn[i]]
-                    if not len_i.sum():
-                        continue
-                    at = np.repeat(lo_i - np.cumsum(len_i) + len_i, len_i) + np.arange(len_i.sum())
-                    common = np.bincount(yo[at], minlength=len(yi))
-                    like = (100 * common >= percent * (xn[i] + yn - common)) & (yc != xc[i])
-                    for j in np.flatnonzero(like).tolist():
-                        found.setdefault((int(xc[i]), int(yc[j])), (int(xi[i]), int(yi[j])))
-                cols = list(zip(*found.values(), strict=True)) or [[], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+
+def _compare(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        pair, side, node, comp = (table.column(c).to_numpy() for c in ("pair", "side", "node", "comp"))
+        lists = table.column("shingles").chunk(0)
+        flat, ends = np.asarray(lists.values), np.asarray(lists.offsets)
+        order = np.lexsort((side, pair))
+        key = np.column_stack((pair, side))[order]
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(order)]
+        sides: dict[int, list[Side]] = {}
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            at = order[lo:hi]
+            sides.setdefault(int(key[lo, 0]), []).append((node[at], comp[at], ends[at + 1] - ends[at], np.concatenate([flat[ends[k] : ends[k + 1]] for k in at])))
+        found = [ab for s in sides.values() for ab in _links(s[0], s[-1], percent).values()]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
@@ -399,7 +409,7 @@ def keep_one_per_component(docs: DataFrame, size: int = 5, percent: int = 75) ->
     verdict = verdict.select("doc_id", "th", F.expr("first <> struct(doc_id, th)").alias("goes"), F.expr("times > 1").alias("again")).where("goes or again")
     verdict = scratch.keep(verdict.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("goes").alias("__goes"), F.col("again").alias("__again")), "verdict")
     match = (docs.doc_id.cast("long") == F.col("__id")) & (F.xxhash64(docs.text.cast("string")) == F.col("__th"))
-    # Rows that repeat are few: they alone are grouped.
+    again = scratch.keep(verdict.where("__again and not __goes").select("__id", "__th"), "again")  # a table of its own: mostly small enough for a broadcast
     once = docs.join(verdict, match, "left_anti")
-    stays = docs.join(verdict.where("__again and not __goes"), match, "left_semi")
+    stays = docs.join(again, match, "left_semi")
     return once.unionByName(stays.dropDuplicates(["doc_id", "text"]))

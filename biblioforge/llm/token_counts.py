@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioforge.llm.bpe import cached_encoder, keys_of
+from biblioforge.llm.bpe import cached_encoder
 
 KEYS = ["source", "lang", "tokenizer"]
 STATE = "doc_id long, source string, lang string, tokenizer string, n_tokens long, alive boolean"
@@ -28,10 +28,7 @@ def whitespace_count(texts: list[str | None]) -> list[int]:
 
 def bpe_counter(name: str = "word_bpe_49k.json") -> Callable[[list[str | None]], list[int]]:
     def count(texts: list[str | None]) -> list[int]:
-        coder = cached_encoder(name)
-        split = [keys_of(t) for t in texts]
-        coder.learn(set().union(*split))
-        return [sum([coder.known[c][0] for c in s]) for s in split]
+        return [len(x) for x in cached_encoder(name).ids(texts)]
 
     return count
 

@@ -17,31 +17,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from biblioforge.llm.bpe import WHOLE, groups, keys_of, make_room, tokenizer_path
+from biblioforge.llm.bpe import WHOLE, WordCache, groups, id_lists, tokenizer_path
 
 END_ID = 1
 WRITTEN = "doc_id long, part int, start_in_part long, n_tokens long, ids array<int>"
 _KINDS = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("start_in_part", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-_learners: dict = {}  # by tokenizer, in each Python worker: how to learn pieces, and the ids of those known
+_learners: dict = {}  # by tokenizer, in each Python worker: how to learn pieces, and the cache of those known
 
 
 def _learner(coder):
-    """Adds the ids of pieces to a dict. Words go to the library as one text: each ends with a token that ends a word."""
+    """Gives the ids of pieces. Words go to the library as one text: each ends with a token that ends a word."""
     ends = np.zeros(coder.get_vocab_size(), bool)
     ends[[i for t, i in coder.get_vocab().items() if t.endswith("</w>")]] = True
 
-    def learn(pieces: list[bytes], known: dict) -> None:
+    def some(pieces: list[bytes]) -> list[bytes]:
         words = [p for p in pieces if not p.startswith(WHOLE)]
         ids = np.array(coder.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.int32)
         cuts = np.flatnonzero(ends[ids]) + 1 if len(ids) else np.empty(0, np.int64)
+        known = {}
         if len(cuts) == len(words):
             raw = ids.tobytes()
-            known.update((w, raw[4 * lo : 4 * hi]) for w, lo, hi in zip(words, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True))
-            pieces = [p for p in pieces if p.startswith(WHOLE)]
-        for p, e in zip(pieces, coder.encode_batch_fast([p.removeprefix(WHOLE).decode() for p in pieces], add_special_tokens=False), strict=True):
+            known = {w: raw[4 * lo : 4 * hi] for w, lo, hi in zip(words, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)}
+        rest = [p for p in pieces if p not in known]
+        for p, e in zip(rest, coder.encode_batch_fast([p.removeprefix(WHOLE).decode() for p in rest], add_special_tokens=False), strict=True):
             known[p] = np.array(e.ids, np.int32).tobytes()
+        return [known[p] for p in pieces]
+
+    def learn(pieces: list[bytes]) -> list[bytes]:
+        return [x for k in range(0, len(pieces), 2000) for x in some(pieces[k : k + 2000])]
 
     return learn
 
@@ -56,22 +61,17 @@ def _encode(name: str):
             coder = Tokenizer.from_file(tokenizer_path(name))
             coder.no_padding()
             coder.no_truncation()
-            _learners[name] = _learner(coder), {}
-        learn, known = _learners[name]
+            _learners[name] = _learner(coder), WordCache()
+        learn, cache = _learners[name]
         part, start = TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], np.int32).tobytes()
+        end = np.int32(END_ID)
         for doc_ids, texts in groups(batches):
-            # The tokenizer never merges across these pieces, so each is encoded alone, and once.
-            split = [keys_of(t) for t in texts]
-            new = make_room(known, set().union(*split))
-            for k in range(0, len(new), 2000):
-                learn(new[k : k + 2000], known)
-            packed = [b"".join(map(known.__getitem__, s)) + end for s in split]
-            size = np.array([len(p) // 4 for p in packed], np.int64)
+            # The tokenizer never merges across pieces, so each is encoded alone, and once.
+            ids = [np.append(x, end) for x in cache.ids(texts, learn)]
+            size = np.array([len(x) for x in ids], np.int64)
             ends = np.cumsum(size)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(size), part, np.int32)), pa.array(start + ends - size), pa.array(size), ids], schema=_KINDS
+                [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(size), part, np.int32)), pa.array(start + ends - size), pa.array(size), id_lists(ids)], schema=_KINDS
             )
             start += int(ends[-1])
 
@@ -90,24 +90,34 @@ def write_token_orc(docs: DataFrame, path: str, name: str = "word_bpe_49k.json")
     rows.write.options(**options).orc(path)
 
 
-def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a written folder with their global `start`."""
-    rows = spark.read.schema(WRITTEN).orc(path)
+def _offsets(rows: DataFrame) -> DataFrame:
+    """part, offset: the ids before each part; a row per file."""
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    return rows.join(offsets, "part").select("doc_id", (F.col("offset") + F.col("start_in_part")).alias("start"), "n_tokens", "ids")
+    return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
+
+
+def _started(rows: DataFrame, written: DataFrame, column: str) -> DataFrame:
+    return rows.join(_offsets(written), "part").select("doc_id", (F.col("offset") + F.col("start_in_part")).alias("start"), "n_tokens", column)
+
+
+def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a written folder with their global `start`: doc_id, start, n_tokens, ids."""
+    rows = spark.read.schema(WRITTEN).orc(path)
+    return _started(rows, rows, "ids")
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        lists = b.column(3)
+        lists = b.column(4)
         values = np.asarray(lists.values).astype("<u4", copy=False)
         at = np.asarray(lists.offsets)
         crc = [zlib.crc32(values[lo:hi].tobytes()) for lo, hi in zip(at[:-1], at[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(crc, pa.int64())], names=["doc_id", "part", "start_in_part", "n_tokens", "ids_crc32"])
 
 
 def token_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 as read back from the files."""
-    return read_token_orc(spark, path).mapInArrow(_checksums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """doc_id, start, n_tokens, ids_crc32 as read back from the files. Ids are summed where they are read; only sums are joined."""
+    written = spark.read.schema(WRITTEN).orc(path)
+    rows = written.mapInArrow(_checksums, "doc_id long, part int, start_in_part long, n_tokens long, ids_crc32 long")
+    return _started(rows, written, "ids_crc32")
