@@ -1,9 +1,10 @@
 """Toxicity by weak supervision (operator 10).
 
-Voters are lexicon entries (whole words) and patterns (word beginnings) found in a bounded sample of labelled rows;
-each fires or abstains on a text. A generative label model estimates, by expectation maximisation, how often each
-voter fires in either class, and discounts voters that fire together within a class. Its posterior labels train a
-logistic classifier over the votes, which scores every whole text. Only the text enters a score.
+Voters are lexicon entries (whole words and word beginnings, found in a bounded sample of labelled rows) and patterns
+over them (how many entries a text holds, and how many per 100 words); each fires or not on a text. A generative label
+model estimates, by expectation maximisation, how often each voter fires in either class, and discounts voters that
+fire together within a class; the given label is one more noisy voter. Its posterior labels train a logistic classifier
+over the votes, which the sample's labels calibrate and which scores every whole text. Only the text enters a score.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioforge.llm.bpe import groups
-from biblioforge.llm.common import mix, word_hashes
+from biblioforge.llm.common import Scratch, mix, word_hashes
 
 FOLDS = 5  # rows whose crc32(doc_id) is a multiple are held out
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 9000  # labelled rows that fit the model, at most
-CANDIDATES, GOOD = 200_000, 4000  # most frequent features of the sample's toxic rows, and those of them that clean rows hardly have, at most
-VOTERS = 80
+# Thresholds of the lexicon, as shares of the sample's toxic rows: an entry's support, what it adds to the entries chosen
+# before it, the support of an entry that adds nothing; and its share of the clean rows over its share of the toxic ones.
+SUPPORT, GAIN, SPARE, FOREIGN = 0.01, 0.002, 0.02, 0.1
+SAME = 0.8  # share of rows in common from which an entry repeats another
+HITS, DENSITIES = (2, 3), (0.3, 0.6, 1.0)  # pattern voters: occurrences of entries, and their number per 100 words
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # bytes
 LETTER = np.zeros(256, bool)
 LETTER[97:123] = True
@@ -45,6 +49,12 @@ def text_features(text: str | None) -> np.ndarray:
     return np.concatenate(hashes)
 
 
+def word_count(text: str | None) -> int:
+    """Letter runs of a text, at least 1."""
+    raw = np.frombuffer((text or "").lower().encode(), np.uint8)
+    return max(1, int((np.diff(np.concatenate(([False], LETTER[raw])).view(np.int8)) == 1).sum()))
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = [np.unique(text_features(t)).view(np.int64) for t in b.column(1).to_pylist()]
@@ -52,29 +62,39 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _occurrences(keep: np.ndarray):
-    """Per partition: place in `keep` (sorted) and in how many rows it occurs; the place after the last counts the rows."""
+    """Per partition: place in `keep` (sorted) and in how many rows it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(keep) + 1, np.int64)
+        total = np.zeros(len(keep), np.int64)
         for b in batches:
             for t in b.column(1).to_pylist():
                 f = np.unique(text_features(t).view(np.int64))
                 at = np.minimum(np.searchsorted(keep, f), len(keep) - 1)
                 total[at[keep[at] == f]] += 1
-                total[-1] += 1
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
     return run
 
 
+def entry_counts(text: str | None, entries: np.ndarray) -> np.ndarray:
+    """How often a text holds each entry (sorted hashes)."""
+    h = text_features(text).view(np.int64)
+    at = np.minimum(np.searchsorted(entries, h), len(entries) - 1)
+    return np.bincount(at[entries[at] == h], minlength=len(entries))
+
+
 def _restricted(keep: np.ndarray):
-    """doc_id, toxic, f: the features among `keep` (sorted)."""
+    """toxic, words, and the places in `keep` (sorted) with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.intersect1d(text_features(t).view(np.int64), keep) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "toxic", "f"])
+            texts = b.column(2).to_pylist()
+            counts = [entry_counts(t, keep) for t in texts]
+            places = [np.flatnonzero(c) for c in counts]
+            lists = pa.list_(pa.int64())
+            cols = [b.column(0), b.column(1), pa.array([word_count(t) for t in texts], pa.int64()), pa.array(places, lists), pa.array([c[p] for c, p in zip(counts, places, strict=True)], lists)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "toxic", "words", "at", "n"])
 
     return run
 
@@ -85,31 +105,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels = labels.where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id")
     picked = labels.where("toxic = 1").orderBy(order, "doc_id").limit(SAMPLE_TOXIC).union(labels.where("toxic = 0").orderBy(order, "doc_id").limit(SAMPLE_CLEAN))
-    return docs.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "text")  # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of 12 bytes
-
+    rows = docs.join(F.broadcast(picked), "doc_id")  # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of 12 bytes
+    return rows.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text"))
 
-def rare(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
-    """Features whose share of the clean rows is at most 3 % of their share of the toxic rows (n_toxic: a lower bound will do)."""
-    return clean * n_toxic <= 0.03 * toxic * max(1, n_clean)
 
+def choose_entries(rows: dict[int, set[int]], foreign: dict[int, float], n_toxic: int) -> list[int]:
+    """The lexicon: a greedy cover of the toxic rows, and the other well supported entries that repeat none before them.
 
-def choose_voters(toxic_sets: list[np.ndarray], clean_times: dict[int, int]) -> list[int]:
-    """Greedy cover of the toxic rows by features that clean rows hardly have; of equal ones the rarer among clean rows."""
-    good: dict[int, set[int]] = {}
-    for i, f in enumerate(toxic_sets):
-        for x in f.tolist():
-            good.setdefault(x, set()).add(i)
-    left, out = set(range(len(toxic_sets))), []
-    while good and len(out) < VOTERS:
-        best = max(good, key=lambda x: (len(good[x] & left), -clean_times.get(x, 0), len(good[x]), x))
-        gain = len(good[best] & left)
-        if gain < max(2, 0.002 * len(toxic_sets)):
+    rows: entry -> toxic rows that hold it; foreign: entry -> clean rows that hold it, on the scale of the toxic ones.
+    Ties go to the entry that clean rows hold less, then to the smaller one.
+    """
+    left, out, rest = set().union(*rows.values()) if rows else set(), [], dict(rows)
+    while rest:
+        gain = {x: len(r & left) - foreign[x] for x, r in rest.items()}
+        best = min(rest, key=lambda x: (-gain[x], foreign[x], -len(rest[x]), x))
+        if gain[best] < max(2, GAIN * n_toxic):
             break
         out.append(best)
-        left -= good.pop(best)
-    # Voters besides the cover make the model able to tell their accuracies apart.
-    spare = sorted(good, key=lambda x: (-len(good[x]), clean_times.get(x, 0), x))[: max(0, min(VOTERS - len(out), 2 * len(out)))]
-    return [*out, *spare]
+        left -= rest.pop(best)
+    for x in sorted(rest, key=lambda x: (-len(rest[x]), foreign[x], x)):
+        if len(rest[x]) >= max(3, SPARE * n_toxic) and all(len(rest[x] & rows[y]) < SAME * min(len(rest[x]), len(rows[y])) for y in out):
+            out.append(x)
+    return out
+
+
+def voters(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Votes of the entries and of the patterns over them, from the entries' counts in each row."""
+    hits = counts.sum(1)
+    density = 100 * hits / words
+    return np.column_stack((counts > 0, *[hits >= k for k in HITS], *[density >= k for k in DENSITIES])).astype(float)
 
 
 def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -135,10 +159,10 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 30) -> np.nda
     return post
 
 
-def design(votes: np.ndarray) -> np.ndarray:
-    """Intercept, votes, and how many there are."""
-    hits = votes.sum(1)
-    return np.column_stack((np.ones(len(votes)), votes, np.log1p(hits), hits > 0))
+def design(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Intercept, votes, occurrences of entries and their density."""
+    hits = counts.sum(1)
+    return np.column_stack((np.ones(len(counts)), voters(counts, words), np.log1p(hits), np.log1p(100 * hits / words)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.05, rounds: int = 40) -> np.ndarray:
@@ -156,52 +180,70 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.05, rounds: int = 4
 
 
 class Model:
-    """Voters (sorted hashes) and the weights of the classifier."""
+    """Lexicon (sorted hashes) and the weights of the classifier."""
 
-    def __init__(self, voters: np.ndarray, weights: np.ndarray, base: float):
-        self.voters, self.weights, self.base = voters, weights, base
+    def __init__(self, entries: np.ndarray, weights: np.ndarray, base: float, scale: tuple[float, float] = (0.0, 1.0)):
+        self.entries, self.weights, self.base, self.scale = entries, weights, base, scale
 
-    def votes(self, text: str | None) -> np.ndarray:
-        h = text_features(text).view(np.int64)
-        at = np.minimum(np.searchsorted(self.voters, h), len(self.voters) - 1)
-        out = np.zeros(len(self.voters))
-        out[at[self.voters[at] == h]] = 1
-        return out
+    def logit(self, counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return np.clip(design(counts, words) @ self.weights, -15, 15)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if not len(self.voters):
+        if not len(self.entries) or not texts:
             return np.full(len(texts), self.base)
-        votes = np.array([self.votes(t) for t in texts])
-        return 1 / (1 + np.exp(-np.clip(design(votes) @ self.weights, -30, 30)))
+        counts = np.array([entry_counts(t, self.entries) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(self.scale[0] + self.scale[1] * self.logit(counts, np.array([word_count(t) for t in texts])), -30, 30)))
+
+
+def train(entries: np.ndarray, counts: np.ndarray, words: np.ndarray, gold: np.ndarray) -> Model:
+    """Posterior labels from the label model, the classifier on them, and its calibration by the given labels."""
+    post = label_model(voters(counts, words), gold)
+    model = Model(entries, fit_logistic(design(counts, words), post), float(gold.mean()))
+    a, b = fit_logistic(np.column_stack((np.ones(len(gold)), model.logit(counts, words))), gold.astype(float), 1e-3)
+    model.scale = (float(a), float(b))
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from the labelled sample. Features of at most the sample's rows reach the driver."""
-    sample = labelled_sample(docs, labels)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample = scratch.keep(labelled_sample(docs, labels), "sample")
+    size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
+    none = Model(np.empty(0, np.int64), np.zeros(1), n_toxic / max(1, n_toxic + n_clean))
     toxic = sample.where("toxic = 1").select("doc_id", "text").mapInArrow(_features, "doc_id long, f array<long>")
-    top = toxic.select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where("n >= 2").orderBy(F.desc("n"), "f").limit(CANDIDATES).toArrow()
+    top = toxic.select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= max(2, SUPPORT * n_toxic)).toArrow()
     keep, times = np.asarray(top.column("f")), np.asarray(top.column("n"))
-    if not len(keep):
-        return Model(keep, np.zeros(1), 0.0)
+    if not len(keep) or not n_clean:
+        return none
     order = np.argsort(keep)
     keep, times = keep[order], times[order]
     sums = sample.where("toxic = 0").select("doc_id", "text").mapInArrow(_occurrences(keep), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    clean = np.zeros(len(keep) + 1, np.int64)  # the last cell counts the rows
+    clean = np.zeros(len(keep), np.int64)
     clean[np.asarray(sums.column("at"))] = np.asarray(sums.column("n"))
-    n_clean, clean = int(clean[-1]), clean[:-1]
-    fair = np.flatnonzero(rare(clean, times, n_clean, int(times.max())))
-    fair = fair[np.lexsort((keep[fair], -times[fair]))][:GOOD]
-    good = np.sort(keep[fair])
-    rows = sample.mapInArrow(_restricted(good), "doc_id long, toxic int, f array<long>").toArrow()
-    gold = np.asarray(rows.column("toxic"))
-    sets = [np.asarray(x.values) for x in rows.column("f")]
-    chosen = choose_voters([s for s, g in zip(sets, gold, strict=True) if g == 1], dict(zip(keep[fair].tolist(), clean[fair].tolist(), strict=True)))
-    voters = np.sort(np.array(chosen, np.int64))
-    if not len(voters):
-        return Model(voters, np.zeros(1), float(gold.mean()))
-    votes = np.array([np.isin(voters, s) for s in sets], float)
-    post = label_model(votes, gold)
-    return Model(voters, fit_logistic(design(votes), post), float(gold.mean()))
+    foreign = clean * n_toxic / n_clean
+    fair = np.flatnonzero(foreign <= FOREIGN * times)
+    if not len(fair):
+        return none
+    good, foreign = keep[fair], foreign[fair]
+    rows = sample.mapInArrow(_restricted(good), "doc_id long, toxic int, words long, at array<long>, n array<long>").orderBy("doc_id").toArrow()
+    gold, words = np.asarray(rows.column("toxic")), np.asarray(rows.column("words"))
+    places, counts = ([np.asarray(x.values) for x in rows.column(c)] for c in ("at", "n"))
+    held: dict[int, set[int]] = {}
+    for i in np.flatnonzero(gold == 1).tolist():
+        for k in places[i].tolist():
+            held.setdefault(k, set()).add(i)
+    chosen = np.sort(np.array(choose_entries(held, dict(enumerate(foreign.tolist())), n_toxic), np.int64))
+    if not len(chosen):
+        return none
+    column = np.full(len(good), -1)
+    column[chosen] = np.arange(len(chosen))
+    matrix = np.zeros((len(gold), len(chosen)), np.int64)
+    for i, (p, c) in enumerate(zip(places, counts, strict=True)):
+        own = column[p] >= 0
+        matrix[i, column[p[own]]] = c[own]
+    scratch.drop(sample)
+    return train(good[chosen], matrix, words, gold)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None) -> DataFrame:
