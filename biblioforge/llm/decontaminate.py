@@ -3,9 +3,11 @@
 A document holds a benchmark item if an item-sized window of its words is within `share` of the item's length in word
 edit distance. Each window runs through the CGK random walk: it copies the word under the cursor and moves on if a
 random bit of (step, word) says so, which maps a small edit distance to a small Hamming distance of two walks. Per
-repetition K walk positions are sampled and hashed to a key; items and windows meet on equal keys. REPEATS is set so
-that a pair that differs in 70 % of the walk positions still meets with probability 1 - (1 - 0.3**K)**REPEATS = 0.9.
-Every meeting is verified by exact edit distance.
+repetition SAMPLED positions of the walk are hashed to a key; items and windows meet on equal keys. Walks of L words end
+near step 2 L; positions are drawn before that, and a repetition with a position where the walk has ended has no key, so
+that ends never meet. Walks at 20 % of edits agree in about 0.7 of their positions (measured for 5 to 60 words), so they
+meet with probability 1 - (1 - 0.7**SAMPLED)**REPEATS, over 0.99; unrelated ones share a word at a position seldom
+and SAMPLED of them hardly ever. Every meeting is verified by exact edit distance.
 
 Before the walk, windows that can't match are left out without loss: d edits leave at least L - 1 - 2d of the L - 1
 neighbouring word pairs of an item, so a window needs that many pairs from the item's own.
@@ -28,8 +30,8 @@ from biblioforge.llm.bpe import groups
 from biblioforge.llm.common import hashed_words, mix, word_hashes, word_spans
 
 SHARE = 0.2  # edits allowed, as a share of the item's words
-MIN_WORDS = 5  # shorter items are no evidence and match nothing
-SAMPLED, REPEATS = 2, 24
+MIN_WORDS = 5  # shorter items are no evidence; a parameter of the operator, with 1 all items count
+SAMPLED, REPEATS = 4, 24
 BLOCK_WORDS = 1_000_000  # words of the items that travel at once
 _SEP = b"\n"
 
@@ -52,9 +54,14 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
+def walk_steps(length: int) -> int:
+    """Steps from which positions are drawn: most walks are still inside the text."""
+    return max(1, 7 * length // 4)
+
+
 def sampled_positions(length: int) -> np.ndarray:
     """REPEATS x SAMPLED positions of the walk over sequences of this length; the same on all executors."""
-    return np.random.default_rng(length).integers(0, 3 * length, (REPEATS, SAMPLED))
+    return np.random.default_rng(length).integers(0, walk_steps(length), (REPEATS, SAMPLED))
 
 
 def walks(words: np.ndarray, steps: int) -> np.ndarray:
@@ -77,22 +84,25 @@ def walks(words: np.ndarray, steps: int) -> np.ndarray:
 
 
 def sampled_keys(words: np.ndarray, cursors: np.ndarray, length: int) -> np.ndarray:
-    """(rows, REPEATS) keys of the walks for items of this length."""
+    """(rows, REPEATS) keys of the walks for items of this length; 0 where a sampled walk has ended."""
     picks = sampled_positions(length)
     padded = np.concatenate((words, np.zeros((len(words), 1), np.uint64)), axis=1)
     at_row, repeats = np.arange(len(words))[:, None], np.arange(REPEATS)
     key = np.broadcast_to(repeats.astype(np.uint64) + np.uint64(length << 8), (len(words), REPEATS))
+    inside = np.ones(key.shape, bool)
     for k in range(SAMPLED):
         cursor = cursors[picks[:, k], at_row, repeats]
-        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.where(cursor < length, padded[at_row, cursor], np.uint64(0)))
-    return key
+        word = np.where(cursor < length, padded[at_row, cursor], np.uint64(0))
+        inside &= word != 0
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + word)
+    return np.where(inside, key, np.uint64(0))
 
 
 class Items:
     """Items of one block: word hashes by length, their pairs and their LSH tables."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = SHARE):
-        self.words = {i: w for i, t in items if len(w := hashed_words(t, lower=True)) >= MIN_WORDS}
+    def __init__(self, items: list[tuple[int, str]], share: float = SHARE, min_words: int = MIN_WORDS):
+        self.words = {i: w for i, t in items if len(w := hashed_words(t, lower=True)) >= max(1, min_words)}
         self.share = share
         self.pairs = {i: np.unique(self.pair(w)) for i, w in self.words.items()}
         self.all_pairs = np.unique(np.concatenate(list(self.pairs.values()))) if self.pairs else np.empty(0, np.uint64)
@@ -106,8 +116,8 @@ class Items:
             for k in range(0, len(own), self.rows(n)):
                 part = own[k : k + self.rows(n)]
                 w = np.stack([self.words[i] for i in part])
-                for i, keys in zip(part, sampled_keys(w, walks(w, 3 * n), n).tolist(), strict=True):
-                    for x in keys:
+                for i, keys in zip(part, sampled_keys(w, walks(w, walk_steps(n)), n).tolist(), strict=True):
+                    for x in filter(None, keys):
                         table.setdefault(x, []).append(i)
         # Which lengths of items each pair belongs to: bit k stands for the k-th length, and every 64th after it.
         self.bit = {n: k % 64 for k, n in enumerate(self.lengths)}
@@ -137,7 +147,7 @@ class Items:
     @staticmethod
     def rows(length: int) -> int:
         """Walks at once, for bounded memory."""
-        return max(8, (1 << 23) // (3 * length * REPEATS))
+        return max(8, (1 << 23) // (2 * length * REPEATS))
 
     def find(self, texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, first word, distance) of the items that texts hold; a text: its words, and known_pairs of its pairs."""
@@ -173,7 +183,7 @@ class Items:
             for r, (t, s) in enumerate(part):
                 w = texts[t][0][s : s + width]
                 words[r, : len(w)] = w
-            cursors = walks(words, 3 * max(n for x in part for _, n in wanted[x]))
+            cursors = walks(words, max(walk_steps(n) for x in part for _, n in wanted[x]))
             by_length: dict[int, list[int]] = {}
             for r, x in enumerate(part):
                 for _, n in wanted[x]:
@@ -208,12 +218,12 @@ class Items:
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("distance", pa.int64())])
 
 
-def _search(items: list[tuple[int, str]], share: float):
+def _search(items: list[tuple[int, str]], share: float, min_words: int):
     made: list[Items] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:  # once per task
-            made.append(Items(items, share))
+            made.append(Items(items, share, min_words))
         known = made[0]
         if not known.lengths:
             return
@@ -230,7 +240,7 @@ def _search(items: list[tuple[int, str]], share: float):
             inside = places + 1 < first[owner + 1]  # a pair across two documents is none
             places, masks, owner = places[inside], masks[inside], owner[inside]
             cuts = np.searchsorted(owner, np.arange(len(data) + 1))
-            near = [k for k in np.flatnonzero(np.diff(cuts) >= least).tolist() if first[k + 1] - first[k] > 1]
+            near = [k for k in np.flatnonzero(np.diff(cuts) >= least).tolist() if first[k + 1] > first[k]]
             spans = [(words[first[k] : first[k + 1]], places[cuts[k] : cuts[k + 1]] - first[k], masks[cuts[k] : cuts[k + 1]]) for k in near]
             out = [(ids[near[t]], *x) for t, *x in known.find(spans)]
             cols = list(zip(*out, strict=True)) or [[]] * 4
@@ -252,26 +262,26 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, item_id, first_word, distance: the items that each document holds (its closest-looking window first).
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored. Words are split at ASCII white space and
-    A-Z folded. Null or empty texts hold nothing; null items and items under MIN_WORDS words match nothing; a null
+    A-Z folded. Null or empty texts hold nothing; null items and items under min_words words match nothing; a null
     doc_id stays null. Repeated rows give repeated results; empty tables give none.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ddl = "doc_id long, item_id long, first_word long, distance long"
     out = docs.sparkSession.createDataFrame([], ddl)
     for block in _item_blocks(benchmark):
-        out = out.union(docs.mapInArrow(_search(block, share), ddl))
+        out = out.union(docs.mapInArrow(_search(block, share, min_words), ddl))
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, min_words: int = MIN_WORDS) -> DataFrame:
     """docs, all columns, without the documents that hold an item; rows are dropped where they are read."""
     at = docs.columns.index("text")
     for block in _item_blocks(benchmark):
-        search = _search(block, share)
+        search = _search(block, share, min_words)
 
         def run(batches: Iterator[pa.RecordBatch], search=search) -> Iterator[pa.RecordBatch]:
             for b in batches:
