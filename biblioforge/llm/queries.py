@@ -54,11 +54,14 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as one batch, delivered twice; the second delivery changes nothing."""
+    """All documents inserted; then a batch that deletes every tenth, revises the next ones to twice their text and another source; each delivered twice."""
     rollup = TokenRollup(spark, Scratch(spark, "token-counts").path("rollup"))
-    changes = _table(spark, sf_dir, "documents").withColumn("op", F.lit("insert"))
-    rollup.commit("documents", changes)
-    rollup.commit("documents", changes)
+    docs = _table(spark, sf_dir, "documents")
+    inserts = docs.withColumn("op", F.lit("insert"))
+    tenth = F.pmod("doc_id", F.lit(10))
+    changes = docs.where(tenth < 2).select("doc_id", F.when(tenth == 1, F.lit("revised")).otherwise(F.col("source")).alias("source"), "lang", F.concat_ws("\n", "text", "text").alias("text"), F.when(tenth == 1, F.lit("revise")).otherwise(F.lit("delete")).alias("op"))
+    for name, batch in (("documents", inserts), ("documents", inserts), ("changes", changes), ("changes", changes)):
+        rollup.commit(name, batch)
     return rollup.totals()
 
 
