@@ -2,7 +2,8 @@
 
 Two histograms of a document - character classes, and the most common words of its language - are compared with the
 language's own by Jensen-Shannon distance (base 2, 0 to 1). The references are sums over all documents of the
-language, made of per-partition counts in a fixed number of hash buckets. Short documents, whose histograms are noise,
+language, counted per partition and word (by its 64-bit hash) and then added up; the most common words of a language
+are taken from its whole vocabulary, of which only they reach the driver. Short documents, whose histograms are noise,
 pass on these two distances; the base rules hold for all.
 """
 
@@ -12,13 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblioforge.llm.common import Scratch, hashed_words, window_hashes, word_hashes, word_spans
 
-BUCKETS = 8192  # hash buckets of words in the references
-COMMON = 60  # most common buckets of a language that a document is compared on; the rest is one bin
+COMMON = 60  # most common words of a language that a document is compared on; the rest is one bin
+HELD_WORDS = 1_000_000  # words of a language that a task holds before it counts them
 MIN_WORDS = 50  # below, no distance is taken
 MAX_CHAR_DISTANCE = 0.31
 MAX_WORD_DISTANCE, SHORT_ALLOWANCE = 0.35, 5.0  # the word distance may be MAX_WORD_DISTANCE + SHORT_ALLOWANCE / n_words: few words spread widely
@@ -76,41 +77,66 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int, np.ndarray,
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per partition and language: counts of the character classes (bins below 0) and of the word buckets."""
-    sums: dict = {}
+    """Per language: counts of the character classes (kind 0) and of the words (kind 1), some documents at a time."""
+    chars: dict = {}
+    held: dict = {}
+
+    def rows(lang, kind: int, bins: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(bins), pa.string()), pa.array(np.full(len(bins), kind, np.int8)), pa.array(bins, pa.int64()), pa.array(n, pa.int64())], names=["lang", "kind", "bin", "n"])
+
+    def words(lang) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+        return rows(lang, 1, h.view(np.int64), n)
+
+    sizes: dict = {}
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             text = text.as_py()
-            total = sums.setdefault(lang, np.zeros(CLASSES + BUCKETS, np.int64))
-            total[:CLASSES] += char_histogram(np.frombuffer((text or "").encode(), np.uint8))
-            total[CLASSES:] += np.bincount((hashed_words(text, lower=True) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    for lang, total in sums.items():
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at - CLASSES), pa.array(total[at])], names=["lang", "bin", "n"])
+            chars[lang] = chars.get(lang, 0) + char_histogram(np.frombuffer((text or "").encode(), np.uint8))
+            h = hashed_words(text, lower=True)
+            held.setdefault(lang, []).append(h)
+            sizes[lang] = sizes.get(lang, 0) + len(h)
+            if sizes[lang] >= HELD_WORDS:
+                sizes[lang] = 0
+                yield words(lang)
+    for lang in list(held):
+        yield words(lang)
+    for lang, n in chars.items():
+        yield rows(lang, 0, np.arange(CLASSES), n)
 
 
 def language_references(docs: DataFrame) -> dict:
-    """Language -> (character classes, common buckets, their counts and the rest). One small row set per language reaches the driver."""
+    """Language -> (character classes, hashes of the common words in order, their counts and the rest). Some 70 rows per language reach the driver."""
     scratch = Scratch(docs.sparkSession, "quality")
-    sums = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_counts, "lang string, bin long, n long")
-    sums = scratch.keep(sums.groupBy("lang", "bin").agg(F.sum("n").alias("n")), "sums")
-    chars = sums.where("bin < 0")
-    words = sums.where("bin >= 0").groupBy("lang").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("n", "bin")))), 1, COMMON).alias("top"), F.sum("n").alias("total"))
+    sums = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(_counts, "lang string, kind byte, bin long, n long")
+    sums = scratch.keep(sums.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")), "sums")
+    first = Window.partitionBy("lang").orderBy(F.desc("n"), "bin")
+    top = sums.where("kind = 1").withColumn("place", F.row_number().over(first)).where(F.col("place") <= COMMON).select("lang", "kind", "bin", "n")
+    total = sums.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit(2).cast("byte").alias("kind"), F.lit(0).cast("long").alias("bin"), "n")
     out: dict = {}
-    for r in chars.collect():
-        out.setdefault(r.lang, [np.zeros(CLASSES), np.empty(0, np.int64), np.zeros(1)])[0][r.bin + CLASSES] = r.n
-    for r in words.collect():
-        n = [x.n for x in r.top]
-        out.setdefault(r.lang, [np.zeros(CLASSES), None, None])[1:] = [np.array([x.bin for x in r.top]), np.array([*n, r.total - sum(n)], float)]
-    return out
+    for r in sums.where("kind = 0").union(top).union(total).collect():
+        chars, common, words = out.setdefault(r.lang, (np.zeros(CLASSES), {}, [0]))
+        if r.kind == 0:
+            chars[r.bin] = r.n
+        elif r.kind == 1:
+            common[r.bin] = r.n
+        else:
+            words[0] = r.n
+    scratch.drop(sums)
+    return {lang: (chars, np.array(sorted(common), np.int64), np.array([*[common[h] for h in sorted(common)], words[0] - sum(common.values())], float)) for lang, (chars, common, words) in out.items()}
+
+
+def word_histogram(text: str | None, common: np.ndarray) -> np.ndarray:
+    """Counts of the common words (sorted hashes) in a text, and of all other words."""
+    h = hashed_words(text, lower=True).view(np.int64)
+    if not len(common):
+        return np.array([len(h)], float)
+    at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+    return np.bincount(np.where(common[at] == h, at, len(common)), minlength=len(common) + 1).astype(float)
 
 
 def _score(references: dict, min_words: int, max_char: float, max_word: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = {}
-        for lang, (_, top, _) in references.items():
-            bins[lang] = np.full(BUCKETS, len(top), np.int64)
-            bins[lang][top] = np.arange(len(top))
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 piece, rows = batch.slice(k, 1000), []
@@ -120,11 +146,10 @@ def _score(references: dict, min_words: int, max_char: float, max_word: float):
                     failed = n < 50 or 100 * repeat > 50 * n
                     by_char = by_word = None
                     if n >= min_words:
-                        char_ref, top, word_ref = references[lang]
+                        char_ref, common, word_ref = references[lang]
                         by_char = js_distance(char_histogram(raw).astype(float), char_ref)
-                        own = bins[lang][(hashed_words(text, lower=True) % np.uint64(BUCKETS)).astype(np.int64)]
-                        by_word = js_distance(np.bincount(own, minlength=len(top) + 1).astype(float), word_ref)
-                    kept = not failed and (by_char is None or by_char <= max_char) and (by_word is None or by_word <= max_word + SHORT_ALLOWANCE / n)
+                        by_word = js_distance(word_histogram(text, common), word_ref)
+                    kept = not failed and (by_char is None or by_char <= max_char) and (by_word is None or by_word <= max_word + SHORT_ALLOWANCE / max(n, 1))
                     rows.append((n, chars, symbols, dup, repeat, failed, kept, by_char, by_word))
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
