@@ -1,72 +1,127 @@
 """License scans: TF-IDF cosine of headers and licence files to templates, and inheritance along directories (operator 6).
 
-DataFrame operations only. Headers are lines that name a licence; licence files are read whole as well. Equal headers
-are scored once. Their tokens are weighed by term frequency times inverse document frequency over all headers of the
-corpus and the templates; the dot products with the templates come from a join on tokens. A file without a header of
-its own inherits from the nearest ancestor directory that holds a licence file.
+DataFrame operations only. Every line is scored as a header, every block of lines between empty ones as well, and
+licence files as a whole. Terms count once per header (binary term frequency) and weigh by their inverse document
+frequency in the collection of templates; a term that no template has weighs as one of no template. So a header's score
+depends on it and the templates alone, and two conditions that lose nothing tell most headers apart where they are
+read: a header within the threshold of a template has one of the template's heaviest terms (those that leave less than
+the threshold to the rest), and enough of its terms stand in templates. The rest meet the templates in a join on terms;
+equal headers are scored once. A file without a header of its own inherits from the nearest ancestor directory that
+holds a licence file.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblioforge.llm.common import Scratch
 
-#: Short notices of common licences.
+#: Notices, headers and texts of common licences; a licence may have several.
 TEMPLATES = {
-    "MIT": "Released under the MIT License. Permission is hereby granted, free of charge, under the MIT License.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0. You may not use this file except in compliance with the Apache License.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
-    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3.",
-    "BSD-3-Clause": "Redistribution and use are permitted under the BSD 3-Clause License.",
-    "MPL-2.0": "Subject to the terms of the Mozilla Public License, version 2.0.",
-    "CC-BY-4.0": "Licensed under Creative Commons Attribution CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0. Creative Commons Attribution NonCommercial.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal license.",
+    "MIT": [
+        "Released under the MIT License.",
+        "Licensed under the MIT license. See LICENSE file in the project root for full license information.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        "You may not use this file except in compliance with the Apache License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "GNU General Public License Version 2, June 1991",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "GNU General Public License Version 3, 29 June 2007",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", "GNU Lesser General Public License Version 3, 29 June 2007"],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "GNU Affero General Public License Version 3, 19 November 2007"],
+    "BSD-2-Clause": ["Redistribution and use are permitted under the BSD 2-Clause License."],
+    "BSD-3-Clause": [
+        "Redistribution and use are permitted under the BSD 3-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "Mozilla Public License Version 2.0"],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "Licensed under Creative Commons Attribution CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal license."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
-NAMED = r"(?i)\b(licen[cs]ed?|copyright|spdx|gpl|apache|creative commons|public domain)\b"
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 MIN_COSINE = 0.5
-LICENCE_SHARE = 0.2  # share of words in headers from which a file speaks for its directory
+LICENCE_SHARE = 0.2  # terms of a file's headers over its words from which it speaks for its directory
 LICENCE_NAME = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 
 
 def _tokens(text: Column | str) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN})"), 1)
-
-
-def template_frame(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
-    """license, text: one row per sentence-wise variant of each template, and the whole."""
-    rows = []
-    for name, text in (templates or TEMPLATES).items():
-        rows += [(name, text), *[(name, s.strip() + ".") for s in text.split(". ") if len(text.split(". ")) > 1]]
-    return spark.createDataFrame(rows, "license string, text string")
-
-
-def score_headers(headers: DataFrame, templates: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(header) distinct texts -> header, license, cosine: the closest template of each header that reaches the threshold.
+    """Distinct terms of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN})"), 1))
+
+
+class Templates:
+    """The terms of each template and their weights."""
+
+    def __init__(self, templates: dict[str, list[str] | str] | None = None, min_cosine: float = MIN_COSINE):
+        texts = [(name, t) for name, own in (templates or TEMPLATES).items() for t in ([own] if isinstance(own, str) else own)]
+        self.terms = [(name, k, sorted(set(re.findall(TOKEN, t.lower())))) for k, (name, t) in enumerate(texts)]
+        in_texts: dict[str, int] = {}
+        for _, _, own in self.terms:
+            for t in own:
+                in_texts[t] = in_texts.get(t, 0) + 1
+        self.idf = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in in_texts.items()}
+        self.unknown = math.log(1 + len(texts)) + 1
+        self.min_cosine = min_cosine
+        self.heavy: set[str] = set()
+        for _, _, own in self.terms:
+            left = total = sum(self.idf[t] ** 2 for t in own)
+            for t in sorted(own, key=lambda t: (-self.idf[t], t)):
+                if left < min_cosine**2 * total * (1 - 1e-9):
+                    break
+                self.heavy.add(t)
+                left -= self.idf[t] ** 2
+
+    def may_match(self, tokens: Column) -> Column:
+        """False only for terms whose cosine with every template is under the threshold."""
+        known = F.size(F.filter(tokens, lambda t: t.isin(sorted(self.idf))))
+        return F.exists(tokens, lambda t: t.isin(sorted(self.heavy))) & (known * (1 - self.min_cosine**2) * (1 + 1e-9) >= self.min_cosine**2 * (F.size(tokens) - known))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """license, template, t, idf, v: a row per term of each template; v is its share of the template's norm."""
+        rows = []
+        for name, k, own in self.terms:
+            norm = math.sqrt(sum(self.idf[t] ** 2 for t in own))
+            rows += [(name, k, t, self.idf[t], self.idf[t] / norm) for t in own]
+        return spark.createDataFrame(rows, "license string, template int, t string, idf double, v double")
+
+
+def score_headers(headers: DataFrame, templates: Templates) -> DataFrame:
+    """(header, tokens) distinct -> header, license, cosine: the closest template of each header that reaches the threshold.
 
     Ties go to the licence name that sorts first.
     """
-    terms = headers.select("header", F.explode(_tokens("header")).alias("t")).groupBy("header", "t").agg(F.count("*").alias("tf"))
-    own = templates.select("license", F.col("text").alias("template"), F.explode(_tokens("text")).alias("t")).groupBy("license", "template", "t").agg(F.count("*").alias("tf"))
-    df = terms.select("t").union(own.select("t")).groupBy("t").agg(F.count("*").alias("df"))
-    total = headers.select(F.lit(1).alias("one")).union(templates.select(F.lit(1))).agg(F.count("*").alias("total"))
-    idf = df.crossJoin(total).select("t", (F.log((1.0 + F.col("total")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))  # total is one row
-    terms = terms.join(idf, "t").withColumn("w", F.col("tf") * F.col("idf"))
-    own = own.join(idf, "t").withColumn("v", F.col("tf") * F.col("idf"))
-    norm = terms.groupBy("header").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("wn"))
-    own_norm = own.groupBy("license", "template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("vn"))
-    dot = terms.join(own.select("license", "template", "t", "v"), "t").groupBy("header", "license", "template").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    cosine = dot.join(norm, "header").join(own_norm, ["license", "template"]).withColumn("cosine", F.col("dot") / (F.col("wn") * F.col("vn")))
-    best = cosine.groupBy("header", "license").agg(F.round(F.max("cosine"), 6).alias("cosine")).where(F.col("cosine") >= min_cosine)
+    own = templates.frame(headers.sparkSession)
+    terms = headers.select("header", F.size("tokens").alias("size"), F.explode("tokens").alias("t"))
+    met = terms.join(F.broadcast(own), "t")  # a row per term of a template: some hundred
+    known = terms.join(F.broadcast(own.select("t", "idf").distinct()), "t").groupBy("header").agg(F.first("size").alias("size"), F.count("*").alias("known"), F.sum(F.col("idf") * F.col("idf")).alias("squares"))
+    norm = known.select("header", F.sqrt(F.col("squares") + (F.col("size") - F.col("known")) * templates.unknown**2).alias("wn"))
+    dot = met.groupBy("header", "license", "template").agg(F.sum(F.col("idf") * F.col("v")).alias("dot"))
+    best = dot.join(norm, "header").groupBy("header", "license").agg(F.round(F.max(F.col("dot") / F.col("wn")), 6).alias("cosine")).where(F.col("cosine") >= templates.min_cosine)
     return best.groupBy("header").agg(F.min(F.struct((-F.col("cosine")).alias("less"), "license")).alias("b")).select("header", F.col("b.license").alias("license"), (-F.col("b.less")).alias("cosine"))
 
 
-def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, min_cosine: float = MIN_COSINE) -> DataFrame:
+def scan_licenses(files: DataFrame, templates: dict[str, list[str] | str] | None = None, min_cosine: float = MIN_COSINE) -> DataFrame:
     """file_id, path, license, cosine, origin ('own', 'inherited' or 'none'), from_dir for every row.
 
     files: file_id, path, text; other columns are ignored. Null or empty texts have no header; null paths inherit
@@ -75,14 +130,17 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] | None = None, min
     spark = files.sparkSession
     scratch = Scratch(spark, "licenses")
     files = files.select("file_id", F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
-    named = F.filter(F.split("text", "\n"), lambda x: x.rlike(NAMED))
+    known = Templates(templates, min_cosine)
+    blocks = F.filter(F.split("text", r"\n[\x20\x09-\x0D]*\n"), lambda x: F.contains(x, F.lit("\n")))
     whole = F.when(F.col("path").rlike(LICENCE_NAME), F.array("text")).otherwise(F.array().cast("array<string>"))
+    headers = F.array_distinct(F.concat(F.split("text", "\n"), blocks, whole))
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    found = files.select("file_id", "path", F.coalesce(F.array_union(named, whole), F.array().cast("array<string>")).alias("headers"), F.coalesce(words, F.lit(0)).alias("words"))
+    tokens = F.transform(headers, lambda h: F.struct(h.alias("header"), _tokens(h).alias("tokens")))
+    found = files.where("text is not null").select("file_id", "path", F.filter(tokens, lambda x: known.may_match(x.tokens)).alias("headers"), words.alias("words"))
     found = scratch.keep(found.where(F.size("headers") > 0), "headers")
-    lines = found.select("file_id", "path", "words", F.explode("headers").alias("header"))
-    scored = scratch.keep(score_headers(lines.select("header").distinct(), template_frame(spark, templates), min_cosine), "scored")
-    hits = lines.join(scored, "header").withColumn("size", F.regexp_count("header", F.lit(r"[^\x20\x09-\x0D]+")))
+    lines = found.select("file_id", "path", "words", F.explode("headers").alias("h")).select("file_id", "path", "words", "h.header", "h.tokens")
+    scored = scratch.keep(score_headers(lines.select("header", "tokens").distinct(), known), "scored")
+    hits = lines.select("file_id", "path", "words", "header", F.size("tokens").alias("size")).join(scored, "header")
     own = hits.groupBy("file_id", "path").agg(F.min(F.struct((-F.col("cosine")).alias("less"), "license")).alias("b"), F.sum("size").alias("size"), F.max("words").alias("words"))
     own = own.select("file_id", "path", F.col("b.license").alias("license"), (-F.col("b.less")).alias("cosine"), ((F.col("size") >= LICENCE_SHARE * F.col("words")) | F.col("path").rlike(LICENCE_NAME)).alias("speaks"))
     own = scratch.keep(own, "own")
