@@ -8,8 +8,10 @@ line has a word, so none of them is longer than min_words lines.
 
 Lines get ids (128 bits of hash). The name of a window of 2**k lines is made of the names of its halves, up to the
 largest power of two in min_words; the name of any other window is made of its length and the two overlapping windows
-of 2**k lines that cover it. Equal names are the intervals of the suffix array of all line sequences at that depth; each
-interval knows its first position.
+of 2**k lines that cover it. Names of 128 bits stand for ranks: suffixes with equal names at a depth are an interval of
+the suffix array of all line sequences whose longest common prefix has that depth, in whatever order the intervals
+stand, and each interval knows its first position. Doubling is distributed with the documents and shuffles nothing;
+only the names of the windows that decide are grouped.
 
 Every deleted line has an earlier copy, so one copy of each line stays. Only ids are shuffled, besides one join that
 brings the decisions to the texts.
@@ -60,23 +62,25 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = windows.groupBy("n1", "n2").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last").select("n1", "n2", "first")
     later = windows.join(names, ["n1", "n2"]).where(here != F.col("first"))
     lines = later.select(*DOC, F.explode(F.sequence("lo", "hi")).alias("line_no"))
-    return scratch.keep(lines.groupBy(*DOC).agg(F.collect_set("line_no").alias("drop")), "drop")
+    out = scratch.keep(lines.groupBy(*DOC).agg(F.collect_set("line_no").alias("drop")), "drop")
+    scratch.drop(windows)
+    return out
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of docs with later copies of line runs cut from `text`, and n_lines (with a word), n_removed.
+    """All columns of docs with later copies of line runs cut from `text`, and n_lines (with a word), n_removed, which replace columns of these names.
 
     docs: doc_id, text and any other columns. Null texts, texts without words and rows without doc_id stay as they
     are and take no part. Rows that repeat doc_id and text are one document and get the same result. Documents that
     share a doc_id but not their text are ordered by text hash. An empty table gives an empty one.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    drop = later_copies(plain, min_words).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("drop").alias("__drop"))
+    drop = later_copies(plain, min_words).select(F.col("doc_id").alias("__dedup_id"), F.col("th").alias("__dedup_th"), F.col("drop").alias("__dedup_drop"))
     # The same join at every size: a broadcast, which only small tables get, would make the shuffle seem to grow faster than the input.
-    out = docs.join(drop.hint("merge"), (docs.doc_id.cast("long") == drop["__id"]) & (F.xxhash64(docs.text.cast("string")) == drop["__th"]), "left")
-    kept = F.expr(f"array_join(transform(filter(transform(split(text, '\\n', -1), (l, i) -> struct(i AS i, l AS l)), x -> NOT (array_contains(__drop, x.i) AND x.l {_WORDED})), x -> x.l), '\\n')")
+    out = docs.join(drop.hint("merge"), (docs.doc_id.cast("long") == drop["__dedup_id"]) & (F.xxhash64(docs.text.cast("string")) == drop["__dedup_th"]), "left")
+    kept = F.expr(f"array_join(transform(filter(transform(split(text, '\\n', -1), (l, i) -> struct(i AS i, l AS l)), x -> NOT (array_contains(__dedup_drop, x.i) AND x.l {_WORDED})), x -> x.l), '\\n')")
     worded = f"coalesce(cast(size(filter(split({{}}, '\\n', -1), l -> l {_WORDED})) as bigint), 0)"
     out = out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.expr(worded.format("text"))))
-    out = out.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept))
-    out = out.withColumn("n_removed", F.when(F.col("__drop").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.expr(worded.format("text"))).cast("long"))
-    return out.drop("__id", "__th", "__drop")
+    out = out.withColumn("text", F.when(F.col("__dedup_drop").isNull(), F.col("text")).otherwise(kept))
+    out = out.withColumn("n_removed", F.when(F.col("__dedup_drop").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.expr(worded.format("text"))).cast("long"))
+    return out.drop("__dedup_id", "__dedup_th", "__dedup_drop")

@@ -16,7 +16,8 @@ links AS (
 reach AS (SELECT doc_id AS d, doc_id AS r FROM sets UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.r = links.a)
 SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(r) FROM reach WHERE reach.d = sets.doc_id) AS component_id FROM sets
 """,
-    # Windows of 2**k lines (k up to 13) of the lines with a word; a window of 20 words or more that has an earlier copy goes.
+    # Windows of the lines with a word; a window of 20 words or more that has an earlier copy goes. A longer window is the
+    # union of windows of up to 20 lines: each line has a word, so 20 lines have 20 words, and parts of copies are copies.
     "op2_line_dedup": """
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 numbered AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS line FROM split),
@@ -25,7 +26,7 @@ worded AS (
     len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
   FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 docs AS (SELECT doc_id, list(md5(line) ORDER BY pos) AS h, list(w ORDER BY pos) AS ws FROM worded GROUP BY doc_id),
-levels AS (SELECT doc_id, h, ws, CAST(pow(2, k) AS BIGINT) AS size FROM docs, range(0, 14) t(k) WHERE pow(2, k) <= len(h)),
+levels AS (SELECT doc_id, h, ws, size FROM docs, range(1, 21) t(size) WHERE size <= len(h)),
 windows AS (SELECT doc_id, h, ws, size, unnest(range(1, len(h) - size + 2)) AS pos FROM levels),
 named AS (SELECT doc_id, pos, size, md5(array_to_string(h[pos:pos+size-1], ' ')) AS name, list_sum(ws[pos:pos+size-1]) AS words FROM windows),
 firsts AS (SELECT size AS s, name AS n, min((doc_id, pos)) AS first FROM named GROUP BY ALL),

@@ -87,7 +87,7 @@ def test_ngram_join_of_nothing(spark):
 
 
 def brute_lines(rows, min_words):
-    """Lines left of each (id, text): windows of 2**k lines with a word that occur before, with min_words words, go."""
+    """Lines left of each (id, text): windows of any number of lines with a word that occur before, with min_words words, go."""
     rows = sorted({(i, t) for i, t in rows if i is not None and t is not None})
     docs = {(i, t): [(n, l) for n, l in enumerate(t.split("\n")) if WORD.search(l)] for i, t in rows}
     gone, size = defaultdict(set), 1
@@ -100,7 +100,7 @@ def brute_lines(rows, min_words):
                     seen[name] = (key, p)
                 elif sum(len(WORD.findall(l)) for l in name) >= min_words:
                     gone[key].update(n for n, _ in lines[p : p + size])
-        size *= 2
+        size += 1
     return {key: "\n".join(l for n, l in enumerate(key[1].split("\n")) if n not in gone[key]) for key in docs}
 
 
