@@ -49,11 +49,17 @@ def progress(hits: DataFrame) -> DataFrame:
 
 
 def content_filter(rows: DataFrame, text: str, beginner: list[str], irrelevant: list[str], keep: int, order: str) -> DataFrame:
-    """rows plus klass ('beginner', 'irrelevant', 'ok') and kept: the first `keep` of the ok ones by order."""
+    """rows plus klass ('beginner', 'irrelevant', 'ok') and kept: the first `keep` of the ok ones by order, which identifies rows."""
     any_of = lambda words: F.lower(text).rlike("|".join(words)) if words else F.lit(False)
     out = rows.withColumn("klass", F.when(any_of(beginner), "beginner").when(any_of(irrelevant), "irrelevant").otherwise("ok"))
-    place = F.row_number().over(Window.partitionBy("klass").orderBy(order))
-    return out.withColumn("kept", (F.col("klass") == "ok") & (place <= keep))
+    first = out.where("klass = 'ok'").select(order).orderBy(order).limit(keep).withColumn("_kept", F.lit(True))  # a top-k, then at most `keep` rows
+    return out.join(first, order, "left").withColumn("kept", F.coalesce("_kept", F.lit(False))).drop("_kept")
+
+
+def title_links(pages: DataFrame) -> DataFrame:
+    """page_id, title, links of raw pages: the text of the title element, and the addresses of the links in order."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return pages.select("page_id", F.trim(title).alias("title"), F.regexp_extract_all("html", F.lit(r'(?i)<a\s[^>]*?href="([^"]*)"'), 1).alias("links"))
 
 
 def skip_blank(cards: DataFrame) -> DataFrame:

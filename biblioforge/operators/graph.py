@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from biblioforge.store import fresh
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> (node, comp), the smallest node reached. Rounds of smallest-neighbour labels, written to the shared folder."""
     spark = edges.sparkSession
-    root = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/components-{uuid.uuid4().hex}"
+    root = fresh(spark, "components")
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{root}/{name}")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblioforge.functions import text as T
+from biblioforge.store import keep
 
 HIGH, MEDIUM, LOW = 0.90, 0.80, 0.70
 SAME_AUTHOR = 0.85
@@ -35,29 +36,42 @@ def score_pairs(pairs: DataFrame, similarity=T.sequence_ratio, author_ratio=None
     c = F.col
     sim = lambda x, y: F.when((c(x) == "") | (c(y) == ""), F.lit(0.0)).otherwise(0.6 * similarity(c(x), c(y)) + 0.4 * T.token_jaccard(x, y))
     who = same_author(c("l_who"), c("r_who"), author_ratio(c("l_who"), c("r_who")) if author_ratio else None)
-    out = pairs.withColumn("_who", who).withColumn("_sim", F.greatest(sim("l_norm", "r_norm"), sim("l_agg", "r_agg")))
-    fuzzy = F.least(F.lit(1.0), c("_sim") + F.when(c("_who"), 0.1).otherwise(0.0))
-    kind = (
-        F.when(c("l_code") == c("r_code"), "isbn_exact")
-        .when((c("l_norm") == c("r_norm")) & (c("l_norm") != ""), "title_normalized")
-        .when((c("l_agg") == c("r_agg")) & (c("l_agg") != ""), "title_aggressive")
-        .when(fuzzy >= HIGH, "fuzzy_high").when(fuzzy >= MEDIUM, "fuzzy_medium").when(fuzzy >= LOW, "fuzzy_low").otherwise("no_match")
-    )
-    sure = F.when(kind == "isbn_exact", 1.0).when(kind == "title_normalized", F.when(c("_who"), 1.0).otherwise(0.95)).when(kind == "title_aggressive", F.when(c("_who"), 0.95).otherwise(0.90)).otherwise(fuzzy)
-    out = out.withColumn("match_type", kind).withColumn("confidence", sure)
-    return out.withColumn("is_match", ~c("match_type").isin("fuzzy_low", "no_match")).drop("_who", "_sim")
+    told = F.struct(F.greatest(sim("l_norm", "r_norm"), sim("l_agg", "r_agg")).alias("sim"), who.alias("who"))
+
+    def verdict(x: Column) -> Column:
+        fuzzy = F.least(F.lit(1.0), x["sim"] + F.when(x["who"], 0.1).otherwise(0.0))
+        kind = (
+            F.when(c("l_code") == c("r_code"), "isbn_exact")
+            .when((c("l_norm") == c("r_norm")) & (c("l_norm") != ""), "title_normalized")
+            .when((c("l_agg") == c("r_agg")) & (c("l_agg") != ""), "title_aggressive")
+            .when(fuzzy >= HIGH, "fuzzy_high").when(fuzzy >= MEDIUM, "fuzzy_medium").when(fuzzy >= LOW, "fuzzy_low").otherwise("no_match")
+        )
+        exact = F.when(kind == "isbn_exact", 1.0).when(kind == "title_normalized", F.when(x["who"], 1.0).otherwise(0.95)).when(kind == "title_aggressive", F.when(x["who"], 0.95).otherwise(0.90))
+        return F.struct(kind.alias("kind"), exact.otherwise(fuzzy).alias("sure"))
+
+    # A lambda binds the similarities: as plain expressions they would be computed again for each of their uses.
+    out = pairs.withColumn("_v", F.transform(F.array(told), verdict)[0]).withColumn("match_type", c("_v.kind")).withColumn("confidence", c("_v.sure"))
+    return out.withColumn("is_match", ~c("match_type").isin("fuzzy_low", "no_match")).drop("_v")
 
 
 def ngram_candidates(queries: DataFrame, index: DataFrame, overlap: float = 0.3, n: int = 3) -> DataFrame:
     """(q, r, shared): index rows that share at least max(1, int(overlap * grams)) n-grams of a query; repeats of a query's gram count.
 
-    queries: q, text; index: r, text. The index side is grouped per gram, both sides are aggregated before the join.
+    queries: q, text; index: r, text. A prefix join: of a query's grams, rarest in the index first, the last ones that
+    together are fewer than it needs can't make a match alone, so they aren't joined. The other grams give the pairs,
+    whose whole gram lists are compared then.
     """
-    q = queries.select("q", F.explode(T.ngrams("text", n)).alias("g")).groupBy("q", "g").agg(F.count("*").alias("times"))
-    need = q.groupBy("q").agg(F.greatest(F.lit(1), F.floor(F.sum("times") * overlap)).alias("need"))
-    r = index.select("r", F.explode(F.array_distinct(T.ngrams("text", n))).alias("g"))
-    shared = q.join(r, "g").groupBy("q", "r").agg(F.sum("times").alias("shared"))
-    return shared.join(need, "q").where("shared >= need").select("q", "r", "shared")
+    q = queries.select("q", T.ngrams("text", n).alias("grams")).withColumn("need", F.greatest(F.lit(1), F.floor(F.size("grams") * overlap)))
+    r = index.select("r", F.array_distinct(T.ngrams("text", n)).alias("own"))
+    posts = r.select("r", F.explode("own").alias("g"))
+    known = posts.groupBy("g").agg(F.count("*").alias("df"))
+    times = q.select("q", "need", F.explode("grams").alias("g")).groupBy("q", "need", "g").agg(F.count("*").alias("times")).join(known, "g")
+    w = Window.partitionBy("q")
+    left = F.sum("times").over(w.orderBy("df", "g").rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    prefix = times.withColumn("left", left).where("left >= need").select("q", "g")
+    pairs = prefix.join(posts, "g").select("q", "r").distinct()
+    shared = F.size(F.filter("grams", lambda g: F.array_contains("own", g))).cast("long")
+    return pairs.join(q, "q").join(r, "r").withColumn("shared", shared).where("shared >= need").select("q", "r", "shared")
 
 
 def sided(df: DataFrame, side: str) -> DataFrame:
@@ -69,19 +83,23 @@ def find_matches(new: DataFrame, known: DataFrame, threshold: float = MEDIUM, ov
 
     Ties go to the smallest id. best_only keeps one row per l_id; otherwise every match at or above the threshold.
     """
+    same = new is known
+    new = keep(new, "forms")  # else every use below would compute the forms again, in code too large to compile
+    known = new if same else keep(known, "forms")
     left, right = sided(new, "l"), sided(known, "r")
-    tier = lambda rows, n, kind, sure: rows.select("l_id", "r_id", F.lit(n).alias("tier"), F.lit(kind).alias("match_type"), F.lit(sure).cast("double").alias("confidence"))
     prefix = lambda c: F.when(F.length(c) == 13, F.substring(c, 1, 12))
-    keyed = lambda lk, rk: left.where(lk != "").withColumn("_k", lk).join(right.where(rk != "").withColumn("_k", rk), "_k")
-    exact = [
-        tier(keyed(F.col("l_code"), F.col("r_code")), 1, "isbn_exact", 1.0),
-        tier(keyed(prefix("l_code"), prefix("r_code")), 2, "isbn_prefix", 0.98),
-        tier(keyed(F.col("l_norm"), F.col("r_norm")), 3, "title_normalized", 0.95),
-        tier(keyed(F.col("l_agg"), F.col("r_agg")), 4, "title_aggressive", 0.90),
-    ]
-    found = exact[0]
-    for x in exact[1:]:
-        found = found.union(x)
+
+    def tier(key, n: int, kind: str, sure: float) -> DataFrame:
+        keyed = right.select(key("r").alias("_k"), "r_id").where("_k <> ''")
+        if best_only:
+            keyed = keyed.groupBy("_k").agg(F.min("r_id").alias("r_id"))
+        rows = left.select(key("l").alias("_k"), "l_id").where("_k <> ''").join(keyed, "_k")
+        return rows.select("l_id", "r_id", F.lit(n).alias("tier"), F.lit(kind).alias("match_type"), F.lit(sure).cast("double").alias("confidence"))
+
+    found = tier(lambda s: F.col(f"{s}_code"), 1, "isbn_exact", 1.0)
+    found = found.union(tier(lambda s: prefix(f"{s}_code"), 2, "isbn_prefix", 0.98))
+    found = found.union(tier(lambda s: F.col(f"{s}_norm"), 3, "title_normalized", 0.95)).union(tier(lambda s: F.col(f"{s}_agg"), 4, "title_aggressive", 0.90))
+    found = keep(found, "exact")
     rest = new.join(found.select(F.col("l_id").alias("id")).distinct(), "id", "left_anti") if best_only else new
     cand = ngram_candidates(rest.select(F.col("id").alias("q"), F.col("agg").alias("text")), known.select(F.col("id").alias("r"), F.col("agg").alias("text")), overlap)
     pairs = cand.join(left, cand.q == left.l_id).join(right, cand.r == right.r_id)
@@ -92,8 +110,21 @@ def find_matches(new: DataFrame, known: DataFrame, threshold: float = MEDIUM, ov
 
 
 def brute_force(left: DataFrame, right: DataFrame, threshold: float = MEDIUM, similarity=T.sequence_ratio, author_ratio=None) -> DataFrame:
-    """Every pair of two small sides of bounded size; blocking (find_matches) is the way for large ones."""
-    pairs = sided(left, "l").join(F.broadcast(sided(right, "r")), F.col("l_id") < F.col("r_id"))
+    """Every pair (smaller id first) of two sides; blocking (find_matches) is the way for large ones.
+
+    A right side within the broadcast threshold travels whole; a larger one meets the left side in a grid of blocks.
+    """
+    spark = left.sparkSession
+    l, r = sided(keep(left, "forms"), "l"), sided(keep(right, "forms"), "r")
+    l = l.repartition(spark.sparkContext.defaultParallelism)  # small tables are one file, and their pairs would be one task
+    size, limit = int(r._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()), int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    if size <= limit:
+        pairs = l.join(F.broadcast(r), F.col("l_id") < F.col("r_id"))
+    else:
+        blocks = size // max(limit, 1 << 20) + 2
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        grid = l.withColumn("_i", F.pmod(F.xxhash64("l_id"), F.lit(blocks))).withColumn("_j", every)
+        pairs = grid.join(r.withColumn("_j", F.pmod(F.xxhash64("r_id"), F.lit(blocks))).withColumn("_i", every), ["_i", "_j"]).where("l_id < r_id").drop("_i", "_j")
     return score_pairs(pairs, similarity, author_ratio).where(F.col("confidence") >= threshold)
 
 
@@ -105,6 +136,17 @@ def duplicate_check(items: DataFrame, known_asins: DataFrame, known_isbns: DataF
     return rows.join(a, "key", "left").join(b, "key", "left").withColumn("kind", F.when(F.col("_a"), "asin").when(F.col("_b"), "isbn")).drop("_a", "_b")
 
 
+def duplicate_check_all(items: DataFrame, known_asins: DataFrame, known_isbns: DataFrame, known: DataFrame, threshold: float = MEDIUM, similarity=T.sequence_ratio, author_ratio=None) -> DataFrame:
+    """duplicate_check() and, for items without a known key, the best fuzzy match in the catalogue: kind 'fuzzy', with match_type and confidence.
+
+    items: id, asin, url, title, author, isbn; known: match forms.
+    """
+    keyed = duplicate_check(items, known_asins, known_isbns)
+    rest = match_forms(keyed.where("kind is null"), compose=False)
+    best = find_matches(rest, known, threshold, similarity=similarity, author_ratio=author_ratio).select(F.col("l_id").alias("id"), F.col("r_id").alias("known_id"), "match_type", "confidence")
+    return keyed.join(best, "id", "left").withColumn("kind", F.coalesce("kind", F.when(F.col("known_id").isNotNull(), "fuzzy")))
+
+
 def dup_groups(books: DataFrame, key: str) -> DataFrame:
     """key, ids of the keys with more than one book, ids in order."""
     return books.groupBy(key).agg(F.array_sort(F.collect_list("id")).alias("ids")).where("size(ids) > 1")
@@ -117,10 +159,31 @@ def index_tables(forms: DataFrame) -> dict[str, DataFrame]:
     return {"isbn": last, "isbn_prefix": prefix, "norm": forms.where("norm <> ''").select("norm", "id"), "agg": forms.where("agg <> ''").select("agg", "id"), "gram": forms.select(F.explode(F.array_distinct(T.ngrams("agg"))).alias("gram"), "id")}
 
 
+def index_add(tables: dict[str, DataFrame], forms: DataFrame) -> dict[str, DataFrame]:
+    """The tables of an index with more books in it; only the new books' forms are computed."""
+    new = index_tables(forms)
+    out = {name: df.unionByName(new[name]) for name, df in tables.items()}
+    out["isbn"] = out["isbn"].groupBy("code").agg(F.max("id").alias("id"))
+    out["isbn_prefix"] = out["isbn_prefix"].groupBy("prefix").agg(F.max("id").alias("id"))
+    return out
+
+
+def index_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """name, entries (distinct keys) of each table of an index."""
+    keys = {"isbn": "code", "isbn_prefix": "prefix", "norm": "norm", "agg": "agg", "gram": "gram"}
+    parts = [df.agg(F.count_distinct(keys[name]).alias("entries")).select(F.lit(name).alias("name"), "entries") for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
 def index_stats(forms: DataFrame) -> DataFrame:
-    grams = F.count_distinct("gram")
+    """Distinct keys of the index, in two aggregates: grams are made of distinct titles alone."""
+    forms = keep(forms.select("id", "norm", "agg", "code"), "forms")
     one = forms.agg(F.count("*").alias("total_books"), F.count_distinct("code").alias("isbn_entries"), F.count_distinct(F.nullif("norm", F.lit(""))).alias("normalized_entries"), F.count_distinct(F.nullif("agg", F.lit(""))).alias("aggressive_entries"))
-    return one.crossJoin(index_tables(forms)["gram"].agg(grams.alias("ngram_entries")))  # both sides are one row
+    grams = forms.select("agg").distinct().select(F.explode(F.array_distinct(T.ngrams("agg"))).alias("gram"))
+    return one.crossJoin(grams.agg(F.count_distinct("gram").alias("ngram_entries")))  # both sides are one row
 
 
 def replay_greedy(group: pd.DataFrame, threshold: float) -> pd.DataFrame:

@@ -46,9 +46,10 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def pick(df: DataFrame, keys: list[str], order: str, last: bool = False) -> DataFrame:
-    """One row per key: the first by order, or the last."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(order) if last else F.asc(order))
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """One row per key: the first by order, or the last. An aggregate, so that tasks send one row per key."""
+    best = F.max_by if last else F.min_by
+    rows = df.groupBy(*keys).agg(best(F.struct(*[c for c in df.columns if c not in keys]), F.struct(order)).alias("_row"))
+    return rows.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def is_nested(c: str = "editions") -> Column:

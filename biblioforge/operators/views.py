@@ -21,9 +21,11 @@ def joined(df: DataFrame, key: str, c: str, name: str) -> DataFrame:
 def books_flat(t: dict[str, DataFrame]) -> DataFrame:
     """A row per work with its latest edition; children are aggregated before the joins, so nothing multiplies."""
     latest = latest_rows(t["editions"]).select("work_id", "edition_number", "publication_year", "pages")
-    f = t["formats"].join(latest.select("work_id", "edition_number"), ["work_id", "edition_number"], "left_semi")
-    out = t["works"].join(joined(t["authors"], "work_id", "author", "authors"), "work_id", "left").join(latest, "work_id", "left")
-    return out.join(joined(f, "work_id", "isbn", "isbns"), "work_id", "left").join(joined(f, "work_id", "format_type", "formats"), "work_id", "left")
+    names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",").alias(c + "s")
+    # Formats are gathered per edition before they meet the latest editions; both sides are small by then.
+    f = t["formats"].withColumnRenamed("format_type", "format").groupBy("work_id", "edition_number").agg(names("isbn"), names("format"))
+    children = latest.join(f, ["work_id", "edition_number"], "left").join(joined(t["authors"], "work_id", "author", "authors"), "work_id", "full")
+    return t["works"].join(children, "work_id", "left")
 
 
 def coverage(works: DataFrame) -> DataFrame:

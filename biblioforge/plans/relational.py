@@ -13,6 +13,7 @@ STATUSES = ["F", "O", "P"]
 KEYWORDS = [
     (0, "the", "Common", "Article"), (1, "ing", "Common", "Ending"), (2, "tion", "Nouns", "Abstract"), (3, "ung", "Nouns", "German"), (4, "ment", "Nouns", "French"),
     (5, "able", "Adjectives", "Ability"), (6, "que", "Common", "French"), (7, "licen", "Legal", "Licence"), (8, "an", "Short", "Skipped"), (9, "con", "Common", "Spanish"),
+    (10, "heit", "Nouns", "German"), (11, "keit", "Nouns", "German"), (12, "sch", "Nouns", "German"), (13, "eux", "Common", "French"), (14, "elle", "Common", "French"), (15, "ción", "Common", "Spanish"), (16, "mente", "Common", "Spanish"),
 ]
 _KW = "(VALUES " + ", ".join(f"({o}, '{k}', '{s}', '{u}')" for o, k, s, u in KEYWORDS) + ") AS kw(kw_ord, keyword, segment, subsegment)"
 HITS = f"hits AS (SELECT doc_id AS id, segment, subsegment, count(*) AS hits, min(kw_ord) AS first FROM documents, {_KW} WHERE length(keyword) >= 3 AND contains(lower(text), keyword) GROUP BY ALL)"
@@ -32,7 +33,7 @@ def works(spark, sf_dir) -> DataFrame:
 
 WORKS = "works AS (SELECT o_orderkey AS work_id, c_mktsegment AS segment, o_orderpriority AS subsegment, o_orderstatus AS perspective, CASE WHEN c_nationkey % 2 = 0 THEN 'en' ELSE 'ja' END AS language, CASE o_orderkey % 4 WHEN 0 THEN 'rejected' WHEN 1 THEN 'validated' ELSE 'draft' END AS dataset_status FROM orders JOIN customer ON o_custkey = c_custkey)"
 LONG = f"WITH {WORKS}, long AS (SELECT segment, perspective, count(*) AS cnt FROM works WHERE dataset_status <> 'rejected' GROUP BY ALL)"
-GAP = 600
+GAP = 750
 
 
 def tables(spark, sf_dir) -> dict[str, DataFrame]:
@@ -146,54 +147,6 @@ def per_file_migration(spark, sf_dir):
     return model.pick(d, ["source", "key"], "doc_id").select("source", "key", "doc_id")
 
 
-def names(spark, sf_dir) -> DataFrame:
-    """Distinct part names (one in 31) as a small match set."""
-    p = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("id"))
-    return p.select("id", F.col("p_name").alias("title"), F.lit(None).cast("string").alias("author"), F.lit(None).cast("string").alias("isbn"))
-
-
-LEV = "(1 - levenshtein({a}, {b}) / CAST(greatest(length({a}), length({b})) AS DOUBLE))"
-JAC = "CAST(len(list_intersect(string_split({a}, ' '), string_split({b}, ' '))) AS DOUBLE) / len(list_distinct(list_concat(string_split({a}, ' '), string_split({b}, ' '))))"
-
-
-def lev(a, b):
-    return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)).cast("double")
-
-
-def pairwise_bruteforce(spark, sf_dir):
-    f = matching.match_forms(names(spark, sf_dir), compose=False)
-    out = matching.brute_force(f, f, 0.8, similarity=lev, author_ratio=lev)
-    return out.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), "match_type", F.round("confidence", 6).alias("confidence"))
-
-
-_N = "n AS (SELECT min(p_partkey) AS id, lower(p_name) AS norm FROM part GROUP BY p_name), f AS (SELECT id, norm, replace(norm, ' ', '') AS agg FROM n)"
-_SIM = f"greatest(0.6 * {LEV.format(a='x.norm', b='y.norm')} + 0.4 * {JAC.format(a='x.norm', b='y.norm')}, 0.6 * {LEV.format(a='x.agg', b='y.agg')} + 0.4 * CASE WHEN x.agg = y.agg THEN 1.0 ELSE 0.0 END)"
-
-
-def ngram_candidates(spark, sf_dir):
-    n = names(spark, sf_dir).withColumn("text", T.normalize_title("title", True, compose=False))
-    out = matching.ngram_candidates(n.select(F.col("id").alias("q"), "text"), n.select(F.col("id").alias("r"), "text"))
-    return out.where("q <> r")
-
-
-def all_matches(spark, sf_dir):
-    f = matching.match_forms(names(spark, sf_dir), compose=False)
-    out = matching.find_matches(f, f, 0.70, 0.2, similarity=lev, author_ratio=lev, best_only=False).where("l_id <> r_id")
-    return out.select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), "match_type", F.round("confidence", 6).alias("confidence"))
-
-
-def heads(spark, sf_dir) -> DataFrame:
-    """First lines of documents as titles, with their language as author."""
-    d = table(spark, sf_dir, "documents").where("doc_id is not null")
-    return d.select(F.col("doc_id").alias("id"), F.substring_index("text", "\n", 1).alias("title"), F.lit(None).cast("string").alias("author"), F.lit(None).cast("string").alias("isbn"))
-
-
-def best_match(spark, sf_dir):
-    """Benchmark items against the first lines of documents, with the standard sequence ratio."""
-    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.substring_index("text", "\n", 1).alias("title"), F.lit(None).cast("string").alias("author"), F.lit(None).cast("string").alias("isbn"))
-    return matching.find_matches(matching.match_forms(b), matching.match_forms(heads(spark, sf_dir))).select(F.col("l_id").alias("item_id"), F.col("r_id").alias("doc_id"), "match_type", "confidence")
-
-
 def dedup_exact_tiers(spark, sf_dir):
     f = table(spark, sf_dir, "documents").where("doc_id is not null").select(F.col("doc_id").alias("id"), F.md5(F.lower(F.coalesce("text", F.lit(""))).cast("binary")).alias("key"))
     first = f.groupBy("key").agg(F.min("id").alias("leader"))
@@ -205,13 +158,6 @@ def dup_groups(spark, sf_dir):
     return matching.dup_groups(f, "key").select("key", F.size("ids").alias("n"), F.array_join("ids", ",").alias("ids"))
 
 
-def greedy_merge(spark, sf_dir):
-    p = names(spark, sf_dir)
-    f = matching.match_forms(p, compose=False).withColumn("ord", F.col("id"))
-    edges = matching.find_matches(f.drop("ord"), f.drop("ord"), 0.70, 0.2, best_only=False).where("l_id <> r_id")
-    return matching.greedy_merge(f, edges)
-
-
 def index_stats(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.lit(None).cast("string").alias("author"), F.lpad(F.col("p_partkey").cast("string"), 10, "0").alias("isbn"))
     return matching.index_stats(matching.match_forms(p, compose=False))
@@ -458,11 +404,10 @@ def windowed_events(spark, sf_dir):
 
 def stream_equals_batch(spark, sf_dir):
     """Events through the incremental path, by files: the first of each user stays."""
-    import uuid
-
+    from biblioforge.store import fresh
     from biblioforge.streaming.incremental import add_stream
 
-    root = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = fresh(spark, "stream")
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     e.write.json(f"{root}/in")
     add_stream(spark, f"{root}/in", "event_id long, user_id long, event_type string", f"{root}/master", f"{root}/checkpoint", "user_id", "event_id")
@@ -506,11 +451,6 @@ QUERIES = {
     "cascade_delete": (cascade_delete, "SELECT 'works' AS name, count(*) AS n FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT 'formats', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 = 0)"),
     "union_sources": (union_sources, "SELECT c_name AS name, c_nationkey AS nation, 'customer' AS _src FROM customer UNION ALL SELECT s_name, NULL, 'supplier' FROM supplier"),
     "per_file_migration": (per_file_migration, "SELECT source, md5(coalesce(text, '')) AS key, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2"),
-    "pairwise_bruteforce": (pairwise_bruteforce, f"WITH {_N}, p AS (SELECT x.id AS a, y.id AS b, x.agg = y.agg AS same, {_SIM} AS s FROM f x JOIN f y ON x.id < y.id) SELECT a, b, CASE WHEN same THEN 'title_aggressive' WHEN s >= 0.9 THEN 'fuzzy_high' ELSE 'fuzzy_medium' END AS match_type, round(CASE WHEN same THEN 0.9 ELSE s END, 6) AS confidence FROM p WHERE same OR s >= 0.8"),
-    "ngram_candidates": (ngram_candidates, f"WITH {_N}, g AS (SELECT id, unnest(CASE WHEN length(agg) < 3 THEN [agg] ELSE list_transform(range(1, length(agg) - 1), lambda i: agg[i:i+2]) END) AS g FROM f), q AS (SELECT id, g, count(*) AS times FROM g GROUP BY ALL), need AS (SELECT id, greatest(1, CAST(floor(sum(times) * 0.3) AS BIGINT)) AS need FROM q GROUP BY 1), s AS (SELECT q.id AS q, r.id AS r, CAST(sum(times) AS BIGINT) AS shared FROM q JOIN (SELECT DISTINCT id, g FROM g) r ON q.g = r.g GROUP BY 1, 2) SELECT q, r, shared FROM s JOIN need ON need.id = q WHERE shared >= need AND q <> r"),
-    "all_matches": (all_matches, f"WITH {_N}, g AS (SELECT id, unnest(CASE WHEN length(agg) < 3 THEN [agg] ELSE list_transform(range(1, length(agg) - 1), lambda i: agg[i:i+2]) END) AS g FROM f), q AS (SELECT id, g, count(*) AS times FROM g GROUP BY ALL), need AS (SELECT id, greatest(1, CAST(floor(sum(times) * 0.2) AS BIGINT)) AS need FROM q GROUP BY 1), s AS (SELECT q.id AS q, r.id AS r, CAST(sum(times) AS BIGINT) AS shared FROM q JOIN (SELECT DISTINCT id, g FROM g) r ON q.g = r.g GROUP BY 1, 2), c AS (SELECT q, r FROM s JOIN need ON need.id = q WHERE shared >= need AND q <> r), p AS (SELECT x.id AS a, y.id AS b, x.agg = y.agg AS same, {_SIM} AS s FROM c JOIN f x ON x.id = q JOIN f y ON y.id = r) SELECT a, b, CASE WHEN same AND s < 0.9 THEN 'title_aggressive' WHEN same THEN 'title_aggressive' WHEN s >= 0.9 THEN 'fuzzy_high' WHEN s >= 0.8 THEN 'fuzzy_medium' ELSE 'fuzzy_low' END AS match_type, round(CASE WHEN same THEN 0.9 ELSE s END, 6) AS confidence FROM p WHERE same OR s >= 0.7"),
-    "best_match": (best_match, None),
-    "greedy_merge": (greedy_merge, None),
     "dedup_exact_tiers": (dedup_exact_tiers, "SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY lower(coalesce(text, ''))) AS leader FROM documents WHERE doc_id IS NOT NULL"),
     "dup_groups": (dup_groups, "SELECT md5(coalesce(text, '')) AS key, CAST(count(*) AS INTEGER) AS n, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM documents WHERE doc_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
     "index_stats": (index_stats, "WITH f AS (SELECT lower(p_name) AS norm, replace(lower(p_name), ' ', '') AS agg FROM part) SELECT count(*) AS total_books, (SELECT count(*) FROM part) AS isbn_entries, count(DISTINCT norm) AS normalized_entries, count(DISTINCT agg) AS aggressive_entries, (SELECT count(DISTINCT g) FROM (SELECT unnest(list_transform(range(1, greatest(length(agg) - 1, 2)), lambda i: agg[i:i+2])) AS g FROM f)) AS ngram_entries FROM f"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from biblioforge.functions import text as T
 from biblioforge.operators import classify, collect, enrich, model
+from biblioforge.store import fresh
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +34,7 @@ AGG = f"regexp_replace(split_part(regexp_replace({NORM}, '\\([^)]*\\)', '', 'g')
 
 
 def _round(spark, sf_dir, write, read):
-    from biblioforge.operators.graph import uuid
-
-    path = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    path = fresh(spark, "roundtrip")
     write(path)
     return read(path)
 

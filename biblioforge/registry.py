@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["scalars", "relational"]
+MODULES = ["scalars", "relational", "books"]
 
 
 def modules() -> list:

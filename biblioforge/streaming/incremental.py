@@ -33,3 +33,9 @@ def windowed_counts(events: DataFrame, every: str = "1 hour", late: str = "2 hou
     """Counts per event-time window and type, for a stream or a table."""
     rows = events.withWatermark("ts", late) if events.isStreaming else events
     return rows.groupBy(F.window("ts", every).alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "event_type", "n")
+
+
+def session_counts(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
+    """user_id, session_start, n of sessions: events of a user less than `gap` apart. For a stream or a table."""
+    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    return rows.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("session_start"), "n")
