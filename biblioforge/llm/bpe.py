@@ -16,7 +16,7 @@ import itertools
 import json
 import re
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GROUP_BYTES = 8 << 20  # text that is split and encoded at once
-CACHE_BYTES = 8 << 20  # of each of the two generations of a word cache
+CACHE_BYTES = 40 << 20  # that a word cache holds before it forgets
 ENTRY_BYTES = 150  # what an entry of a cache takes besides its contents
 
 
@@ -153,47 +153,47 @@ class PairIndex:
 
 
 class WordCache:
-    """Packed ids of pieces of texts, in two generations of bounded size: what the older one is asked for moves to the younger one."""
+    """Ids of pieces of texts. Each piece has a number, its place in the arrays; when they outgrow the limit, the most used half stays."""
 
     def __init__(self, limit: int | None = None):
-        self.young, self.old, self.held, self.limit = {}, {}, 0, limit or CACHE_BYTES
-
-    def put(self, key: bytes, packed: bytes) -> None:
-        self.held += ENTRY_BYTES + len(key) + len(packed)
-        if self.held > self.limit:
-            self.old, self.young, self.held = self.young, {}, ENTRY_BYTES + len(key) + len(packed)
-        self.young[key] = packed
-
-    def resolve(self, keys: Iterable[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
-        """The packed ids of distinct keys, in their order; learn gives those of the new ones."""
-        out, new = [], []
-        for k in keys:
-            packed = self.young.get(k)
-            if packed is None:
-                packed = self.old.get(k)
-                if packed is None:
-                    new.append((len(out), k))
-                else:
-                    self.put(k, packed)
-            out.append(packed)
-        for (at, k), packed in zip(new, learn([k for _, k in new]), strict=True):
-            out[at] = packed
-            self.put(k, packed)
-        return out
+        self.limit = limit or CACHE_BYTES
+        self._renew([], np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64))
+
+    def _renew(self, keys: list[bytes], size: np.ndarray, flat: np.ndarray, uses: np.ndarray) -> None:
+        self.number: dict[bytes, int] = defaultdict(itertools.count(len(keys)).__next__, zip(keys, range(len(keys))))
+        self.size, self.start, self.flat, self.uses = size, np.cumsum(size) - size, flat, uses
+        self.held = sum(map(len, keys)) + ENTRY_BYTES * len(keys) + flat.nbytes
+
+    def _take(self, numbers: np.ndarray) -> np.ndarray:
+        n = self.size[numbers]
+        return self.flat[np.repeat(self.start[numbers] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+    def _forget(self) -> None:
+        """Keeps the most used pieces, up to half of the limit."""
+        keys = list(self.number)
+        order = np.argsort(-self.uses, kind="stable")
+        cost = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys))[order] + ENTRY_BYTES + 4 * self.size[order])
+        stay = np.sort(order[: np.searchsorted(cost, self.limit // 2)])
+        self._renew([keys[k] for k in stay.tolist()], self.size[stay], self._take(stay), self.uses[stay] // 2)
 
     def ids(self, texts: list[str | None], learn: Callable[[list[bytes]], list[bytes]]) -> list[np.ndarray]:
-        """Ids of each text. Only the distinct pieces of the texts are held, and their places in the texts."""
-        place: dict[bytes, int] = defaultdict(itertools.count().__next__)
-        placed = [np.fromiter(map(place.__getitem__, s), np.int32, len(s)) for s in map(keys_of, texts)]
-        packed = self.resolve(place, learn)
-        size = np.array([len(p) // 4 for p in packed], np.int64)
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(packed), np.int32)
-        out = []
-        for p in placed:
-            n = size[p]
-            out.append(flat[np.repeat(start[p] - np.cumsum(n) + n, n) + np.arange(n.sum())])
-        return out
+        """Ids of each text; learn gives the packed ids of the pieces that are new."""
+        if self.held > self.limit:
+            self._forget()
+        known = len(self.size)
+        placed = [np.fromiter(map(self.number.__getitem__, s), np.int32, len(s)) for s in map(keys_of, texts)]
+        if len(self.number) > known:
+            new = list(itertools.islice(self.number, known, None))
+            packed = learn(new)
+            flat = b"".join(packed)
+            self.held += sum(map(len, new)) + ENTRY_BYTES * len(new) + len(flat)
+            self.size = np.append(self.size, np.fromiter(map(len, packed), np.int64, len(packed)) // 4)
+            self.flat = np.append(self.flat, np.frombuffer(flat, np.int32))
+            self.start = np.cumsum(self.size) - self.size
+            self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
+        if placed:
+            self.uses += np.bincount(np.concatenate(placed), minlength=len(self.uses))
+        return [self._take(p) for p in placed]
 
 
 _coders: dict = {}

@@ -36,18 +36,22 @@ def test_ids_decode(spark):
     assert [x.text for x in bpe.decode_ids(ids).collect()] == [t.decode(t.encode(s or "", add_special_tokens=False).ids, skip_special_tokens=False) for _, s in rows]
 
 
-def test_word_cache_is_bounded(monkeypatch):
+def test_word_cache_is_bounded():
     cache = bpe.WordCache(20_000)
     asked = []
 
     def learn(keys):
         asked.extend(keys)
-        return [k + b"1234" for k in keys]
+        return [np.array([len(k), k[0]], np.int32).tobytes() for k in keys]
 
     for n in range(40):
-        keys = [b"common", *[f"w{n}-{i}".encode() for i in range(50)]]
-        assert cache.resolve(keys, learn) == [k + b"1234" for k in keys]
-    assert asked.count(b"common") == 1 and len(cache.young) + len(cache.old) <= 2 * 20_000 / bpe.ENTRY_BYTES
+        got = cache.ids(["common " * 5 + " ".join(f"{chr(97 + k % 26)}{n}" for k in range(60)), None, "common"], learn)
+        assert got[0].tolist()[:10] == [6, 99] * 5 and got[1].tolist() == [] and got[2].tolist() == [6, 99]
+        assert len(got[0]) == 2 * (5 + 60 + 60 * len(str(n)))
+    assert asked.count(b"common") == 1 and cache.held < 2 * 20_000
+    many = [f"{'abcdefgh'[i % 8] * (i // 8 + 1)}" for i in range(400)]
+    for _ in range(3):
+        assert [x.tolist() for x in cache.ids(many, learn)] == [[len(w), ord(w[0])] for w in many]
 
 
 def test_orc_prunes_by_bloom_filter_and_index(spark):
