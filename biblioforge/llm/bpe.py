@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GROUP_BYTES = 8 << 20  # text that is split and encoded at once
-CACHE_BYTES = 40 << 20  # that a word cache holds before it forgets
+GROUP_BYTES = 4 << 20  # text that is split and encoded at once
+CACHE_BYTES = 24 << 20  # that a word cache holds before it forgets
 ENTRY_BYTES = 150  # what an entry of a cache takes besides its contents
 
 
