@@ -94,8 +94,14 @@ class Templates:
 
     def may_match(self, tokens: Column) -> Column:
         """False only for terms whose cosine with every template is under the threshold."""
-        known = F.size(F.filter(tokens, lambda t: t.isin(sorted(self.idf))))
-        return F.exists(tokens, lambda t: t.isin(sorted(self.heavy))) & (known * (1 - self.min_cosine**2) * (1 + 1e-9) >= self.min_cosine**2 * (F.size(tokens) - known))
+        held = lambda terms: F.size(F.filter(tokens, lambda t: t.isin(sorted(terms))))
+        least = self.min_cosine**2 / (1 - self.min_cosine**2) * (1 - 1e-9)  # squares of known weights over those of unknown ones
+        by_weight: dict[float, list[str]] = {}
+        for t, w in self.idf.items():
+            by_weight.setdefault(w, []).append(t)
+        squares = sum((held(terms) * w**2 for w, terms in sorted(by_weight.items())), F.lit(0.0))
+        unknown = F.size(tokens) - held(self.idf)
+        return F.exists(tokens, lambda t: t.isin(sorted(self.heavy))) & (held(self.idf) >= least * unknown) & (squares >= least * unknown * self.unknown**2)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """license, template, t, idf, v: a row per term of each template; v is its share of the template's norm."""
