@@ -34,10 +34,10 @@ def near(r, text, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("rounds, block", [(2, 100_000), (0, 200)])
+@pytest.mark.parametrize("rounds, block", [(2, 256), (0, 4)])
 def test_ids_on_different_texts_link_nothing(spark, monkeypatch, rounds, block):
     monkeypatch.setattr(ngram_jaccard, "ROUNDS", rounds)
-    monkeypatch.setattr(ngram_jaccard, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_NODES", block)
     r = random.Random(rounds)
     a, b, c, long = words(r, 60, 9000), words(r, 60, 9000), words(r, 80, 9000), words(r, 20_000, 10**6)
     rows = [(7, a), (7, b), (8, a), (9, b), (5, c), (5, near(r, c, 1)), (5, near(r, c, 1)), (6, near(r, c, 1)), (1, long), (0, near(r, long, 300)), (2, None), (2, a), (None, a), (3, "x y"), (3, "x y"), (4, "X  y")]
