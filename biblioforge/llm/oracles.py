@@ -1,8 +1,33 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+KEPT = """SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
 WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
+
+def vector_codes() -> str:
+    """The rounds written out: a<i> assigns all parts to the entries e<i>, whose means are e<i + 1>."""
+    rounds = ""
+    for i in range(7):
+        rounds += f"""
+a{i} AS MATERIALIZED (SELECT r, p, v, min({{'d': d, 'e': e}}) AS best FROM (
+  SELECT r, parts.p, v, e, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM parts JOIN e{i} ON parts.p = e{i}.p) GROUP BY r, p, v),"""
+        if i < 6:
+            rounds += f"""
+s{i} AS (SELECT p, best.e AS e, j, sum(v[j]) AS s, count(*) AS n FROM (SELECT p, v, best, unnest(range(1, len(v) + 1)) AS j FROM a{i}) GROUP BY ALL),
+m{i} AS (SELECT p, e, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM s{i} GROUP BY p, e),
+e{i + 1} AS MATERIALIZED (SELECT o.p, o.e, coalesce(m.c, o.c) AS c FROM e{i} o LEFT JOIN m{i} m ON o.p = m.p AND o.e = m.e),"""
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, q) AS r, vec_id, label, q FROM ({KEPT.format(scale=4096)})),
+parts AS MATERIALIZED (SELECT r, p, q[p * len(q) // 8 + 1 : (p + 1) * len(q) // 8] AS v FROM kept, range(8) t(p)),
+e0 AS (SELECT p, r - 1 AS e, v AS c FROM parts WHERE r <= 16),{rounds}
+codes AS (SELECT r, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a6 GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM e6)
+SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM books) AS codebooks_sha256 FROM kept JOIN codes USING (r)
+"""
+
+
 SQL = {
     "op1_ngram_jaccard_join": f"""
 WITH RECURSIVE words AS (SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents),
@@ -40,4 +65,5 @@ SELECT s.doc_id, (SELECT count(*) FROM worded w WHERE w.doc_id = s.doc_id) AS n_
   CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars_left, md5(coalesce(text, '')) AS text_md5
 FROM split s LEFT JOIN left_over o ON o.doc_id = s.doc_id
 """,
+    "op11_vector_codes": vector_codes(),
 }

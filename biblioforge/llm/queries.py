@@ -19,6 +19,7 @@ from biblioforge.llm.quality import quality_rules
 from biblioforge.llm.token_counts import TokenRollup
 from biblioforge.llm.token_orc import token_checksums, write_token_orc
 from biblioforge.llm.toxicity import toxicity_scores
+from biblioforge.llm.vector_codes import compress_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,8 +78,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity]
+    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity, op11_vector_codes]
     return {f.__name__: f for f in own}
 
 
