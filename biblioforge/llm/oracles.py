@@ -66,4 +66,13 @@ SELECT s.doc_id, (SELECT count(*) FROM worded w WHERE w.doc_id = s.doc_id) AS n_
 FROM split s LEFT JOIN left_over o ON o.doc_id = s.doc_id
 """,
     "op11_vector_codes": vector_codes(),
+    "op13_hard_negatives": f"""
+WITH kept AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label, q FROM ({KEPT.format(scale=256)}) WHERE vec_id IS NOT NULL AND label IS NOT NULL),
+pairs AS MATERIALIZED (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_sum(list_transform(list_zip(a.q, c.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM kept a JOIN kept c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positives AS (SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 10
+""",
 }

@@ -11,6 +11,7 @@ from biblioforge.llm import oracles
 from biblioforge.llm.bpe import encode_digests
 from biblioforge.llm.common import Scratch
 from biblioforge.llm.decontaminate import contaminated
+from biblioforge.llm.hard_negatives import hard_negatives
 from biblioforge.llm.html_text import main_text
 from biblioforge.llm.licenses import document_files, scan_licenses
 from biblioforge.llm.line_dedup import dedup_lines
@@ -82,8 +83,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity, op11_vector_codes]
+    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity, op11_vector_codes, op13_hard_negatives]
     return {f.__name__: f for f in own}
 
 
