@@ -52,10 +52,13 @@ class BallTree:
             if parent >= 0:
                 nodes[parent][side] = number
             if stop - start > leaf:
+                # Between the two far points, or at the median if that leaves one side with few rows.
                 far = x[away.argmax()]
-                line = far - x[((x - far) ** 2).sum(1).argmax()]
-                order[start:stop] = order[start:stop][np.argsort(x @ line, kind="stable")]
-                middle = (start + stop) // 2
+                other = x[((x - far) ** 2).sum(1).argmax()]
+                along = x @ (far - other)
+                order[start:stop] = order[start:stop][np.argsort(along, kind="stable")]
+                below = int((along < (far + other) @ (far - other) / 2).sum())
+                middle = start + (below if len(x) <= 8 * min(below, len(x) - below) else len(x) // 2)
                 todo += [(start, middle, number, 2), (middle, stop, number, 3)]
         self.q, self.ids, self.labels, self.order = q[order], ids[order], labels[order], order
         self.start, self.stop, self.left, self.right, self.low, self.high = np.array(nodes, np.int64).T
