@@ -74,5 +74,15 @@ positives AS (SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITIO
 SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
 FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 10
+""",
+    "op12_substring_dedup": f"""
+WITH words AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS pos, w FROM words),
+named AS (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 34], ' ')) AS name FROM windows),
+repeated AS (SELECT doc_id, pos FROM named QUALIFY count(*) OVER (PARTITION BY name) > 1),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM repeated, range(35) t(k)),
+each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM words),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM words LEFT JOIN kept USING (doc_id)
 """,
 }

@@ -17,6 +17,7 @@ from biblioforge.llm.licenses import document_files, scan_licenses
 from biblioforge.llm.line_dedup import dedup_lines
 from biblioforge.llm.ngram_jaccard import similarity_components
 from biblioforge.llm.quality import quality_rules
+from biblioforge.llm.substring_dedup import dedup_substrings
 from biblioforge.llm.token_counts import TokenRollup
 from biblioforge.llm.token_orc import token_checksums, write_token_orc
 from biblioforge.llm.toxicity import toxicity_scores
@@ -83,12 +84,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity, op11_vector_codes, op13_hard_negatives]
+    own = [op1_ngram_jaccard_join, op2_line_dedup, op3_token_orc, op4_bpe_codec, op5_html_text, op6_license_scan, op7_token_counts, op8_decontamination, op9_quality_rules, op10_toxicity, op11_vector_codes, op12_substring_dedup, op13_hard_negatives]
     return {f.__name__: f for f in own}
 
 
