@@ -352,11 +352,11 @@ def dedup_substrings(docs: DataFrame, size: int = SIZE, shingle: int = SHINGLE,
     """
     scratch = Scratch(docs.sparkSession, "substring-dedup")
     doc_id, th = _hashed(docs)
-    spans = repeated_spans(docs, scratch, size, shingle, limit).select(F.col("doc_id").alias("__span_id"), F.col("th").alias("__span_th"), F.col("spans").alias("__spans"))
-    out = docs.withColumn("__key", doc_id).withColumn("__th", th)
+    spans = repeated_spans(docs, scratch, size, shingle, limit)
+    # Rows travel as one column, so no name of docs can clash with the join's.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_id.alias("doc_id"), th.alias("th"), F.col("text").cast("string").alias("text"))
     # The same join at every size, so that the shuffle grows with the input alone.
-    out = out.join(spans.hint("merge"), (F.col("__key") == F.col("__span_id")) & (F.col("__th") == F.col("__span_th")), "left")
-    out = out.withColumn("__kept", F.arrow_udf(_without, "text string, n_words bigint, n_removed bigint")(F.col("text").cast("string"), F.col("__spans")))
-    for c in ("text", "n_words", "n_removed"):
-        out = out.withColumn(c, F.col(f"__kept.{c}"))
-    return out.drop("__key", "__th", "__span_id", "__span_th", "__spans", "__kept")
+    out = rows.join(spans.hint("merge"), ["doc_id", "th"], "left")
+    out = out.withColumn("kept", F.arrow_udf(_without, "text string, n_words bigint, n_removed bigint")("text", "spans"))
+    new = ["n_words", "n_removed"]
+    return out.select(*[(F.col("kept.text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in new], *[F.col(f"kept.{c}").alias(c) for c in new])
