@@ -130,15 +130,3 @@ def fetch(urls: DataFrame, make_fetcher: Callable[[], Callable[[str], tuple[int,
             yield pd.DataFrame(out, columns=["url", "status", "final_url", "body", "error"]).astype({"status": "Int64"})
 
     return urls.select("url").distinct().mapInPandas(run, "url string, status long, final_url string, body string, error string")
-
-
-def crawl(categories: list[dict], get_page: Callable[[str, int], list[dict]], max_pages: int = 50) -> list[dict]:
-    """Listing rows of catalogue categories (url, segment, subsegment): pages from 0 on until one is empty or max_pages."""
-    out = []
-    for c in categories:
-        for page in range(max_pages):
-            rows = get_page(c["url"], page)
-            if not rows:
-                break
-            out += [{**r, "segment": c["segment"], "subsegment": c["subsegment"]} for r in rows]
-    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["scalars", "relational", "books"]
+MODULES = ["scalars", "relational", "books", "ingest"]
 
 
 def modules() -> list:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,3 +29,20 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = fresh(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered_within(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """df plus each row's number (from 0) within its group by `order`, which must identify the group's rows.
+
+    A sort over all rows and prefix sums of counts per partition: a group may be of any size, no task holds it whole.
+    """
+    rows = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    rows = keep(rows.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()), "numbered")
+    parts = rows.groupBy("_p", *group).agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
+    # A row for each partition and group in it.
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(F.col("_p").alias("_part"), *[F.col(g).alias(f"_{g}") for g in group], "_first", before.alias("_before"))
+    same = F.col("_p") == F.col("_part")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return rows.join(parts, same).withColumn(name, F.col("_i") - F.col("_first") + F.col("_before")).select(*df.columns, name)
