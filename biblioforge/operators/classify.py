@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblioforge.functions import text as T
@@ -13,27 +14,80 @@ from biblioforge.functions import text as T
 AMBIGUOUS, UNSURE, APPLY = 0.8, 0.6, 0.7
 
 
-def keyword_hits(docs: DataFrame, keywords: DataFrame, text: str = "text") -> DataFrame:
-    """id, segment, subsegment, hits, first (smallest keyword order), words (the first 5): keywords of 3 characters or more inside the folded text.
+CELLS = "array<struct<segment:string,subsegment:string,hits:bigint,first:int,words:array<string>>>"
+
+
+def _find_cells(told):
+    """Arrow iterator: folded texts -> their cells with hits, best first. The automaton is built once a task and passes over each text once."""
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import ahocorasick
+
+        rows = told.value
+        machine = ahocorasick.Automaton()
+        for number, (_, word, _, _) in enumerate(rows):
+            machine.add_word(word, [*machine.get(word, []), number])
+        if rows:
+            machine.make_automaton()
+        for batch in texts:
+            out = []
+            for text in batch.to_pylist():
+                cells: dict = {}
+                for number in sorted({n for _, found in machine.iter(text) for n in found}) if text and rows else []:
+                    order, word, segment, subsegment = rows[number]
+                    cell = cells.setdefault((segment, subsegment), [0, order, []])
+                    cell[0] += 1
+                    if len(cell[2]) < 5:
+                        cell[2].append(word)
+                best = sorted(cells.items(), key=lambda x: (-x[1][0], x[1][1], x[0][0] or "", x[0][1] or ""))
+                out.append([{"segment": s, "subsegment": u, "hits": n, "first": first, "words": words} for (s, u), (n, first, words) in best])
+            yield pa.array(out, CELL_TYPE)
+
+    return run
+
 
-    keywords: kw_ord, keyword, segment, subsegment; a config table, broadcast by Spark while it is under the threshold.
+CELL_TYPE = pa.list_(pa.struct([("segment", pa.string()), ("subsegment", pa.string()), ("hits", pa.int64()), ("first", pa.int32()), ("words", pa.list_(pa.string()))]))
+
+
+def keyword_cells(docs: DataFrame, keywords: DataFrame, text: str = "text", most_bytes: int = 64 << 20) -> DataFrame:
+    """docs plus cells: array of (segment, subsegment, hits, first, words), most hits first, then the smaller keyword order.
+
+    keywords: kw_ord, keyword, segment, subsegment; those of 3 characters or more count if the folded text holds them,
+    once each. hits: how many; first: the smallest kw_ord; words: the first 5. Texts aren't shuffled and a text is passed
+    over once, however many keywords there are. The keywords are broadcast after a check of their size; lists over
+    most_bytes go in blocks of whole cells, one pass each.
     """
-    kw = keywords.where(F.length("keyword") >= 3).withColumn("keyword", F.lower("keyword"))
-    hit = docs.withColumn("_low", F.lower(text)).join(kw, F.contains("_low", "keyword"))
-    return hit.groupBy("id", "segment", "subsegment").agg(F.count("*").alias("hits"), F.min("kw_ord").alias("first"), F.transform(F.slice(F.array_sort(F.collect_list(F.struct("kw_ord", "keyword"))), 1, 5), lambda x: x["keyword"]).alias("words"))
+    spark = docs.sparkSession
+    kw = keywords.where(F.length("keyword") >= 3).select(F.col("kw_ord").cast("int").alias("kw_ord"), F.lower("keyword").alias("keyword"), "segment", "subsegment")
+    size = kw.agg(F.sum(F.octet_length("keyword") + F.coalesce(F.octet_length("segment"), F.lit(0)) + F.coalesce(F.octet_length("subsegment"), F.lit(0)) + 64)).first()[0] or 0
+    blocks = size // most_bytes + 1
+    parts = []
+    for block in range(blocks):
+        own = kw.where(F.pmod(F.xxhash64("segment", "subsegment"), F.lit(blocks)) == block) if blocks > 1 else kw
+        rows = sorted((tuple(r) for r in own.collect()), key=lambda r: (r[0], r[1], r[2] or "", r[3] or ""))
+        parts.append(F.arrow_udf(_find_cells(spark.sparkContext.broadcast(rows)), CELLS)(F.lower(text)))
+    if blocks == 1:
+        return docs.withColumn("cells", parts[0])
+    ranked = F.array_sort(F.transform(F.flatten(F.array(*parts)), lambda c: F.struct((-c["hits"]).alias("less"), c["first"].alias("first"), c.alias("c"))))
+    return docs.withColumn("cells", F.transform(ranked, lambda x: x["c"]))
+
+
+def keyword_hits(docs: DataFrame, keywords: DataFrame, text: str = "text") -> DataFrame:
+    """id, segment, subsegment, hits, first, words: a row for each cell that a text has keywords of."""
+    return keyword_cells(docs, keywords, text).select("id", F.inline("cells"))
 
 
 def classify(docs: DataFrame, keywords: DataFrame, text: str = "text") -> DataFrame:
-    """id, segment, subsegment, hits, confidence, is_ambiguous of the best cell: most hits, then the first keyword."""
-    w = Window.partitionBy("id").orderBy(F.desc("hits"), "first")
-    ranked = keyword_hits(docs, keywords, text).withColumn("_n", F.row_number().over(w)).withColumn("_next", F.lead("hits").over(w))
-    best = ranked.where("_n = 1")
-    return best.select("id", "segment", "subsegment", "hits", F.least(F.lit(0.95), 0.5 + 0.1 * F.col("hits")).alias("confidence"), F.coalesce(F.col("_next") >= AMBIGUOUS * F.col("hits"), F.lit(False)).alias("is_ambiguous"), "words")
+    """id, segment, subsegment, hits, confidence, is_ambiguous, words of the best cell: most hits, then the first keyword."""
+    rows = keyword_cells(docs, keywords, text).where("size(cells) > 0").select("id", F.col("cells")[0].alias("c"), F.try_element_at("cells", F.lit(2))["hits"].alias("next"))
+    ambiguous = F.coalesce(F.col("next") >= AMBIGUOUS * F.col("c.hits"), F.lit(False))
+    return rows.select("id", "c.segment", "c.subsegment", "c.hits", F.least(F.lit(0.95), 0.5 + 0.1 * F.col("c.hits")).alias("confidence"), ambiguous.alias("is_ambiguous"), "c.words")
 
 
 def top_cells(docs: DataFrame, keywords: DataFrame, k: int = 5, text: str = "text") -> DataFrame:
-    w = Window.partitionBy("id").orderBy(F.desc("hits"), "first")
-    return keyword_hits(docs, keywords, text).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    """id, rank and the cell of each text's k best cells."""
+    rows = keyword_cells(docs, keywords, text).select("id", F.posexplode(F.slice("cells", 1, k)).alias("rank", "c"))
+    return rows.select("id", "c.*", (F.col("rank") + 1).alias("rank"))
 
 
 def decide(rows: DataFrame, auto_apply: bool = True) -> DataFrame:

@@ -168,6 +168,21 @@ def kw_ambiguous(spark, sf_dir):
     return classify(d, keywords(spark)).where("is_ambiguous").groupBy("segment").agg(F.count("*").alias("n"))
 
 
+def part_keywords(spark, sf_dir) -> DataFrame:
+    """Five keywords of 4 or 5 letters for every part, in cells by size and brand."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", F.explode(F.expr("sequence(0, 4)")).alias("k"))
+    letters = "substr(translate(md5(concat('k', CAST(p_partkey AS STRING), '-', CAST(k AS STRING))), '0123456789', 'nortsuilht'), 1, 4 + k % 2)"
+    return p.select((F.col("p_partkey") * 5 + F.col("k")).cast("int").alias("kw_ord"), F.expr(letters).alias("keyword"), F.concat(F.lit("S"), F.col("p_size") % 7).alias("segment"), F.col("p_brand").alias("subsegment"))
+
+
+def kw_many(spark, sf_dir):
+    """The best cell of every document by the keywords of all parts: 10,000 of them at sf0.01."""
+    from biblioforge.operators.classify import classify
+
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return classify(d, part_keywords(spark, sf_dir)).select("id", "segment", "subsegment", "hits", "is_ambiguous", F.array_join("words", " ").alias("words"))
+
+
 def user_sql(spark, sf_dir):
     """A question to the registered views in SQL."""
     t = tables(spark, sf_dir)
@@ -201,6 +216,11 @@ QUERIES = {
     "upsert_load": (upsert_load, f"WITH {_BOOK} SELECT 'works' AS name, count(*) AS n FROM w UNION ALL SELECT 'authors', count(author) FROM w UNION ALL SELECT 'topics', count(*) FROM w UNION ALL SELECT 'data_sources', count(*) FROM w UNION ALL SELECT 'editions', count(*) FROM w UNION ALL SELECT 'formats', count(*) FILTER (id % 3 <> 0) FROM w"),
     "html_extract_title_links": (html_extract_title_links, "SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, CAST(len(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1)) AS INTEGER) AS n_links, coalesce(array_to_string(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1), ' '), '') AS links FROM pages"),
     "kw_ambiguous": (kw_ambiguous, f"WITH {CLASSES} SELECT segment, count(*) AS n FROM best WHERE is_ambiguous GROUP BY 1"),
+    "kw_many": (kw_many, """WITH kw AS (SELECT p_partkey * 5 + k AS kw_ord, substr(translate(md5('k' || p_partkey || '-' || k), '0123456789', 'nortsuilht'), 1, CAST(4 + k % 2 AS BIGINT)) AS keyword, 'S' || p_size % 7 AS segment, p_brand AS subsegment FROM part, range(5) t(k)),
+low AS (SELECT doc_id AS id, lower(text) AS t FROM documents), subs AS (SELECT DISTINCT id, substr(t, i, n) AS s FROM (SELECT id, t, n, unnest(range(1, length(t) - n + 2)) AS i FROM low, (VALUES (4), (5)) v(n))),
+hits AS (SELECT id, segment, subsegment, count(*) AS hits, min(kw_ord) AS first, list(keyword ORDER BY kw_ord)[1:5] AS words FROM subs JOIN kw ON s = keyword GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER w AS n, lead(hits) OVER w AS nxt FROM hits WINDOW w AS (PARTITION BY id ORDER BY hits DESC, first))
+SELECT id, segment, subsegment, hits, coalesce(nxt >= 0.8 * hits, false) AS is_ambiguous, array_to_string(words, ' ') AS words FROM ranked WHERE n = 1"""),
     "user_sql": (user_sql, f"WITH {WORKS}, {_L}, c AS (SELECT segment, count(DISTINCT CASE WHEN dataset_status = 'validated' THEN work_id END) AS validated FROM works GROUP BY 1), a AS (SELECT DISTINCT work_id FROM l JOIN part ON isbn = CAST(p_partkey AS VARCHAR) WHERE p_brand LIKE '%Brand#11%') SELECT segment, count(*) AS n, max(publication_year) AS newest, any_value(validated) AS validated FROM works JOIN a USING (work_id) JOIN latest USING (work_id) JOIN c USING (segment) GROUP BY 1"),
     "session_events": (session_events, "WITH o AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS fresh FROM events), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS number FROM o) SELECT user_id, min(ts) AS session_start, count(*) AS n FROM s GROUP BY user_id, number"),
 }
