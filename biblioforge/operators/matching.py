@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +9,7 @@ from biblioforge.functions import text as T
 from biblioforge.store import keep
 
 HIGH, MEDIUM, LOW = 0.90, 0.80, 0.70
-SAME_AUTHOR = 0.85
+SAME_AUTHOR, DUPLICATE = 0.85, 0.85
 
 
 def match_forms(books: DataFrame, compose: bool = True) -> DataFrame:
@@ -57,21 +54,20 @@ def score_pairs(pairs: DataFrame, similarity=T.sequence_ratio, author_ratio=None
 def ngram_candidates(queries: DataFrame, index: DataFrame, overlap: float = 0.3, n: int = 3) -> DataFrame:
     """(q, r, shared): index rows that share at least max(1, int(overlap * grams)) n-grams of a query; repeats of a query's gram count.
 
-    queries: q, text; index: r, text. A prefix join: of a query's grams, rarest in the index first, the last ones that
-    together are fewer than it needs can't make a match alone, so they aren't joined. The other grams give the pairs,
-    whose whole gram lists are compared then.
+    queries: q, text; index: r, text. Equal texts are one on either side. Shared grams are counted in the join of the
+    postings, with partial sums before the shuffle, so no gram list travels to a pair; adaptive execution splits the
+    postings of a common gram.
     """
-    q = queries.select("q", T.ngrams("text", n).alias("grams")).withColumn("need", F.greatest(F.lit(1), F.floor(F.size("grams") * overlap)))
-    r = index.select("r", F.array_distinct(T.ngrams("text", n)).alias("own"))
-    posts = r.select("r", F.explode("own").alias("g"))
-    known = posts.groupBy("g").agg(F.count("*").alias("df"))
-    times = q.select("q", "need", F.explode("grams").alias("g")).groupBy("q", "need", "g").agg(F.count("*").alias("times")).join(known, "g")
-    w = Window.partitionBy("q")
-    left = F.sum("times").over(w.orderBy("df", "g").rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    prefix = times.withColumn("left", left).where("left >= need").select("q", "g")
-    pairs = prefix.join(posts, "g").select("q", "r").distinct()
-    shared = F.size(F.filter("grams", lambda g: F.array_contains("own", g))).cast("long")
-    return pairs.join(q, "q").join(r, "r").withColumn("shared", shared).where("shared >= need").select("q", "r", "shared")
+    grams = T.ngrams("text", n)
+    queries, index = queries.where("text <> ''"), index.where("text <> ''")
+    q = queries.groupBy("text").agg(F.min("q").alias("tq"))
+    r = index.groupBy("text").agg(F.min("r").alias("tr"))
+    times = q.select("tq", F.greatest(F.lit(1), F.floor(F.size(grams) * overlap)).cast("int").alias("need"), F.explode(grams).alias("g")).groupBy("tq", "need", "g").agg(F.count("*").cast("int").alias("times"))
+    posts = r.select("tr", F.explode(F.array_distinct(grams)).alias("g"))
+    pairs = times.join(posts, "g").groupBy("tq", "tr").agg(F.sum("times").alias("shared"), F.first("need").alias("need")).where("shared >= need")
+    # From texts to their rows: nothing to do where each text has one.
+    out = pairs.join(queries.join(q, "text").select("q", "tq"), "tq").join(index.join(r, "text").select("r", "tr"), "tr")
+    return out.select("q", "r", "shared")
 
 
 def sided(df: DataFrame, side: str) -> DataFrame:
@@ -136,7 +132,7 @@ def duplicate_check(items: DataFrame, known_asins: DataFrame, known_isbns: DataF
     return rows.join(a, "key", "left").join(b, "key", "left").withColumn("kind", F.when(F.col("_a"), "asin").when(F.col("_b"), "isbn")).drop("_a", "_b")
 
 
-def duplicate_check_all(items: DataFrame, known_asins: DataFrame, known_isbns: DataFrame, known: DataFrame, threshold: float = MEDIUM, similarity=T.sequence_ratio, author_ratio=None) -> DataFrame:
+def duplicate_check_all(items: DataFrame, known_asins: DataFrame, known_isbns: DataFrame, known: DataFrame, threshold: float = DUPLICATE, similarity=T.sequence_ratio, author_ratio=None) -> DataFrame:
     """duplicate_check() and, for items without a known key, the best fuzzy match in the catalogue: kind 'fuzzy', with match_type and confidence.
 
     items: id, asin, url, title, author, isbn; known: match forms.
@@ -186,45 +182,83 @@ def index_stats(forms: DataFrame) -> DataFrame:
     return one.crossJoin(grams.agg(F.count_distinct("gram").alias("ngram_entries")))  # both sides are one row
 
 
-def replay_greedy(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """The sequential merge of one component: each record joins the best earlier leader, or becomes one."""
-    leaders: list = []
-    out = []
-
-    def similar(a: str, b: str) -> float:
-        if not a or not b:
-            return 0.0
-        x, y = set(a.split()), set(b.split())
-        return 0.6 * difflib.SequenceMatcher(None, a, b).ratio() + 0.4 * len(x & y) / len(x | y)
-
-    def author(a: str | None, b: str | None) -> bool:
-        return bool(a and b) and (a == b or a in b or b in a or difflib.SequenceMatcher(None, a, b).ratio() >= SAME_AUTHOR)
-
-    for r in group.sort_values("ord").itertuples():
-        best = None
-        for tier in ("code", "norm", "agg"):
-            best = next((x for x in leaders if getattr(r, tier) and getattr(x, tier) == getattr(r, tier)), None)
-            if best is not None:
-                break
-        if best is None:
-            top = threshold - 1e-12
-            for x in leaders:
-                c = min(1.0, max(similar(r.norm, x.norm), similar(r.agg, x.agg)) + 0.1 * author(r.who, x.who))
-                if c > top:
-                    best, top = x, c
-        if best is None:
-            leaders.append(r)
-        out.append((r.id, r.id if best is None else best.id))
-    return pd.DataFrame(out, columns=["id", "leader"])
-
-
-def greedy_merge(forms: DataFrame, edges: DataFrame, threshold: float = MEDIUM) -> DataFrame:
-    """id, leader as arrival in `ord` would merge them: components of possible matches are replayed one by one.
-
-    forms: id, ord and the match forms; edges: (l_id, r_id), a superset of the matches that a replay can meet.
-    """
-    from biblioforge.operators.graph import components
+KEYS = ("code", "prefix", "norm", "agg")
+
+
+def _keys(rows: DataFrame, *more: str) -> DataFrame:
+    """A row (tier, key, ...) for each key under which a record can be found, best tier first."""
+    prefix = F.when(F.length("code") == 13, F.substring("code", 1, 12))
+    keys = [(1, F.col("code")), (2, prefix), (3, F.col("norm")), (4, F.col("agg"))]
+    items = F.array(*[F.struct(F.lit(n).alias("tier"), k.alias("key")) for n, k in keys])
+    return rows.select(*more, F.inline(F.filter(items, lambda x: F.coalesce(x["key"], F.lit("")) != "")))
 
-    comp = components(edges.select(F.col("l_id").alias("a"), F.col("r_id").alias("b")))
-    rows = forms.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    return rows.groupBy("comp").applyInPandas(lambda g: replay_greedy(g, threshold), "id long, leader long")
+
+def title_similarities(titles: DataFrame, least: float, overlap: float = 0.3, similarity=T.sequence_ratio) -> DataFrame:
+    """(t, u, sim): for each title t, the other titles u (with another aggressive form) of enough shared n-grams and a similarity of `least`.
+
+    titles: t, norm, agg. The similarity is that of score_pairs() without authors; t is the one that arrives.
+    """
+    cand = ngram_candidates(titles.select(F.col("t").alias("q"), F.col("agg").alias("text")), titles.select(F.col("t").alias("r"), F.col("agg").alias("text")), overlap)
+    l, r = sided(titles, "l"), sided(titles, "r")
+    pairs = cand.join(l, cand.q == l.l_t).join(r, cand.r == r.r_t).where("l_agg <> r_agg")
+    sim = lambda x, y: F.when((F.col(x) == "") | (F.col(y) == ""), F.lit(0.0)).otherwise(0.6 * similarity(F.col(x), F.col(y)) + 0.4 * T.token_jaccard(x, y))
+    out = pairs.select(F.col("l_t").alias("t"), F.col("r_t").alias("u"), F.greatest(sim("l_norm", "r_norm"), sim("l_agg", "r_agg")).alias("sim"))
+    return keep(out, "similar").where(F.col("sim") >= least)
+
+
+def greedy_merge(forms: DataFrame, threshold: float = MEDIUM, overlap: float = 0.3, similarity=T.sequence_ratio, author_ratio=None) -> DataFrame:
+    """id, leader: what arrival in `ord` merges. Each record joins its best match among the leaders before it, or leads.
+
+    forms: id, ord (both without repeats) and the match forms. The best match is that of the first tier which has one:
+    ISBN, ISBN prefix, normal title, aggressive title, then the fuzzy one of the highest confidence, the earliest in a
+    tie. Leaders only are matched, so who leads depends on all records before. It is decided in rounds: a record leads
+    once no undecided record before it could be a match and no leader is; it is a member once one is.
+
+    Records with equal forms are one class of which only the first can lead, and a key (an ISBN, a title) has one leader
+    at most. So a round takes the first leader and the first undecided class of each key by aggregates, and no pairs of a
+    key's records are made; fuzzy candidates are pairs of different titles. Rounds are as many as the longest chain of
+    records that wait for each other.
+    """
+    forms = keep(forms.select("id", "ord", *[F.coalesce(c, F.lit("")).alias(c) for c in ("norm", "agg", "who", "code")]), "forms")
+    titles = forms.groupBy("norm", "agg").agg(F.min("id").alias("t"))
+    classes = forms.groupBy("norm", "agg", "who", "code").agg(F.min("ord").alias("ord"))
+    classes = classes.join(titles, ["norm", "agg"]).join(forms.select("ord", "id"), "ord").select("id", "ord", "t", "norm", "agg", "who", "code")
+    classes = keep(classes, "classes")
+    near = title_similarities(keep(titles.where("agg <> ''"), "titles"), threshold - 0.1 - 1e-9, overlap, similarity)
+    fuzzy = keep(classes.join(near, "t").select("id", "ord", "who", F.col("u").cast("string").alias("key"), "sim"), "fuzzy")
+    exact = keep(_keys(classes, "id", "ord"), "keys")
+    # Of each key the first leader and the first undecided class; titles are keys of tier 5.
+    all_keys = keep(exact.select("id", "ord", "tier", "key").union(classes.where("agg <> ''").select("id", "ord", F.lit(5), F.col("t").cast("string"))), "all-keys")
+    state = keep(classes.select("id", "ord", "who", F.lit(None).cast("boolean").alias("leads")), "state")
+
+    def by_key(state: DataFrame) -> DataFrame:
+        held = all_keys.join(state.select("id", "who", "leads").where("leads is null or leads"), "id")
+        first = F.min(F.when(F.col("leads"), F.struct("ord", "id", "who")))
+        return held.groupBy("tier", "key").agg(first.alias("lead"), F.min(F.when(F.col("leads").isNull(), F.col("ord"))).alias("open"))
+
+    def sure(sim):
+        """Confidence of a fuzzy match with a key's leader."""
+        ratio = author_ratio(F.col("who"), F.col("lead.who")) if author_ratio else None
+        who = same_author(F.col("who"), F.col("lead.who"), ratio)
+        return F.least(F.lit(1.0), sim + F.when(who, 0.1).otherwise(0.0))
+
+    while True:
+        now = keep(by_key(state), "first")
+        undecided = state.where("leads is null").select("id")
+        mine = exact.join(undecided, "id", "left_semi").join(now, ["tier", "key"]).select("id", (F.col("lead.ord") < F.col("ord")).alias("led"), (F.col("open") < F.col("ord")).alias("waits"))
+        ours = fuzzy.join(undecided, "id", "left_semi").join(now.where("tier = 5").drop("tier"), "key")
+        before = F.coalesce(F.col("lead.ord") < F.col("ord"), F.lit(False))
+        ours = ours.select("id", F.when(before, sure(F.col("sim")) >= threshold).otherwise(F.lit(False)).alias("led"), (F.col("open") < F.col("ord")).alias("waits"))
+        told = mine.union(ours).groupBy("id").agg(F.max(F.coalesce("led", F.lit(False))).alias("led"), F.max(F.coalesce("waits", F.lit(False))).alias("waits"))
+        verdict = F.when(F.col("leads").isNotNull(), F.col("leads")).when(F.col("led"), False).when(F.coalesce("waits", F.lit(False)), None).otherwise(True)
+        state = keep(state.join(told, "id", "left").withColumn("leads", verdict).select("id", "ord", "who", "leads"), "state")
+        if not state.where("leads is null").limit(1).count():
+            break
+    now = keep(by_key(state).where("lead is not null"), "leaders")
+    # All records, copies too, look among the leaders before them.
+    records = forms.join(titles, ["norm", "agg"])
+    found = _keys(records, "id", "ord").join(now.where("tier < 5"), ["tier", "key"]).where("lead.ord < ord").select("id", "tier", F.lit(0.0).alias("less"), "lead.ord", F.col("lead.id").alias("leader"))
+    close = records.join(near.select("t", F.col("u").cast("string").alias("key"), "sim"), "t").join(now.where("tier = 5").drop("tier"), "key").where("lead.ord < ord")
+    close = close.withColumn("sure", sure(F.col("sim"))).where(F.col("sure") >= threshold).select("id", F.lit(5).alias("tier"), (-F.col("sure")).alias("less"), "lead.ord", F.col("lead.id").alias("leader"))
+    best = found.union(close).groupBy("id").agg(F.min(F.struct("tier", "less", "ord", "leader")).alias("b"))
+    return forms.select("id").join(best, "id", "left").select("id", F.coalesce("b.leader", "id").alias("leader"))

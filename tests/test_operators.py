@@ -90,18 +90,6 @@ def test_tiers(spark):
     assert got == {11: (1, "isbn_exact"), 12: (1, "isbn_prefix"), 13: (1, "title_normalized"), 14: (2, "title_aggressive"), 15: (3, "fuzzy_medium")}
 
 
-def test_greedy_replay_equals_the_sequential_run(spark):
-    r = random.Random(5)
-    words = ["risk", "bank", "bond", "tax", "fund", "rate"]
-    for _ in range(2):
-        rows = [(i, " ".join(r.sample(words, r.randint(1, 3))), None, None) for i in range(40)]
-        f = forms(spark, rows).withColumn("ord", F.col("id"))
-        whole = matching.replay_greedy(f.toPandas(), 0.8)
-        edges = matching.find_matches(f.drop("ord"), f.drop("ord"), 0.7, 0.0, best_only=False).where("l_id <> r_id")
-        got = matching.greedy_merge(f, edges, 0.8).toPandas()
-        assert dict(zip(got.id, got.leader, strict=True)) == dict(zip(whole.id, whole.leader, strict=True))
-
-
 def test_classifier_ties_and_ambiguity(spark):
     kw = spark.createDataFrame([(0, "bond", "A", "a"), (1, "bank", "B", "b"), (2, "be", "C", "c")], "kw_ord int, keyword string, segment string, subsegment string")
     d = spark.createDataFrame([(1, "Bank and BOND be"), (2, "bond"), (3, "be"), (4, None)], "id long, text string")
