@@ -303,3 +303,11 @@ def token_jaccard(a: C, b: C) -> Column:
     x, y = (F.array_distinct(F.filter(F.split(col(c), " "), lambda w: w != "")) for c in (a, b))
     both = F.size(F.array_intersect(x, y))
     return F.when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(both / (F.size(x) + F.size(y) - both))
+
+
+def json_value(c: C) -> Column:
+    """The one JSON value of a text as a variant; null if the text is none, repeats a name in an object, or goes on after it."""
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), col(c), F.lit("]"))), "$", "array<variant>")
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), col(c), F.lit("}")))  # a text that closes the list doesn't fit here
+    whole = (F.size(listed) == 1) & (~col(c).rlike(r"\]\s*,") | named.isNotNull())
+    return F.when(F.coalesce(whole, F.lit(False)), listed[0])

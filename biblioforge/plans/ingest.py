@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from biblioforge.operators.guard import Constraints, guarded_load, read_quarantine
+from biblioforge.operators.json_schema import validate_json
 from biblioforge.plans.relational import table
+from biblioforge.sources import io
 from biblioforge.sources.crawl import Category, Crawl, StoredSite, register_crawl, store_site
 from biblioforge.store import fresh
 
@@ -53,7 +56,102 @@ r AS (SELECT category, page, pos, 'Page ' || page_id AS title, page_id, size, NU
   UNION ALL SELECT DISTINCT category, page, NULL, NULL, NULL, NULL, 'JSONDecodeError' FROM l WHERE {_BROKEN})
 SELECT 'https://site.example/' || category AS category, 'Segment ' || CAST(substr(category, 2) AS INTEGER) % 4 AS segment, 'Part ' || substr(category, 2) AS subsegment, page, pos, title, page_id, size, error FROM r"""
 
+def strict_scan(spark, sf_dir):
+    """Orders as JSON Lines files in the order of their keys, some lines cut short: key and number over all files of every line."""
+    o, path = table(spark, sf_dir, "orders"), fresh(spark, "strict")
+    line = F.to_json(F.struct("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice")))
+    lines = o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select(F.when(F.col("o_orderkey") % 1000 == 7, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    lines.write.text(path)
+    rows = io.numbered_lines(spark, path).withColumn("key", F.regexp_extract("value", '"o_orderkey":([0-9]+)', 1).cast("long"))
+    bad = io.malformed_lines(rows).select(F.col("key").alias("_key"), F.lit(True).alias("malformed"))
+    files = rows.groupBy("_src").agg(F.count("*").alias("n"), F.min("key").alias("low"))  # a row a file
+    files = files.select("_src", F.coalesce(F.sum("n").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return rows.join(files, "_src").join(bad, F.col("key") == F.col("_key"), "left").select("key", (F.col("line") + F.col("before")).alias("line"), F.coalesce("malformed", F.lit(False)).alias("malformed"))
+
+
+_LINE = {
+    "type": "object", "required": ["part", "qty"], "additionalProperties": False,
+    "properties": {"part": {"type": "integer"}, "qty": {"type": "number", "maximum": 45}, "flag": {"type": "string", "enum": ["A", "N"]}, "price": {"type": "object", "required": ["amount", "currency"], "properties": {"amount": {"type": "number", "exclusiveMinimum": 1000}, "currency": {"type": "string"}}}},
+}
+ORDER_SCHEMA = {
+    "type": "object", "required": ["id", "status", "lines"], "additionalProperties": False,
+    "properties": {"id": {"type": "integer", "minimum": 100}, "status": {"enum": ["F", "O"]}, "priority": {"type": "string", "pattern": "^[1-3]"}, "lines": {"type": "array", "minItems": 1, "items": _LINE}},
+}
+
+
+def schema_errors(spark, sf_dir):
+    """Orders with their lines as nested JSON against a schema: every error with its path."""
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("double").alias("qty"), F.col("l_extendedprice").cast("double").alias("amount"), "l_returnflag")
+    price = F.struct(F.col("amount"), F.when(F.col("l_partkey") % 7 > 0, "USD").alias("currency"))
+    item = F.struct(F.col("l_partkey").alias("part"), F.when(F.col("l_partkey") % 11 > 0, F.col("qty")).alias("qty"), F.col("l_returnflag").alias("flag"), price.alias("price"), F.when(F.col("l_partkey") % 13 == 0, F.lit("x")).alias("odd"))
+    lines = l.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "qty", "amount", item.alias("item")))).alias("x"))
+    o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    items = F.coalesce(F.transform("x", lambda x: x["item"]), F.expr("transform(slice(x, 1, 0), y -> y.item)"))
+    row = F.struct(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderstatus")).alias("status"), F.col("o_orderpriority").alias("priority"), F.when(F.col("x").isNull(), F.array().cast(lines.selectExpr("transform(x, y -> y.item) AS i").schema["i"].dataType)).otherwise(items).alias("lines"))
+    return validate_json(o.select(F.col("o_orderkey").alias("id"), F.to_json(row).alias("value")), ORDER_SCHEMA).select("id", "path", "keyword")
+
+
+_SCHEMA = """WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey), p AS (SELECT *, '$.lines[' || i || ']' AS place FROM l)
+SELECT o_orderkey AS id, '$.id' AS path, 'minimum' AS keyword FROM orders WHERE o_orderkey < 100
+UNION ALL SELECT o_orderkey, '$', 'required' FROM orders WHERE o_orderkey % 5 = 0
+UNION ALL SELECT o_orderkey, '$.status', 'enum' FROM orders WHERE o_orderkey % 5 > 0 AND o_orderstatus NOT IN ('F', 'O')
+UNION ALL SELECT o_orderkey, '$.priority', 'pattern' FROM orders WHERE NOT regexp_matches(o_orderpriority, '^[1-3]')
+UNION ALL SELECT o_orderkey, '$.lines', 'minItems' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT l_orderkey, place, 'required' FROM p WHERE l_partkey % 11 = 0
+UNION ALL SELECT l_orderkey, place, 'additionalProperties' FROM p WHERE l_partkey % 13 = 0
+UNION ALL SELECT l_orderkey, place || '.qty', 'maximum' FROM p WHERE l_partkey % 11 > 0 AND l_quantity > 45
+UNION ALL SELECT l_orderkey, place || '.flag', 'enum' FROM p WHERE l_returnflag NOT IN ('A', 'N')
+UNION ALL SELECT l_orderkey, place || '.price', 'required' FROM p WHERE l_partkey % 7 = 0
+UNION ALL SELECT l_orderkey, place || '.price.amount', 'exclusiveMinimum' FROM p WHERE l_extendedprice <= 1000"""
+
+
+def _load(spark, sf_dir) -> tuple[str, dict, list]:
+    """Customers, orders and lines with planted faults, loaded under constraints."""
+    k = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", (k * 2).alias("at"))
+    orders = orders.union(orders.where("o_orderkey % 29 = 6").withColumn("at", F.col("at") + 1))
+    orders = orders.withColumn("o_orderstatus", F.when(k % 17 == 3, "X").when(k % 19 == 4, None).otherwise(F.col("o_orderstatus"))).withColumn("o_custkey", F.when(k % 23 == 5, -1).otherwise(F.col("o_custkey")))
+    # The first of some repeated orders is broken, so the second one is no repetition.
+    orders = orders.withColumn("o_orderstatus", F.when((k % 58 == 6) & (F.col("at") % 2 == 0), "X").otherwise(F.col("o_orderstatus")))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("double").alias("l_quantity"))
+    lines = lines.withColumn("l_partkey", F.when(F.col("l_partkey") % 31 == 7, None).when(F.col("l_partkey") % 37 == 8, -F.col("l_partkey")).otherwise(F.col("l_partkey")))
+    customer, part = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), table(spark, sf_dir, "part").select("p_partkey")
+    tables = {
+        "customer": (customer, Constraints(required=["c_custkey"], unique={"key": ["c_custkey"]}, order="c_custkey")),
+        "part": (part, Constraints(required=["p_partkey"])),
+        "orders": (orders, Constraints(required=["o_orderstatus"], checks={"status": F.col("o_orderstatus").isin("F", "O", "P")}, foreign={"customer": (["o_custkey"], "customer", ["c_custkey"])}, unique={"key": ["o_orderkey"]}, order="at")),
+        "lineitem": (lines, Constraints(checks={"quantity": F.col("l_quantity") <= 40}, foreign={"order": (["l_orderkey"], "orders", ["o_orderkey"]), "part": (["l_partkey"], "part", ["p_partkey"])})),
+    }
+    path = fresh(spark, "guarded")
+    return path, tables, guarded_load(spark, tables, path)
+
+
+def guarded_load_counts(spark, sf_dir):
+    return spark.createDataFrame(_load(spark, sf_dir)[2], "table string, outcome string, n long")
+
+
+def quarantine_rows(spark, sf_dir):
+    path, tables, _ = _load(spark, sf_dir)
+    rows = lambda name, key, number: read_quarantine(spark, path, name, tables[name][0]).select(F.lit(name).alias("table"), F.col(key).alias("key"), F.col(number).cast("long").alias("number"), F.array_join("_broken", " ").alias("broken"))
+    return rows("orders", "o_orderkey", "at").union(rows("lineitem", "l_orderkey", "l_linenumber"))
+
+
+_GUARD = """WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 23 = 5 THEN -1 ELSE o_custkey END AS c, CASE WHEN o_orderkey % 17 = 3 THEN 'X' WHEN o_orderkey % 19 = 4 THEN NULL ELSE o_orderstatus END AS s, o_orderkey * 2 AS nr FROM orders),
+twice AS (SELECT k, c, CASE WHEN k % 58 = 6 THEN 'X' ELSE s END AS s, nr FROM o UNION ALL SELECT k, c, s, nr + 1 FROM o WHERE k % 29 = 6),
+judged AS (SELECT *, concat_ws(' ', CASE WHEN s IS NULL THEN 'required:o_orderstatus' END, CASE WHEN s NOT IN ('F', 'O', 'P') THEN 'check:status' END, CASE WHEN c NOT IN (SELECT c_custkey FROM customer) THEN 'foreign:customer' END) AS b FROM twice),
+orders_in AS (SELECT *, CASE WHEN b = '' AND nr > (SELECT min(nr) FROM judged j WHERE j.k = judged.k AND j.b = '') THEN 'unique:key' ELSE b END AS broken FROM judged),
+l AS (SELECT l_orderkey AS k, l_linenumber AS n, CASE WHEN l_partkey % 31 = 7 THEN NULL WHEN l_partkey % 37 = 8 THEN -l_partkey ELSE l_partkey END AS p, l_quantity AS q FROM lineitem),
+lines_in AS (SELECT k, n, concat_ws(' ', CASE WHEN q > 40 THEN 'check:quantity' END, CASE WHEN k NOT IN (SELECT k FROM orders_in WHERE broken = '') THEN 'foreign:order' END, CASE WHEN p IS NOT NULL AND p NOT IN (SELECT p_partkey FROM part) THEN 'foreign:part' END) AS broken FROM l),
+all_rows AS (SELECT 'customer' AS "table", c_custkey AS key, 0 AS number, '' AS broken FROM customer UNION ALL SELECT 'part', p_partkey, 0, '' FROM part UNION ALL SELECT 'orders', k, nr, broken FROM orders_in UNION ALL SELECT 'lineitem', k, n, broken FROM lines_in)"""
+_COUNTS = _GUARD + """, rules AS (SELECT * FROM (VALUES ('customer', 'required:c_custkey'), ('customer', 'unique:key'), ('part', 'required:p_partkey'), ('orders', 'required:o_orderstatus'), ('orders', 'check:status'), ('orders', 'foreign:customer'), ('orders', 'unique:key'), ('lineitem', 'check:quantity'), ('lineitem', 'foreign:order'), ('lineitem', 'foreign:part')) r("table", outcome))
+SELECT "table", 'loaded' AS outcome, count(*) FILTER (broken = '') AS n FROM all_rows GROUP BY 1 UNION ALL SELECT "table", 'rejected', count(*) FILTER (broken <> '') FROM all_rows GROUP BY 1
+UNION ALL SELECT rules."table", outcome, (SELECT count(*) FROM all_rows a WHERE a."table" = rules."table" AND list_contains(string_split(a.broken, ' '), outcome)) FROM rules"""
+
 QUERIES = {
     "crawl_batch": (crawl_batch, _CRAWL),
     "crawl_stream": (crawl_stream, _CRAWL),
+    "strict_scan": (strict_scan, "SELECT o_orderkey AS key, row_number() OVER (ORDER BY o_orderkey) AS line, o_orderkey % 1000 = 7 AS malformed FROM orders"),
+    "schema_errors": (schema_errors, _SCHEMA),
+    "guarded_load_counts": (guarded_load_counts, _COUNTS),
+    "quarantine_rows": (quarantine_rows, _GUARD + """ SELECT "table", key, CAST(number AS BIGINT) AS number, broken FROM all_rows WHERE broken <> '' """),
 }

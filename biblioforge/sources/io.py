@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from biblioforge.functions.text import json_value
+from biblioforge.store import keep
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,17 +32,30 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, glob: str | Non
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """_src, line (from 1, blank lines count), value."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_src"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    return whole.withColumn("line", F.col("line") + 1)
+    """_src, line (from 1, blank lines count), value.
+
+    A file is read in its splits. Lines are counted per split, and prefix sums of the counts (a row a split) give each
+    line its number in the file; no task holds a file.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_src"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_i"), "value")
+    splits = lines.groupBy("_src", "_start").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_src").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = keep(splits.select("_src", "_start", "_first", before.alias("_before")), "splits")
+    return lines.join(splits, ["_src", "_start"]).select("_src", (F.col("_i") - F.col("_first") + F.col("_before") + 1).alias("line"), "value")
+
+
+def malformed_lines(lines: DataFrame) -> DataFrame:
+    """Those of numbered lines that hold text but no JSON."""
+    return lines.where((F.trim("value") != "") & json_value("value").isNull())
 
 
 def read_json_lines_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records with their line numbers; the first malformed line fails the read."""
-    rows = numbered_lines(spark, path).where(F.trim("value") != "")
-    rows = rows.withColumn("_r", F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
-    rows = rows.withColumn("_ok", F.when(F.col("_r._bad").isNotNull(), F.raise_error(F.concat(F.lit("malformed line "), F.col("line")))).otherwise(F.lit(None).cast("string")))
-    return rows.where("_ok is null").select("line", "_r.*").drop("_bad")
+    """_src, line and the record of each line with text. The first malformed line (by file, then line) is an error that names it."""
+    lines = numbered_lines(spark, path)
+    bad = malformed_lines(lines).orderBy("_src", "line").limit(1).collect()
+    if bad:
+        raise ValueError(f"malformed line {bad[0].line} of {bad[0]['_src']}: {bad[0].value[:80]}")
+    return lines.where(F.trim("value") != "").select("_src", "line", F.from_json("value", schema).alias("_r")).select("_src", "line", "_r.*")
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
