@@ -96,6 +96,18 @@ def best_match(spark, sf_dir):
     return _pairs(matching.find_matches(f.where("id % 4 > 0"), f.where("id % 4 = 0"), similarity=lev, author_ratio=lev))
 
 
+def kept_index_best(spark, sf_dir):
+    """best_match() from an index on disk that got the first books in two batches and was compacted after."""
+    from biblioforge.operators.kept_index import KeptIndex
+
+    f = keep(forms(spark, sf_dir), "forms")
+    index = KeptIndex(spark, fresh(spark, "kept-index"), 16)
+    index.add(f.where("id % 8 = 0"))
+    index.add(f.where("id % 8 = 4"))
+    index.compact()
+    return _pairs(index.find(f.where("id % 4 > 0"), similarity=lev, author_ratio=lev))
+
+
 def greedy_merge(spark, sf_dir):
     """All books in the order of a hash of their ids, with the sequence ratio."""
     f = keep(forms(spark, sf_dir), "forms")
@@ -205,6 +217,15 @@ t AS (SELECT x.id AS a, y.id AS b, 1 AS tier, 'isbn_exact' AS kind, 1.0 AS c FRO
   UNION ALL SELECT a, b, 5, kind, c FROM s WHERE c >= 0.7),
 best AS (SELECT a, b, kind, c FROM t WHERE a <> b QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY c DESC, tier) = 1) SELECT {_OUT} FROM best"""
 
+_BEST = f"""WITH {_F}, {_candidates(0.3)}, {_scored("cand JOIN f x ON x.id = cand.q AND x.v > 0 JOIN f y ON y.id = cand.r AND y.v = 0", "")},
+fresh AS (SELECT * FROM f WHERE v > 0), k AS (SELECT * FROM f WHERE v = 0),
+t AS (SELECT x.id AS a, y.id AS b, 1 AS tier, 'isbn_exact' AS kind, 1.0 AS c FROM fresh x JOIN k y ON x.code = y.code
+  UNION ALL SELECT x.id, y.id, 2, 'isbn_prefix', 0.98 FROM fresh x JOIN k y ON substr(x.code, 1, 12) = substr(y.code, 1, 12)
+  UNION ALL SELECT x.id, y.id, 3, 'title_normalized', 0.95 FROM fresh x JOIN k y ON x.norm = y.norm
+  UNION ALL SELECT x.id, y.id, 4, 'title_aggressive', 0.90 FROM fresh x JOIN k y ON x.agg = y.agg
+  UNION ALL SELECT a, b, 5, kind, c FROM s WHERE c >= 0.8),
+best AS (SELECT a, b, kind, c FROM t QUALIFY row_number() OVER (PARTITION BY a ORDER BY tier, c DESC, b) = 1) SELECT {_OUT} FROM best"""
+
 # Arrival as a recursion: one record a step, matched with the leaders so far. The sequence ratio is 2 * M / T, where M sums
 # longest common blocks (the first in a, then in b), taken again to the left and to the right of each.
 _GREEDY = f"""WITH RECURSIVE {_F}, o AS (SELECT *, substr(code, 1, 12) AS prefix, CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 12) AS BIGINT) AS ord FROM (SELECT id, norm, agg, coalesce(who, '') AS who, coalesce(replace(code, '-', ''), '') AS code FROM f)),
@@ -234,7 +255,8 @@ QUERIES = {
     "match_pairs": (match_pairs, f"WITH {_F}, {_scored('f x JOIN f y ON x.g = y.g AND x.v = 0 AND y.v > 0', '')} SELECT {_OUT} FROM s"),
     "ngram_candidates": (ngram_candidates, f"WITH {_F}, {_candidates(0.3)} SELECT q, r, shared FROM cand WHERE q <> r"),
     "all_matches": (all_matches, _ALL),
-    "best_match": (best_match, "SELECT p_partkey AS a, p_partkey - p_partkey % 4 AS b, CASE WHEN p_partkey % 4 = 3 THEN 'isbn_exact' WHEN p_partkey % 4 = 1 THEN 'title_normalized' WHEN (p_partkey - 2) % 8 = 0 THEN 'isbn_prefix' ELSE 'fuzzy_medium' END AS match_type, CAST(CASE WHEN p_partkey % 4 = 3 THEN 1.0 WHEN p_partkey % 4 = 1 THEN 0.95 WHEN (p_partkey - 2) % 8 = 0 THEN 0.98 ELSE 0.87 END AS DOUBLE) AS confidence FROM part WHERE p_partkey % 4 > 0"),
+    "best_match": (best_match, _BEST),
+    "kept_index_best": (kept_index_best, _BEST),
     "greedy_merge": (greedy_merge, _GREEDY),
     "index_add": (index_add, f"WITH {_F} SELECT 'isbn' AS name, count(DISTINCT code) AS entries FROM f UNION ALL SELECT 'isbn_prefix', count(DISTINCT substr(code, 1, 12)) FROM f UNION ALL SELECT 'norm', count(DISTINCT norm) FROM f UNION ALL SELECT 'agg', count(DISTINCT agg) FROM f UNION ALL SELECT 'gram', (SELECT count(DISTINCT g) FROM (SELECT unnest(list_transform(range(1, length(agg) - 1), lambda i: agg[i:i+2])) AS g FROM f))"),
     "dup_checker_fuzzy": (dup_checker_fuzzy, "SELECT p_partkey AS id, CASE WHEN p_partkey % 8 = 5 THEN 'asin' WHEN p_partkey % 4 = 3 THEN 'isbn' WHEN p_partkey % 16 = 6 THEN NULL ELSE 'fuzzy' END AS kind, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 OR p_partkey % 16 = 6 THEN NULL ELSE p_partkey - p_partkey % 4 END AS known_id, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 OR p_partkey % 16 = 6 THEN NULL WHEN p_partkey % 4 = 1 THEN 'title_normalized' WHEN (p_partkey - 2) % 8 = 0 THEN 'isbn_prefix' ELSE 'fuzzy_medium' END AS match_type FROM part WHERE p_partkey % 4 > 0"),

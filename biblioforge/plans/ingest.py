@@ -10,6 +10,7 @@ from biblioforge.operators.json_schema import validate_json
 from biblioforge.plans.relational import table
 from biblioforge.sources import io
 from biblioforge.sources.crawl import Category, Crawl, StoredSite, register_crawl, store_site
+from biblioforge.sources.versions import Snapshots
 from biblioforge.store import fresh
 
 CATEGORIES = 12
@@ -126,6 +127,16 @@ def _load(spark, sf_dir) -> tuple[str, dict, list]:
     return path, tables, guarded_load(spark, tables, path)
 
 
+def state_snapshots(spark, sf_dir):
+    """A state of order statuses in four snapshots, each made from the one before, then the second one restored."""
+    s = Snapshots(spark, fresh(spark, "state"), "o_orderkey long, status string, saves int", keep=3)
+    s.save(table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_orderstatus").alias("status"), F.lit(1).alias("saves")))
+    for n in (2, 3, 4):
+        s.save(s.load().withColumn("status", F.when(F.col("o_orderkey") % 4 == n % 4, F.lit(f"v{n}")).otherwise(F.col("status"))).withColumn("saves", F.col("saves") + 1))
+    s.restore(2)
+    return s.load().groupBy("status", "saves").agg(F.count("*").alias("n"))
+
+
 def guarded_load_counts(spark, sf_dir):
     return spark.createDataFrame(_load(spark, sf_dir)[2], "table string, outcome string, n long")
 
@@ -151,6 +162,7 @@ QUERIES = {
     "crawl_batch": (crawl_batch, _CRAWL),
     "crawl_stream": (crawl_stream, _CRAWL),
     "strict_scan": (strict_scan, "SELECT o_orderkey AS key, row_number() OVER (ORDER BY o_orderkey) AS line, o_orderkey % 1000 = 7 AS malformed FROM orders"),
+    "state_snapshots": (state_snapshots, "SELECT CASE WHEN o_orderkey % 4 = 2 THEN 'v2' ELSE o_orderstatus END AS status, 2 AS saves, count(*) AS n FROM orders GROUP BY 1"),
     "schema_errors": (schema_errors, _SCHEMA),
     "guarded_load_counts": (guarded_load_counts, _COUNTS),
     "quarantine_rows": (quarantine_rows, _GUARD + """ SELECT "table", key, CAST(number AS BIGINT) AS number, broken FROM all_rows WHERE broken <> '' """),
