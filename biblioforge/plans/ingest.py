@@ -12,6 +12,8 @@ from biblioforge.sources import io
 from biblioforge.sources.crawl import Category, Crawl, StoredSite, register_crawl, store_site
 from biblioforge.sources.versions import Snapshots
 from biblioforge.store import fresh
+from biblioforge.streaming.incremental import windowed_counts
+from biblioforge.streaming.keyword_states import keyword_states, replay
 
 CATEGORIES = 12
 _BROKEN = "(page * 5 + length(category)) % 7 = 3"
@@ -158,7 +160,49 @@ _COUNTS = _GUARD + """, rules AS (SELECT * FROM (VALUES ('customer', 'required:c
 SELECT "table", 'loaded' AS outcome, count(*) FILTER (broken = '') AS n FROM all_rows GROUP BY 1 UNION ALL SELECT "table", 'rejected', count(*) FILTER (broken <> '') FROM all_rows GROUP BY 1
 UNION ALL SELECT rules."table", outcome, (SELECT count(*) FROM all_rows a WHERE a."table" = rules."table" AND list_contains(string_split(a.broken, ' '), outcome)) FROM rules"""
 
+def _chunks(spark, sf_dir) -> list[DataFrame]:
+    """The events in five deliveries by time; from the second on, with repeated rows of the last hours and with made-up rows that come far too late, and at the end one that closes all times."""
+    utc = F.expr("make_timestamp_ltz(year(ts), month(ts), day(ts), hour(ts), minute(ts), extract(SECOND FROM ts), 'UTC')")  # whatever the session's zone
+    e = table(spark, sf_dir, "events").select("event_id", utc.alias("ts"), (F.col("user_id") * 1000 + F.dayofyear("ts")).alias("keyword_id"), "event_type", "value").where("ts is not null and event_id is not null")
+    low, high = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    at, step = F.unix_micros("ts"), (high - low) // 5 + 1
+    number = F.floor((at - low) / step)
+    out = []
+    for k in range(5):
+        rows = e.where(number == k)
+        if k:
+            begin = low + k * step
+            rows = rows.union(e.where((at < begin) & (at >= begin - 7_200_000_000) & (F.col("event_id") % 2 == 0)))
+            late = e.where((number == 0) & (F.col("event_id") % 3 == k % 3)) if k > 1 else e.where("false")
+            rows = rows.union(late.select((-1 - F.col("event_id")).alias("event_id"), "ts", "keyword_id", F.lit("purchase").alias("event_type"), "value"))
+        out.append(rows)
+    end = spark.range(1).select(F.lit(-10**15).cast("long").alias("event_id"), F.timestamp_micros(F.lit(high + 30 * 86_400_000_000)).alias("ts"), F.lit(-1).cast("long").alias("keyword_id"), F.lit("error").alias("event_type"), F.lit(None).cast("double").alias("value"))
+    return [*out, end]
+
+
+def keyword_state_stream(spark, sf_dir):
+    """Purchases and errors as results of one keyword per user and day."""
+    results = [c.where("event_type in ('purchase', 'error')").select("event_id", "keyword_id", "ts", (F.col("event_type") == "purchase").alias("ok"), F.col("value").alias("added")) for c in _chunks(spark, sf_dir)]
+    out = replay(results, lambda s: keyword_states(s, "2 hours", 720))
+    return out.select("keyword_id", F.unix_micros("at").alias("at"), "status", "attempts", F.round("added", 6).alias("added"))
+
+
+def windowed_stream(spark, sf_dir):
+    """Counts of six hours and type from the same deliveries, as windows close."""
+    out = replay(_chunks(spark, sf_dir), lambda s: windowed_counts(s.withWatermark("ts", "2 hours").dropDuplicatesWithinWatermark(["event_id"]), "6 hours"))
+    return out.select(F.unix_micros("window_start").alias("window_start"), "event_type", "n")
+
+
+_STATES = """WITH e AS (SELECT user_id * 1000 + dayofyear(ts) AS k, epoch_us(ts) AS t, event_id, event_type = 'purchase' AS ok, value FROM events WHERE event_type IN ('purchase', 'error')),
+o AS (SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER w, 0) AS done, coalesce(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER w, 0) AS failed, lead(t) OVER (PARTITION BY k ORDER BY t, event_id) AS nxt FROM e WINDOW w AS (PARTITION BY k ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+a AS (SELECT *, CAST(failed + CASE WHEN ok THEN 0 ELSE 1 END AS INTEGER) AS attempts FROM o WHERE done = 0 AND failed < 3),
+d AS (SELECT *, t + CAST(least(30, 5 * pow(2, attempts - 1)) * 720 * 1000000 AS BIGINT) AS due FROM a WHERE NOT ok AND attempts < 3)
+SELECT k AS keyword_id, t AS at, CASE WHEN ok THEN 'completed' ELSE 'failed' END AS status, attempts, CASE WHEN ok THEN round(value, 6) END AS added FROM a
+UNION ALL SELECT k, due, 'pending', attempts, NULL FROM d WHERE nxt IS NULL OR nxt >= due"""
+
 QUERIES = {
+    "keyword_state_stream": (keyword_state_stream, _STATES),
+    "windowed_stream": (windowed_stream, "SELECT (epoch_us(ts) // 21600000000) * 21600000000 AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL"),
     "crawl_batch": (crawl_batch, _CRAWL),
     "crawl_stream": (crawl_stream, _CRAWL),
     "strict_scan": (strict_scan, "SELECT o_orderkey AS key, row_number() OVER (ORDER BY o_orderkey) AS line, o_orderkey % 1000 = 7 AS malformed FROM orders"),
