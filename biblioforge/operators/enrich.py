@@ -73,19 +73,6 @@ def fill_missing(rows: DataFrame, fields: list[str], source: str, absent: dict[s
     return out
 
 
-def fill_latest_format(works: DataFrame, found: Column, source: str) -> DataFrame:
-    """Fills isbn and price of the first format, pages and description (2000 characters at most) of the latest edition of nested works."""
-    best = F.coalesce(F.array_position(F.transform("editions", lambda e: F.coalesce(e["is_latest"], F.lit(False))), True), F.lit(0))
-    at = F.greatest(best, F.lit(1)) - 1
-
-    def edition(e, i):
-        fmt = F.transform(e["formats"], lambda f, j: F.when(j == 0, f.withField("isbn", F.coalesce(F.nullif(f["isbn"], F.lit("")), found["isbn"])).withField("price", F.coalesce(f["price"], F.when(found["price"].isNotNull(), F.struct(found["price"].alias("amount"), F.lit("JPY").alias("currency"), F.lit(None).cast("string").alias("price_type")))))).otherwise(f))
-        new = e.withField("pages", F.coalesce(e["pages"], found["pages"])).withField("description", F.coalesce(F.nullif(e["description"], F.lit("")), F.left(found["description"], F.lit(2000)))).withField("formats", fmt)
-        return F.when(i == at, new).otherwise(e)
-
-    return works.withColumn("_source", F.lit(source)).withColumn("editions", F.transform("editions", edition)).drop("_source")
-
-
 def promoted_status(found: Column, has_isbn: Column, has_price: Column, has_valid_url: Column, status: Column) -> Column:
     return F.when(found & has_isbn & has_price & has_valid_url, "verified").otherwise(status)
 
@@ -108,6 +95,3 @@ def enrich(records: DataFrame, catalogue: DataFrame, volumes: DataFrame, fields:
     two = fill_missing(two, fields, "volumes")
     return two.withColumn("changes", F.concat("_first", "changes")).drop("_first", *[f"found_{f}" for f in fields])
 
-
-def asin_or_isbn_url(df: DataFrame) -> DataFrame:
-    return df.withColumn("url", F.coalesce(F.nullif("url", F.lit("")), T.store_url("isbn", "asin", "title", "language")))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from biblioforge.operators.guard import Constraints, guarded_load, read_quarantine
 from biblioforge.operators.json_schema import validate_json
+from biblioforge.operators.model_client import ModelClient, Reply, ReplyTable, classify_records
 from biblioforge.plans.relational import table
 from biblioforge.sources import io
 from biblioforge.sources.crawl import Category, Crawl, StoredSite, register_crawl, store_site
@@ -200,7 +203,59 @@ d AS (SELECT *, t + CAST(least(30, 5 * pow(2, attempts - 1)) * 720 * 1000000 AS
 SELECT k AS keyword_id, t AS at, CASE WHEN ok THEN 'completed' ELSE 'failed' END AS status, attempts, CASE WHEN ok THEN round(value, 6) END AS added FROM a
 UNION ALL SELECT k, due, 'pending', attempts, NULL FROM d WHERE nxt IS NULL OR nxt >= due"""
 
+_CELLS = [("Common", "Part"), ("Common", "Tool"), ("Nouns", "Colour"), ("Nouns", "Size")]
+
+
+def _stub(broken: bool):
+    """A provider without a network: the verdict follows from the title's length; some titles fail, give no JSON or a made-up cell."""
+
+    def make():
+        class Stub(ModelClient):
+            provider = "stub"
+
+            def call(self, question: str) -> Reply:
+                title = question.split("Title: ")[1].split("\n")[0]
+                kind = len(title) % 7 if broken else 6
+                if kind == 0:
+                    raise ConnectionError("no answer")
+                segment, subsegment = ("Odd", "Cell") if kind == 1 else _CELLS[len(title) % 4]
+                reply = json.dumps({"segment": segment, "subsegment": subsegment, "confidence": len(title) / 20, "reasoning": title})
+                return Reply("I can't tell." if kind == 2 else f"Here:\n```json\n{reply}\n```", len(question), len(reply))
+
+        return Stub()
+
+    return make
+
+
+def _parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_type").alias("description"))
+    return docs, spark.createDataFrame(_CELLS, "segment string, subsegment string")
+
+
+def model_classify_batch(spark, sf_dir):
+    """All parts by a model's replies; equal questions are asked once."""
+    docs, cells = _parts(spark, sf_dir)
+    out, _ = classify_records(docs, _stub(True), cells, ReplyTable(spark, fresh(spark, "replies")))
+    return out.select("id", "segment", "subsegment", "confidence", "error", "error_kind", "is_valid")
+
+
+def model_usage(spark, sf_dir):
+    """Calls and tokens of three runs on one reply table: half of the parts, all parts, all parts again."""
+    docs, cells = _parts(spark, sf_dir)
+    replies, rows = ReplyTable(spark, fresh(spark, "replies")), []
+    for run, some in ((1, docs.where("id % 2 = 0 and length(title) > 8")), (2, docs), (3, docs)):
+        usage = classify_records(some, _stub(False), cells, replies)[1]
+        rows.append((run, usage["calls"], usage["failed"], usage["output_tokens"]))
+    return spark.createDataFrame(rows, "run int, calls long, failed long, output_tokens long")
+
+
+_STUB = """WITH d AS (SELECT p_partkey AS id, p_name AS title, p_type AS description, length(p_name) % 7 AS kind, (['Common', 'Common', 'Nouns', 'Nouns'])[length(p_name) % 4 + 1] AS s, (['Part', 'Tool', 'Colour', 'Size'])[length(p_name) % 4 + 1] AS u FROM part)"""
+
 QUERIES = {
+    "model_classify_batch": (model_classify_batch, _STUB + """ SELECT id, CASE WHEN kind = 1 THEN 'Odd' WHEN kind NOT IN (0, 2) THEN s END AS segment, CASE WHEN kind = 1 THEN 'Cell' WHEN kind NOT IN (0, 2) THEN u END AS subsegment, CASE WHEN kind NOT IN (0, 2) THEN CAST(length(title) AS DOUBLE) / 20 END AS confidence,
+  CASE kind WHEN 0 THEN 'ConnectionError: no answer' WHEN 1 THEN 'no such cell: Odd / Cell' WHEN 2 THEN 'no verdict' END AS error, CASE kind WHEN 0 THEN 'call' WHEN 1 THEN 'cell' WHEN 2 THEN 'reply' END AS error_kind, kind > 2 AS is_valid FROM d"""),
+    "model_usage": (model_usage, _STUB + """, q AS (SELECT title, description, any_value(length('{"segment": "' || s || '", "subsegment": "' || u || '", "confidence": , "reasoning": "' || title || '"}') + length(CAST(CAST(length(title) AS DOUBLE) / 20 AS VARCHAR))) AS n, bool_or(id % 2 = 0 AND length(title) > 8) AS early FROM d GROUP BY 1, 2)
+SELECT 1 AS run, count(*) FILTER (early) AS calls, 0 AS failed, coalesce(sum(n) FILTER (early), 0) AS output_tokens FROM q UNION ALL SELECT 2, count(*) FILTER (NOT early), 0, coalesce(sum(n) FILTER (NOT early), 0) FROM q UNION ALL SELECT 3, 0, 0, 0"""),
     "keyword_state_stream": (keyword_state_stream, _STATES),
     "windowed_stream": (windowed_stream, "SELECT (epoch_us(ts) // 21600000000) * 21600000000 AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL"),
     "crawl_batch": (crawl_batch, _CRAWL),
