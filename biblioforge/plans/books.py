@@ -159,6 +159,31 @@ _BOOK = f"""{_H}, b AS (SELECT id, g, v, CASE v WHEN 0 THEN {_SPACED.format('h')
 w AS (SELECT id, {_SLUG} || '_' || substr(md5(lower(title) || CASE WHEN author IS NULL THEN '' ELSE '_' || lower(replace(author, '.', '')) END), 1, 12) AS work_id, title, author, p_type, isbn, v, CAST(CASE WHEN id % 5 > 0 THEN 2000 + id % 20 ELSE 2020 END AS INTEGER) AS year FROM b JOIN part ON p_partkey = id)"""
 
 
+def enrich_chain(spark, sf_dir):
+    """All works, half of them Japanese, through a catalogue by ISBN and volumes by ISBN or title; some entries are of other books."""
+    from biblioforge.operators.chain import ENTRY, Source, enrich_works
+
+    o = F.col("_ord")
+    works = nested_works(spark, sf_dir).withColumn("language", F.when(o % 2 == 0, "ja").otherwise("en")).withColumn("publisher", F.when(o % 3 == 0, "Unknown").otherwise(F.col("publisher")))
+    works = keep(works, "works")
+    none = F.lit(None)
+    isbn = F.col("editions")[0]["formats"][0]["isbn"]
+    price = lambda test, currency: F.when(test, F.struct((o + 100).cast("double").alias("amount"), F.lit(currency).alias("currency"), none.cast("string").alias("price_type")))
+    one = works.where(isbn.isNotNull() & (o % 5 < 3)).select(
+        isbn.alias("isbn"), none.cast("string").alias("title"), o.alias("ord"),
+        F.struct(isbn.alias("isbn"), price(o % 2 == 0, "JPY").alias("price"), none.cast("int").alias("pages"), F.when(o % 4 < 2, F.concat(F.lit("about "), o)).alias("description"), F.concat(F.lit("C"), o % 7).alias("publisher"), F.when(o % 7 == 0, "quite other words").otherwise(F.col("title")).alias("title"), none.cast("array<string>").alias("authors")).cast(ENTRY).alias("entry"),
+    )
+    new = F.concat(F.lit("979"), F.lpad(o.cast("string"), 10, "0"))
+    two = works.where((o % 5 >= 2) | isbn.isNull()).select(
+        isbn.alias("isbn"), F.when(o % 13 > 0, F.col("title")).alias("title"), o.alias("ord"),
+        F.struct(F.coalesce(isbn, new).alias("isbn"), price(o % 3 > 0, "USD").alias("price"), none.cast("int").alias("pages"), F.when(o % 4 > 0, F.concat(F.lit("volume "), o)).alias("description"), F.lit("V").alias("publisher"), F.col("title").alias("title"), F.when(o % 11 == 0, F.array(F.lit("nobody"))).otherwise(F.col("authors")).alias("authors")).cast(ENTRY).alias("entry"),
+    )
+    out = enrich_works(works, [Source("catalogue", one, languages=["ja"]), Source("volumes", two, by_title=True)], "2024-02-02")
+    f = F.col("editions")[0]["formats"][0]
+    reviews = F.array_join(F.transform("reviews", lambda r: F.concat(r["source"], F.lit(":"), F.array_join(r["reasons"], "+"))), " ")
+    return out.select(o.alias("id"), F.array_join("changes", " ").alias("changes"), reviews.alias("reviews"), f["isbn"].alias("isbn"), f["price"]["amount"].alias("price"), F.col("editions")[0]["description"].alias("description"), "publisher", F.array_join("flags", " ").alias("flags"))
+
+
 def upsert_load(spark, sf_dir):
     """The relational load of all works, then of a delivery that replaces every third work by one without formats; row counts of the tables, read back."""
     from biblioforge.sources.io import write_tables
@@ -226,6 +251,23 @@ t AS (SELECT x.id AS a, y.id AS b, 1 AS tier, 'isbn_exact' AS kind, 1.0 AS c FRO
   UNION ALL SELECT a, b, 5, kind, c FROM s WHERE c >= 0.8),
 best AS (SELECT a, b, kind, c FROM t QUALIFY row_number() OVER (PARTITION BY a ORDER BY tier, c DESC, b) = 1) SELECT {_OUT} FROM best"""
 
+_FAR = "(CAST(len(list_intersect(string_split(lower({a}), ' '), string_split(lower({b}), ' '))) AS DOUBLE) / greatest(len(list_distinct(string_split(lower({a}), ' '))), len(list_distinct(string_split(lower({b}), ' ')))) < 0.5)"
+_CHAIN = f"""WITH {_BOOK}, x AS (SELECT b.id, b.title, b.author, replace(b.isbn, '-', '') AS isbn, b.id % 2 = 0 AS ja, CASE WHEN b.id % 3 = 0 THEN 'Unknown' ELSE p_brand END AS publisher FROM b JOIN part ON p_partkey = b.id),
+one AS (SELECT isbn, arg_min({{'price': CASE WHEN id % 2 = 0 THEN CAST(id + 100 AS DOUBLE) END, 'about': CASE WHEN id % 4 < 2 THEN 'about ' || id END, 'publisher': 'C' || id % 7, 'title': CASE WHEN id % 7 = 0 THEN 'quite other words' ELSE title END}}, id) AS e FROM x WHERE isbn IS NOT NULL AND id % 5 < 3 GROUP BY 1),
+vols AS (SELECT id, isbn, CASE WHEN id % 13 > 0 THEN title END AS title, {{'isbn': coalesce(isbn, '979' || lpad(CAST(id AS VARCHAR), 10, '0')), 'price': CASE WHEN id % 3 > 0 THEN CAST(id + 100 AS DOUBLE) END, 'about': CASE WHEN id % 4 > 0 THEN 'volume ' || id END, 'title': title, 'author': CASE WHEN id % 11 = 0 THEN 'nobody' ELSE author END}} AS e FROM x WHERE id % 5 >= 2 OR isbn IS NULL),
+by_isbn AS (SELECT isbn, arg_min(e, id) AS e FROM vols WHERE isbn IS NOT NULL GROUP BY 1), by_title AS (SELECT title, arg_min(e, id) AS e FROM vols WHERE title IS NOT NULL GROUP BY 1),
+a AS (SELECT x.*, CASE WHEN ja THEN one.e END AS e FROM x LEFT JOIN one ON one.isbn = x.isbn),
+a1 AS (SELECT *, e IS NOT NULL AND {_FAR.format(a="title", b="e.title")} AS odd, e IS NOT NULL AND NOT {_FAR.format(a="title", b="e.title")} AS fine FROM a),
+a2 AS (SELECT id, title, author, isbn, odd, CASE WHEN fine THEN e.price END AS price, CASE WHEN fine THEN e.about END AS about, CASE WHEN fine AND publisher = 'Unknown' THEN e.publisher ELSE publisher END AS publisher,
+  concat_ws(' ', CASE WHEN fine AND e.price IS NOT NULL THEN 'price:catalogue' END, CASE WHEN fine AND e.about IS NOT NULL THEN 'description:catalogue' END, CASE WHEN fine AND publisher = 'Unknown' THEN 'publisher:catalogue' END) AS changes FROM a1),
+v1 AS (SELECT a2.*, CASE WHEN a2.isbn IS NOT NULL THEN i.e ELSE t.e END AS e FROM a2 LEFT JOIN by_isbn i ON i.isbn = a2.isbn LEFT JOIN by_title t ON t.title = a2.title),
+v2 AS (SELECT *, e IS NOT NULL AND coalesce({_FAR.format(a="title", b="e.title")}, false) AS far, coalesce(lower(e.author) <> lower(author), false) AS who FROM v1),
+v3 AS (SELECT *, e IS NOT NULL AND NOT far AND NOT who AS fine FROM v2),
+r AS (SELECT id, concat_ws(' ', nullif(changes, ''), CASE WHEN fine AND isbn IS NULL THEN 'isbn:volumes' END, CASE WHEN fine AND price IS NULL AND e.price IS NOT NULL THEN 'price:volumes' END, CASE WHEN fine AND about IS NULL AND e.about IS NOT NULL THEN 'description:volumes' END, CASE WHEN fine AND publisher = 'Unknown' THEN 'publisher:volumes' END) AS changes,
+  concat_ws(' ', CASE WHEN odd THEN 'catalogue:TITLE_MISMATCH' END, CASE WHEN far OR who THEN 'volumes:' || concat_ws('+', CASE WHEN far THEN 'TITLE_MISMATCH' END, CASE WHEN who THEN 'AUTHOR_MISMATCH' END) END) AS reviews,
+  CASE WHEN fine THEN coalesce(isbn, e.isbn) ELSE isbn END AS isbn, CASE WHEN fine THEN coalesce(price, e.price) ELSE price END AS price, CASE WHEN fine THEN coalesce(about, e.about) ELSE about END AS description, CASE WHEN fine AND publisher = 'Unknown' THEN 'V' ELSE publisher END AS publisher FROM v3)
+SELECT *, concat_ws(' ', CASE WHEN isbn IS NULL THEN 'NO_ISBN_FOUND' END, 'URL_VALIDATION_FAILED', CASE WHEN CAST(isbn IS NULL AS INTEGER) + CAST(price IS NULL AS INTEGER) + CAST(description IS NULL AS INTEGER) + 1 >= 3 THEN 'MISSING_CRITICAL_DATA' END) AS flags FROM r"""
+
 # Arrival as a recursion: one record a step, matched with the leaders so far. The sequence ratio is 2 * M / T, where M sums
 # longest common blocks (the first in a, then in b), taken again to the left and to the right of each.
 _GREEDY = f"""WITH RECURSIVE {_F}, o AS (SELECT *, substr(code, 1, 12) AS prefix, CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 12) AS BIGINT) AS ord FROM (SELECT id, norm, agg, coalesce(who, '') AS who, coalesce(replace(code, '-', ''), '') AS code FROM f)),
@@ -261,6 +303,7 @@ QUERIES = {
     "index_add": (index_add, f"WITH {_F} SELECT 'isbn' AS name, count(DISTINCT code) AS entries FROM f UNION ALL SELECT 'isbn_prefix', count(DISTINCT substr(code, 1, 12)) FROM f UNION ALL SELECT 'norm', count(DISTINCT norm) FROM f UNION ALL SELECT 'agg', count(DISTINCT agg) FROM f UNION ALL SELECT 'gram', (SELECT count(DISTINCT g) FROM (SELECT unnest(list_transform(range(1, length(agg) - 1), lambda i: agg[i:i+2])) AS g FROM f))"),
     "dup_checker_fuzzy": (dup_checker_fuzzy, "SELECT p_partkey AS id, CASE WHEN p_partkey % 8 = 5 THEN 'asin' WHEN p_partkey % 4 = 3 THEN 'isbn' WHEN p_partkey % 16 = 6 THEN NULL ELSE 'fuzzy' END AS kind, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 OR p_partkey % 16 = 6 THEN NULL ELSE p_partkey - p_partkey % 4 END AS known_id, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 OR p_partkey % 16 = 6 THEN NULL WHEN p_partkey % 4 = 1 THEN 'title_normalized' WHEN (p_partkey - 2) % 8 = 0 THEN 'isbn_prefix' ELSE 'fuzzy_medium' END AS match_type FROM part WHERE p_partkey % 4 > 0"),
     "nest_v2": (nest_v2, f"WITH {_BOOK} SELECT work_id, title, author AS authors, p_type AS segment, 'General' AS subsegment, CASE WHEN v = 1 THEN 2 ELSE 1 END AS number, year, isbn, 'http://x/' || id AS url, 'part' AS sources FROM w"),
+    "enrich_chain": (enrich_chain, _CHAIN),
     "upsert_load": (upsert_load, f"WITH {_BOOK} SELECT 'works' AS name, count(*) AS n FROM w UNION ALL SELECT 'authors', count(author) FROM w UNION ALL SELECT 'topics', count(*) FROM w UNION ALL SELECT 'data_sources', count(*) FROM w UNION ALL SELECT 'editions', count(*) FROM w UNION ALL SELECT 'formats', count(*) FILTER (id % 3 <> 0) FROM w"),
     "html_extract_title_links": (html_extract_title_links, "SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, CAST(len(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1)) AS INTEGER) AS n_links, coalesce(array_to_string(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1), ' '), '') AS links FROM pages"),
     "kw_ambiguous": (kw_ambiguous, f"WITH {CLASSES} SELECT segment, count(*) AS n FROM best WHERE is_ambiguous GROUP BY 1"),
