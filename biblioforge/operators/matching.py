@@ -209,7 +209,8 @@ def title_similarities(titles: DataFrame, least: float, overlap: float = 0.3, si
 def greedy_merge(forms: DataFrame, threshold: float = MEDIUM, overlap: float = 0.3, similarity=T.sequence_ratio, author_ratio=None) -> DataFrame:
     """id, leader: what arrival in `ord` merges. Each record joins its best match among the leaders before it, or leads.
 
-    forms: id, ord (both without repeats) and the match forms. The best match is that of the first tier which has one:
+    forms: id, ord (both without repeats), the match forms, and settled where some records lead already (a master's, which
+    come first in ord and stay as they are). The best match is that of the first tier which has one:
     ISBN, ISBN prefix, normal title, aggressive title, then the fuzzy one of the highest confidence, the earliest in a
     tie. Leaders only are matched, so who leads depends on all records before. It is decided in rounds: a record leads
     once no undecided record before it could be a match and no leader is; it is a member once one is.
@@ -219,17 +220,18 @@ def greedy_merge(forms: DataFrame, threshold: float = MEDIUM, overlap: float = 0
     key's records are made; fuzzy candidates are pairs of different titles. Rounds are as many as the longest chain of
     records that wait for each other.
     """
-    forms = keep(forms.select("id", "ord", *[F.coalesce(c, F.lit("")).alias(c) for c in ("norm", "agg", "who", "code")]), "forms")
+    settled = F.coalesce("settled", F.lit(False)) if "settled" in forms.columns else F.lit(False)
+    forms = keep(forms.select("id", "ord", settled.alias("settled"), *[F.coalesce(c, F.lit("")).alias(c) for c in ("norm", "agg", "who", "code")]), "forms")
     titles = forms.groupBy("norm", "agg").agg(F.min("id").alias("t"))
-    classes = forms.groupBy("norm", "agg", "who", "code").agg(F.min("ord").alias("ord"))
-    classes = classes.join(titles, ["norm", "agg"]).join(forms.select("ord", "id"), "ord").select("id", "ord", "t", "norm", "agg", "who", "code")
+    classes = forms.groupBy("norm", "agg", "who", "code").agg(F.min("ord").alias("ord"), F.max("settled").alias("settled"))
+    classes = classes.join(titles, ["norm", "agg"]).join(forms.select("ord", "id"), "ord").select("id", "ord", "settled", "t", "norm", "agg", "who", "code")
     classes = keep(classes, "classes")
     near = title_similarities(keep(titles.where("agg <> ''"), "titles"), threshold - 0.1 - 1e-9, overlap, similarity)
     fuzzy = keep(classes.join(near, "t").select("id", "ord", "who", F.col("u").cast("string").alias("key"), "sim"), "fuzzy")
     exact = keep(_keys(classes, "id", "ord"), "keys")
     # Of each key the first leader and the first undecided class; titles are keys of tier 5.
     all_keys = keep(exact.select("id", "ord", "tier", "key").union(classes.where("agg <> ''").select("id", "ord", F.lit(5), F.col("t").cast("string"))), "all-keys")
-    state = keep(classes.select("id", "ord", "who", F.lit(None).cast("boolean").alias("leads")), "state")
+    state = keep(classes.select("id", "ord", "who", F.when(F.col("settled"), True).alias("leads")), "state")
 
     def by_key(state: DataFrame) -> DataFrame:
         held = all_keys.join(state.select("id", "who", "leads").where("leads is null or leads"), "id")
@@ -242,7 +244,7 @@ def greedy_merge(forms: DataFrame, threshold: float = MEDIUM, overlap: float = 0
         who = same_author(F.col("who"), F.col("lead.who"), ratio)
         return F.least(F.lit(1.0), sim + F.when(who, 0.1).otherwise(0.0))
 
-    while True:
+    while state.where("leads is null").limit(1).count():
         now = keep(by_key(state), "first")
         undecided = state.where("leads is null").select("id")
         mine = exact.join(undecided, "id", "left_semi").join(now, ["tier", "key"]).select("id", (F.col("lead.ord") < F.col("ord")).alias("led"), (F.col("open") < F.col("ord")).alias("waits"))
@@ -252,8 +254,6 @@ def greedy_merge(forms: DataFrame, threshold: float = MEDIUM, overlap: float = 0
         told = mine.union(ours).groupBy("id").agg(F.max(F.coalesce("led", F.lit(False))).alias("led"), F.max(F.coalesce("waits", F.lit(False))).alias("waits"))
         verdict = F.when(F.col("leads").isNotNull(), F.col("leads")).when(F.col("led"), False).when(F.coalesce("waits", F.lit(False)), None).otherwise(True)
         state = keep(state.join(told, "id", "left").withColumn("leads", verdict).select("id", "ord", "who", "leads"), "state")
-        if not state.where("leads is null").limit(1).count():
-            break
     now = keep(by_key(state).where("lead is not null"), "leaders")
     # All records, copies too, look among the leaders before them.
     records = forms.join(titles, ["norm", "agg"])
@@ -261,4 +261,4 @@ def greedy_merge(forms: DataFrame, threshold: float = MEDIUM, overlap: float = 0
     close = records.join(near.select("t", F.col("u").cast("string").alias("key"), "sim"), "t").join(now.where("tier = 5").drop("tier"), "key").where("lead.ord < ord")
     close = close.withColumn("sure", sure(F.col("sim"))).where(F.col("sure") >= threshold).select("id", F.lit(5).alias("tier"), (-F.col("sure")).alias("less"), "lead.ord", F.col("lead.id").alias("leader"))
     best = found.union(close).groupBy("id").agg(F.min(F.struct("tier", "less", "ord", "leader")).alias("b"))
-    return forms.select("id").join(best, "id", "left").select("id", F.coalesce("b.leader", "id").alias("leader"))
+    return forms.select("id", "settled").join(best, "id", "left").select("id", F.when(F.col("settled"), F.col("id")).otherwise(F.coalesce("b.leader", "id")).alias("leader"))
