@@ -83,6 +83,24 @@ def changelog(actions: DataFrame) -> DataFrame:
     return actions.where((F.col("action") != "SKIP") | (F.coalesce(F.size("before"), F.lit(0)) > 0) | (F.coalesce(F.size("after"), F.lit(0)) > 0))
 
 
+#: What a reviewer is asked, by kind of review.
+ASKS = {
+    "missing": "Does this book exist, is it about finance, and should the entry be kept? Answer in JSON: exists, is_finance_related, recommended_action, reason.",
+    "mismatch": "Are both titles the same book in different notation, or two books? Answer in JSON: is_notation_variation, recommended_action, reason.",
+    "segment": "Does the suggested cell suit this book better than the present one? Answer in JSON: apply_suggestion, confidence, reason.",
+}
+
+
+def review_prompt(kind: str, title: str, authors: str, snippets: str, other: str | None = None) -> Column:
+    """Question of a review: the book, what it is compared with, and the first 5 search snippets, each cut at 200 characters."""
+    shown = F.array_join(F.transform(F.slice(snippets, 1, 5), lambda s, i: F.concat((i + 1).cast("string"), F.lit(". "), F.left(s, F.lit(200)))), "\n")
+    lines = [F.concat(F.lit("Title: "), F.col(title)), F.concat(F.lit("Authors: "), F.array_join(authors, ", "))]
+    if other:
+        lines.append(F.concat(F.lit("Compared with: "), F.col(other)))
+    found = F.when(F.coalesce(F.size(snippets), F.lit(0)) > 0, F.concat(F.lit("Search results:\n"), shown)).otherwise("Search results: none")
+    return F.concat_ws("\n", *lines, found, F.lit(ASKS[kind]))
+
+
 def render(reviews: DataFrame) -> DataFrame:
     """Text block of each review."""
     return reviews.select("work_id", F.concat_ws("\n", F.concat(F.lit("Title: "), "title"), F.concat(F.lit("Reasons: "), F.array_join("reasons", ", ")), F.when(F.array_contains("reasons", "SEGMENT_CHANGE"), F.lit("The classifier suggests another segment."))).alias("text"))

@@ -159,6 +159,12 @@ _BOOK = f"""{_H}, b AS (SELECT id, g, v, CASE v WHEN 0 THEN {_SPACED.format('h')
 w AS (SELECT id, {_SLUG} || '_' || substr(md5(lower(title) || CASE WHEN author IS NULL THEN '' ELSE '_' || lower(replace(author, '.', '')) END), 1, 12) AS work_id, title, author, p_type, isbn, v, CAST(CASE WHEN id % 5 > 0 THEN 2000 + id % 20 ELSE 2020 END AS INTEGER) AS year FROM b JOIN part ON p_partkey = id)"""
 
 
+def presence_counts(spark, sf_dir):
+    """Completeness of the nested works by the predicates inside editions and formats."""
+    flags = {k: v for k, v in views.presence().items() if k in ("isbn", "price", "url", "valid_url", "description", "pages", "publisher")}
+    return views.completeness(nested_works(spark, sf_dir), flags)
+
+
 def enrich_chain(spark, sf_dir):
     """All works, half of them Japanese, through a catalogue by ISBN and volumes by ISBN or title; some entries are of other books."""
     from biblioforge.operators.chain import ENTRY, Source, enrich_works
@@ -303,6 +309,7 @@ QUERIES = {
     "index_add": (index_add, f"WITH {_F} SELECT 'isbn' AS name, count(DISTINCT code) AS entries FROM f UNION ALL SELECT 'isbn_prefix', count(DISTINCT substr(code, 1, 12)) FROM f UNION ALL SELECT 'norm', count(DISTINCT norm) FROM f UNION ALL SELECT 'agg', count(DISTINCT agg) FROM f UNION ALL SELECT 'gram', (SELECT count(DISTINCT g) FROM (SELECT unnest(list_transform(range(1, length(agg) - 1), lambda i: agg[i:i+2])) AS g FROM f))"),
     "dup_checker_fuzzy": (dup_checker_fuzzy, "SELECT p_partkey AS id, CASE WHEN p_partkey % 8 = 5 THEN 'asin' WHEN p_partkey % 4 = 3 THEN 'isbn' WHEN p_partkey % 16 = 6 THEN NULL ELSE 'fuzzy' END AS kind, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 OR p_partkey % 16 = 6 THEN NULL ELSE p_partkey - p_partkey % 4 END AS known_id, CASE WHEN p_partkey % 8 = 5 OR p_partkey % 4 = 3 OR p_partkey % 16 = 6 THEN NULL WHEN p_partkey % 4 = 1 THEN 'title_normalized' WHEN (p_partkey - 2) % 8 = 0 THEN 'isbn_prefix' ELSE 'fuzzy_medium' END AS match_type FROM part WHERE p_partkey % 4 > 0"),
     "nest_v2": (nest_v2, f"WITH {_BOOK} SELECT work_id, title, author AS authors, p_type AS segment, 'General' AS subsegment, CASE WHEN v = 1 THEN 2 ELSE 1 END AS number, year, isbn, 'http://x/' || id AS url, 'part' AS sources FROM w"),
+    "presence_counts": (presence_counts, f"WITH {_BOOK} SELECT count(*) AS total, count(*) FILTER (isbn IS NOT NULL) AS with_isbn, count(*) FILTER (NOT (isbn IS NOT NULL)) AS missing_isbn, printf('%.1f%%', 100.0 * count(*) FILTER (isbn IS NOT NULL) / count(*)) AS share_isbn, count(*) FILTER (false) AS with_price, count(*) FILTER (NOT (false)) AS missing_price, printf('%.1f%%', 100.0 * count(*) FILTER (false) / count(*)) AS share_price, count(*) FILTER (true) AS with_url, count(*) FILTER (NOT (true)) AS missing_url, printf('%.1f%%', 100.0 * count(*) FILTER (true) / count(*)) AS share_url, count(*) FILTER (false) AS with_valid_url, count(*) FILTER (NOT (false)) AS missing_valid_url, printf('%.1f%%', 100.0 * count(*) FILTER (false) / count(*)) AS share_valid_url, count(*) FILTER (false) AS with_description, count(*) FILTER (NOT (false)) AS missing_description, printf('%.1f%%', 100.0 * count(*) FILTER (false) / count(*)) AS share_description, count(*) FILTER (p_size > 0) AS with_pages, count(*) FILTER (NOT (p_size > 0)) AS missing_pages, printf('%.1f%%', 100.0 * count(*) FILTER (p_size > 0) / count(*)) AS share_pages, count(*) FILTER (true) AS with_publisher, count(*) FILTER (NOT (true)) AS missing_publisher, printf('%.1f%%', 100.0 * count(*) FILTER (true) / count(*)) AS share_publisher FROM w JOIN part ON w.id = p_partkey"),
     "enrich_chain": (enrich_chain, _CHAIN),
     "upsert_load": (upsert_load, f"WITH {_BOOK} SELECT 'works' AS name, count(*) AS n FROM w UNION ALL SELECT 'authors', count(author) FROM w UNION ALL SELECT 'topics', count(*) FROM w UNION ALL SELECT 'data_sources', count(*) FROM w UNION ALL SELECT 'editions', count(*) FROM w UNION ALL SELECT 'formats', count(*) FILTER (id % 3 <> 0) FROM w"),
     "html_extract_title_links": (html_extract_title_links, "SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, CAST(len(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1)) AS INTEGER) AS n_links, coalesce(array_to_string(regexp_extract_all(html, '(?i)<a\\s[^>]*?href=\"([^\"]*)\"', 1), ' '), '') AS links FROM pages"),

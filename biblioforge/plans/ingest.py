@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from biblioforge.operators import collect, review
 from biblioforge.operators.guard import Constraints, guarded_load, read_quarantine
 from biblioforge.operators.json_schema import validate_json
 from biblioforge.operators.model_client import ModelClient, Reply, ReplyTable, classify_records
@@ -251,7 +252,30 @@ def model_usage(spark, sf_dir):
 
 _STUB = """WITH d AS (SELECT p_partkey AS id, p_name AS title, p_type AS description, length(p_name) % 7 AS kind, (['Common', 'Common', 'Nouns', 'Nouns'])[length(p_name) % 4 + 1] AS s, (['Part', 'Tool', 'Colour', 'Size'])[length(p_name) % 4 + 1] AS u FROM part)"""
 
+def search_addresses(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", collect.search_url("p_name", F.when(F.col("p_partkey") % 2 == 0, "ja").otherwise("en")).alias("url"))
+
+
+def review_prompts(spark, sf_dir):
+    """Mismatch questions about conversations: the first turn as a title, roles as authors, the turns as snippets."""
+    turns = table(spark, sf_dir, "conversations").where("text is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    rows = turns.select("conv_id", F.left(F.col("t")[0]["text"], F.lit(40)).alias("title"), F.array_sort(F.array_distinct(F.col("t")["role"])).alias("authors"), F.col("t")["text"].alias("snippets"), F.col("t")[0]["role"].alias("other"))
+    return rows.select("conv_id", review.review_prompt("mismatch", "title", "authors", "snippets", "other").alias("prompt"))
+
+
+def hand_decisions(spark, sf_dir):
+    """Typed answers applied to the orders as works: y takes the suggested cell, d deletes."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("work_id"), F.col("o_orderstatus").alias("segment"), F.col("o_orderpriority").alias("subsegment"))
+    answers = o.where("work_id % 4 > 0").select("work_id", F.element_at(F.array(F.lit("y"), F.lit("d"), F.lit("k")), (F.col("work_id") % 4).cast("int")).alias("answer"), F.lit("N").alias("new_segment"), F.concat(F.lit("n"), F.col("work_id") % 7).alias("new_subsegment"))
+    return review.decide_by_hand(o, answers)
+
+
 QUERIES = {
+    "search_addresses": (search_addresses, "SELECT p_partkey, 'https://www.amazon.' || CASE WHEN p_partkey % 2 = 0 THEN 'co.jp' ELSE 'com' END || '/s?k=' || replace(url_encode(p_name), '%20', '+') AS url FROM part"),
+    "hand_decisions": (hand_decisions, "SELECT o_orderkey AS work_id, CASE WHEN o_orderkey % 4 = 1 THEN 'N' ELSE o_orderstatus END AS segment, CASE WHEN o_orderkey % 4 = 1 THEN 'n' || o_orderkey % 7 ELSE o_orderpriority END AS subsegment FROM orders WHERE o_orderkey % 4 <> 2"),
+    "review_prompts": (review_prompts, f"""WITH t AS (SELECT conv_id, list(text ORDER BY turn, role, text) AS x, list(role ORDER BY turn, role, text) AS r FROM conversations WHERE text IS NOT NULL GROUP BY 1)
+SELECT conv_id, 'Title: ' || substr(x[1], 1, 40) || chr(10) || 'Authors: ' || array_to_string(list_sort(list_distinct(r)), ', ') || chr(10) || 'Compared with: ' || r[1] || chr(10) || 'Search results:' || chr(10) || array_to_string(list_transform(range(1, least(len(x), 5) + 1), lambda i: i || '. ' || substr(x[i], 1, 200)), chr(10)) || chr(10) || '{review.ASKS["mismatch"].replace("'", "''")}' AS prompt FROM t"""),
     "model_classify_batch": (model_classify_batch, _STUB + """ SELECT id, CASE WHEN kind = 1 THEN 'Odd' WHEN kind NOT IN (0, 2) THEN s END AS segment, CASE WHEN kind = 1 THEN 'Cell' WHEN kind NOT IN (0, 2) THEN u END AS subsegment, CASE WHEN kind NOT IN (0, 2) THEN CAST(length(title) AS DOUBLE) / 20 END AS confidence,
   CASE kind WHEN 0 THEN 'ConnectionError: no answer' WHEN 1 THEN 'no such cell: Odd / Cell' WHEN 2 THEN 'no verdict' END AS error, CASE kind WHEN 0 THEN 'call' WHEN 1 THEN 'cell' WHEN 2 THEN 'reply' END AS error_kind, kind > 2 AS is_valid FROM d"""),
     "model_usage": (model_usage, _STUB + """, q AS (SELECT title, description, any_value(length('{"segment": "' || s || '", "subsegment": "' || u || '", "confidence": , "reasoning": "' || title || '"}') + length(CAST(CAST(length(title) AS DOUBLE) / 20 AS VARCHAR))) AS n, bool_or(id % 2 = 0 AND length(title) > 8) AS early FROM d GROUP BY 1, 2)

@@ -94,10 +94,6 @@ def parse_headed_markdown(lines: DataFrame, order: str = "line", by: str = "_src
     )
 
 
-def save_state(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def pending(work: DataFrame, state: DataFrame, key: str) -> DataFrame:
     """Rows of work whose key the state table doesn't hold."""
     return work.join(state.select(key).distinct(), key, "left_anti")

@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from biblioforge.operators.model import pick
 
 
-def add_batch(master: DataFrame | None, new: DataFrame, key: str, order: str) -> DataFrame:
-    """Master after a batch: the first record of a key stays."""
-    rows = new if master is None else master.unionByName(new)
-    return pick(rows, [key], order)
-
-
 def add_stream(spark: SparkSession, source: str, schema: str, master_path: str, checkpoint: str, key: str, order: str) -> None:
     """Takes every file in `source` that earlier runs didn't take, one batch at a time, and appends unseen keys to the master."""
 
@@ -29,6 +23,23 @@ def add_stream(spark: SparkSession, source: str, schema: str, master_path: str,
     stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def stream_to_master(spark: SparkSession, source: str, master, checkpoint: str, stamp: str) -> list[dict]:
+    """Adds every file of nested works in `source` that earlier runs didn't take to a Master; the counts of each batch.
+
+    A batch that is delivered again after a crash finds its works in the master and adds nothing but merges.
+    """
+    from biblioforge import schemas
+
+    told = []
+
+    def take(batch: DataFrame, _: int) -> None:
+        told.append(master.add(batch.withColumn("_line", F.monotonically_increasing_id()).withColumn("updated_at", F.lit(stamp))))
+
+    stream = spark.readStream.schema(schemas.BOOK_V2).json(source).select("*", F.col("_metadata.file_path").alias("_file"))
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return told
+
+
 def windowed_counts(events: DataFrame, every: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts per event-time window and type, for a stream or a table."""
     rows = events.withWatermark("ts", late) if events.isStreaming and "EventTimeWatermark" not in events._jdf.queryExecution().analyzed().toString() else events

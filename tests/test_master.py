@@ -6,6 +6,7 @@ import pytest
 
 from biblioforge.__main__ import main
 from biblioforge.operators.master import Master
+from biblioforge.streaming.incremental import stream_to_master
 
 
 def flat(title, isbn=None, author="Ann Lee", **more):
@@ -55,6 +56,19 @@ def test_master_commands(spark, tmp_path, capsys):
     assert spark.read.json(str(tmp_path / "out")).count() == 4
 
 
+def test_deliveries_through_a_stream(spark, tmp_path):
+    work = lambda n, title, isbn: {"work_id": f"w{n}", "title": title, "language": "en", "editions": [{"edition_number": 1, "is_latest": True, "formats": [{"format_type": "pdf", "isbn": isbn}]}], "data_sources": [f"s{n}"]}
+    master, folder = Master(spark, str(tmp_path / "m")), tmp_path / "in"
+    folder.mkdir()
+    lines(folder / "a.json", [work(1, "Bond Markets", "9781234567890"), work(2, "Risk", None)])
+    run = lambda: stream_to_master(spark, str(folder), master, str(tmp_path / "state"), "now")
+    assert [(t["added"], t["merged"]) for t in run()] == [(2, 0)]
+    assert run() == []
+    lines(folder / "b.json", [work(3, "Other Title", "9781234567890"), work(4, "Tax Law", None)])
+    assert [(t["before"], t["added"], t["merged"]) for t in run()] == [(2, 1, 1)]
+    assert {w.work_id: w.data_sources for w in master.load().collect()} == {"w1": ["s1", "s3"], "w2": ["s2"], "w4": ["s4"]}
+
+
 def test_validate_command(spark, tmp_path, capsys):
     good = {"work_id": "a_1", "title": "t", "language": "en", "publisher": "p", "segment": "s", "subsegment": "u", "perspective": "theory", "dataset_status": "draft", "editions": [{"edition_number": 1, "publication_year": 2000, "is_latest": True, "formats": [{"format_type": "pdf"}]}]}
     main(["validate", lines(tmp_path / "good", [good, "", good])])
