@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from biblioforge.functions import text as T
-from biblioforge.operators.matching import MEDIUM, _keys, score_pairs, sided
+from biblioforge.operators.matching import MEDIUM, _keys, _words, enough_grams, near_enough, ngram_candidates, score_pairs, sided
 from biblioforge.sources.versions import Versions
 from biblioforge.store import keep
 
-TABLES = {"keys": ("key string, tier int, id bigint", "key"), "grams": ("gram string, id bigint", "gram"), "books": ("id bigint, title string, author string, norm string, agg string, who string, code string", "id")}
+TABLES = {"keys": ("key string, tier int, id bigint", "key"), "words": ("word string, id bigint", "word"), "books": ("id bigint, title string, author string, norm string, agg string, who string, code string", "id")}
 #: So many probe keys are named in the filter, so that the scan opens their buckets alone.
 NAMED = 500
 
 
 class KeptIndex:
-    """keys (ISBN, its prefix, normal and aggressive title, each -> id), grams (-> id) and books (by id), each in buckets.
+    """keys (ISBN, its prefix, normal and aggressive title, each -> id), words (of the normal title, and the aggressive one as a whole, -> id) and books (by id), each in buckets.
 
     A batch is one more segment; compact() makes one of all. Every join with a segment uses its buckets: probes are
     shuffled to them, the index never is. Segments are joined one by one, so many of them cost passes: compact then.
@@ -45,7 +46,7 @@ class KeptIndex:
     def _rows(self, forms: DataFrame) -> dict[str, DataFrame]:
         full = forms.select("id", "title", "author", *[F.coalesce(c, F.lit("")).alias(c) for c in ("norm", "agg", "who", "code")])
         keys = _keys(full, "id").select(F.concat_ws(":", "tier", "key").alias("key"), F.col("tier").cast("int").alias("tier"), "id")
-        return {"keys": keys, "grams": full.select(F.explode(F.array_distinct(T.ngrams("agg"))).alias("gram"), "id"), "books": full}
+        return {"keys": keys, "words": sided(full, "r").where("r_agg <> ''").select(F.explode(_words("r")).alias("word"), F.col("r_id").alias("id")), "books": full}
 
     def _add(self, tables: dict[str, DataFrame], others: list[str]) -> int:
         folder = self.versions.folder()
@@ -90,13 +91,17 @@ class KeptIndex:
         hits = hits.select("l_id", "r_id", "tier", kinds[F.col("tier")].alias("match_type"), sure[F.col("tier")].alias("confidence")).where(F.col("confidence") >= threshold)
         exact = keep(hits.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n"), "exact")
         rest = new.join(exact.select(F.col("l_id").alias("id")), "id", "left_anti").where("agg <> ''")
-        grams = T.ngrams("agg")
-        times = rest.select(F.col("id").alias("l_id"), F.greatest(F.lit(1), F.floor(F.size(grams) * overlap)).alias("need"), F.explode(grams).alias("gram")).groupBy("l_id", "need", "gram").agg(F.count("*").alias("times"))
-        near = self.probe("grams", keep(times, "times")).groupBy("l_id", F.col("id").alias("r_id")).agg(F.sum("times").alias("shared"), F.first("need").alias("need")).where("shared >= need")
-        near = keep(near.select("l_id", F.col("r_id").alias("id")), "near")
+        l = sided(rest, "l")
+        if near_enough(threshold - 0.1):
+            words = keep(l.select("l_id", F.explode(_words("l")).alias("word")), "words")
+            near = self.probe("words", words).select("l_id", "id").distinct()
+        else:  # titles without a common word are in reach: all books are counted
+            books = [b.select(F.col("id").alias("r"), F.col("agg").alias("text")) for b in self.segments("books")]
+            near = ngram_candidates(rest.select(F.col("id").alias("q"), F.col("agg").alias("text")), reduce(DataFrame.union, books), overlap).select(F.col("q").alias("l_id"), F.col("r").alias("id"))
+        near = keep(near, "near")
         books = self.probe("books", near).withColumnRenamed("id", "r_id")
         books = books.select("l_id", "r_id", *[F.col(c).alias(f"r_{c}") for c in ("norm", "agg", "who")], F.nullif("code", F.lit("")).alias("r_code"))
-        pairs = books.join(sided(rest, "l"), "l_id")
+        pairs = books.join(l, "l_id").where(enough_grams(overlap))
         fuzzy = score_pairs(pairs, similarity, author_ratio).where(F.col("confidence") >= threshold).select("l_id", "r_id", F.lit(5).alias("tier"), "match_type", "confidence")
         w = Window.partitionBy("l_id").orderBy(F.desc("confidence"), "r_id")
         return exact.union(fuzzy.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n"))
