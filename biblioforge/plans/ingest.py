@@ -67,13 +67,14 @@ def strict_scan(spark, sf_dir):
     """Orders as JSON Lines files in the order of their keys, some lines cut short: key and number over all files of every line."""
     o, path = table(spark, sf_dir, "orders"), fresh(spark, "strict")
     line = F.to_json(F.struct("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice")))
-    lines = o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select(F.when(F.col("o_orderkey") % 1000 == 7, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    cut = F.substring_index(line, ",", 1)  # behind the key, however long it is
+    lines = o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").select(F.when(F.col("o_orderkey") % 1000 == 7, cut).otherwise(line).alias("value"))
     lines.write.text(path)
-    rows = io.numbered_lines(spark, path).withColumn("key", F.regexp_extract("value", '"o_orderkey":([0-9]+)', 1).cast("long"))
-    bad = io.malformed_lines(rows).select(F.col("key").alias("_key"), F.lit(True).alias("malformed"))
-    files = rows.groupBy("_src").agg(F.count("*").alias("n"), F.min("key").alias("low"))  # a row a file
+    rows = io.numbered_lines(spark, path)
+    key = F.regexp_extract("value", '"o_orderkey":([0-9]+)', 1).cast("long").alias("key")
+    files = rows.select("_src", key).groupBy("_src").agg(F.count("*").alias("n"), F.min("key").alias("low"))  # a row a file
     files = files.select("_src", F.coalesce(F.sum("n").over(Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return rows.join(files, "_src").join(bad, F.col("key") == F.col("_key"), "left").select("key", (F.col("line") + F.col("before")).alias("line"), F.coalesce("malformed", F.lit(False)).alias("malformed"))
+    return rows.join(files, "_src").select(key, (F.col("line") + F.col("before")).alias("line"), io.is_malformed("value").alias("malformed"))
 
 
 _LINE = {

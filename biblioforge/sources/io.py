@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from biblioforge.functions.text import json_value
@@ -44,9 +44,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.join(splits, ["_src", "_start"]).select("_src", (F.col("_i") - F.col("_first") + F.col("_before") + 1).alias("line"), "value")
 
 
+def is_malformed(value: str) -> Column:
+    """Whether a line holds text but no JSON."""
+    return (F.trim(value) != "") & json_value(value).isNull()
+
+
 def malformed_lines(lines: DataFrame) -> DataFrame:
     """Those of numbered lines that hold text but no JSON."""
-    return lines.where((F.trim("value") != "") & json_value("value").isNull())
+    return lines.where(is_malformed("value"))
 
 
 def read_json_lines_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
