@@ -40,3 +40,20 @@ def test_no_keywords_and_no_texts(spark):
     assert [x.cells for x in classify.keyword_cells(d, kw.where("kw_ord > 0")).collect()] == [[]]
     assert classify.classify(d.where("id > 1"), kw).count() == 0
     assert "Exchange" not in classify.classify(d, kw)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("most_rows", [12_000_000, 40])
+def test_long_lists_stay_off_the_driver(spark, most_rows):
+    """One pass, and several; repeated texts and words; other columns stay; no keyword row is collected."""
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abc") for _ in range(n))
+    keywords = [(k, word(r.randint(3, 5)), f"s{k % 4}" if k % 9 else None, f"u{k % 3}") for k in range(200)] + [(7, "abc", "s1", "u1"), (7, "aba", "s1", "u1")]
+    texts = [(i, word(r.randint(0, 40)), f"x{i}") for i in range(900)] + [(900, None, None), (901, "", "y"), (902, "zzz", "z")]
+    d = spark.createDataFrame(texts, "id long, text string, other string")
+    kw = spark.createDataFrame(keywords, "kw_ord int, keyword string, segment string, subsegment string")
+    rows = classify.keyword_cells(d, kw, most_bytes=0, most_rows=most_rows)
+    plan = rows._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    got = rows.collect()
+    assert {x.id: [(c.segment, c.subsegment, c.hits, c.first, c.words) for c in x.cells] for x in got} == brute([t[:2] for t in texts], keywords)
+    assert sorted((x.id, x.text, x.other) for x in got) == sorted(texts)
