@@ -21,10 +21,12 @@ def joined(df: DataFrame, key: str, c: str, name: str) -> DataFrame:
 def books_flat(t: dict[str, DataFrame]) -> DataFrame:
     """A row per work with its latest edition; children are aggregated before the joins, so nothing multiplies."""
     latest = latest_rows(t["editions"]).select("work_id", "edition_number", "publication_year", "pages")
-    names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",").alias(c + "s")
-    # Formats are gathered per edition before they meet the latest editions; both sides are small by then.
-    f = t["formats"].withColumnRenamed("format_type", "format").groupBy("work_id", "edition_number").agg(names("isbn"), names("format"))
-    children = latest.join(f, ["work_id", "edition_number"], "left").join(joined(t["authors"], "work_id", "author", "authors"), "work_id", "full")
+    # Formats meet the latest edition by the work alone, which the tables may be partitioned by, and those of other editions are left out.
+    own = F.col("edition_number") == F.col("_top")
+    names = lambda c: F.when(F.count_if(own) > 0, F.array_join(F.array_sort(F.collect_set(F.when(own, F.col(c)))), ",")).alias(c + "s")
+    f = t["formats"].withColumnRenamed("format_type", "format").join(latest.select("work_id", F.col("edition_number").alias("_top")), "work_id")
+    f = f.groupBy("work_id").agg(names("isbn"), names("format"))
+    children = latest.join(f, "work_id", "left").join(joined(t["authors"], "work_id", "author", "authors"), "work_id", "full")
     return t["works"].join(children, "work_id", "left")
 
 
@@ -59,7 +61,8 @@ def recent(t: dict[str, DataFrame], since: int = 2020) -> DataFrame:
 
 def by_isbn(t: dict[str, DataFrame], isbn: str) -> DataFrame:
     f = t["formats"].where(F.col("isbn") == isbn).select("work_id", "edition_number", "isbn")
-    return t["works"].join(t["editions"].join(f, ["work_id", "edition_number"]), "work_id")
+    few = t["editions"].join(f.select("work_id").distinct(), "work_id", "left_semi")  # by the work first: editions may be partitioned by it
+    return t["works"].join(few.join(f, ["work_id", "edition_number"]), "work_id")
 
 
 def group_count(df: DataFrame, c: str, default: str = "unknown") -> DataFrame:
