@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from biblioforge.functions import text as T
 from biblioforge.schemas import EDITION
+from biblioforge.store import parts_of_bytes
 
 
 def given(c: str, default: str | None = None) -> Column:
@@ -86,7 +87,8 @@ def merge_editions(works: DataFrame, keys: list[str], order: str = "_ord", first
 
 def flatten(works: DataFrame, order: str = "_ord") -> dict[str, DataFrame]:
     """The eight tables of the relational projection; the last record of a work id replaces earlier ones, records without id are skipped."""
-    w = pick(works.where("work_id is not null"), ["work_id"], order, last=True)
+    some = works.where("work_id is not null")
+    w = pick(some.repartition(parts_of_bytes(some), "work_id"), ["work_id"], order, last=True)  # what follows stays in these partitions
     for c in ("authors", "editors", "topics", "data_sources"):
         if c not in w.columns:
             w = w.withColumn(c, F.lit(None).cast("array<string>"))
