@@ -24,6 +24,11 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.flatten(F.transform(F.array(value), body))
 
 
+def _all(found: list[Column]) -> Column:
+    """Arrays of errors as one. flatten() walks them once, where concat() builds a lazy list for each row."""
+    return found[0] if len(found) == 1 else F.flatten(F.array(*found)) if found else F.expr(_NONE)
+
+
 def _error(when: Column, path: Column, keyword: str, message: Column) -> Column:
     one = F.array(F.struct(path.alias("path"), F.lit(keyword).alias("keyword"), message.alias("message")))
     return F.when(F.coalesce(when, F.lit(False)), one).otherwise(F.expr(_NONE))
@@ -37,8 +42,10 @@ def _list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _kind(v: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+def _kind(v: Column, deep: bool = False) -> Column:
+    """Name of a value's kind. deep: a value that should hold others, of which schema_of_variant would walk all, at each level again."""
+    told = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return F.when(_map(v).isNotNull(), "OBJECT").when(_list(v).isNotNull(), "ARRAY").otherwise(told) if deep else told
 
 
 def _number(v: Column, kind: Column) -> Column:
@@ -53,7 +60,7 @@ def _is(name: str, v: Column, kind: Column) -> Column:
     n = _number(v, kind)
     return {
         "object": kind == "OBJECT", "array": kind == "ARRAY", "string": kind == "STRING", "boolean": kind == "BOOLEAN", "null": kind == "VOID",
-        "number": n.isNotNull(), "integer": n.isNotNull() & ((kind == "BIGINT") | (n % 1 == 0)),
+        "number": n.isNotNull(), "integer": (kind == "BIGINT") | F.coalesce(n % 1 == 0, F.lit(False)),
     }[name]
 
 
@@ -88,10 +95,11 @@ def _scalar(s: dict, v: Column, path: Column) -> list[Column]:
                     same = _is("null", v, kind) if x is None else (kind == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == x) if isinstance(x, bool) else t == x if isinstance(x, str) else n == x
                     fine = fine | F.coalesce(same, F.lit(False))
                 found.append(_error(~fine, path, key, F.concat(shown, F.lit(f" is not one of {values!r}" if key == "enum" else f" is not {values[0]!r}"))))
-        return F.concat(*found)
+        return _all(found)
 
     used = {"type", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern", "enum", "const"} & set(s)
-    return [_let(_kind(v), told)] if used else []
+    deep = {"properties", "required", "additionalProperties", "items", "minItems", "maxItems"} & set(s)
+    return [_let(_kind(v, bool(deep)), told)] if used else []
 
 
 def _object(s: dict, v: Column, path: Column) -> list[Column]:
@@ -99,19 +107,27 @@ def _object(s: dict, v: Column, path: Column) -> list[Column]:
     if not ({"properties", "required", "additionalProperties"} & set(s)):
         return []
 
+    names = list(dict.fromkeys([*properties, *s.get("required", [])]))
+
     def told(m: Column) -> Column:
-        found = [_error(~F.map_contains_key(m, name), path, "required", F.lit(f"{name!r} is a required property")) for name in s.get("required", [])]
+        """Each name is looked up once; the names that are left over are made only where there are some."""
+        own = F.struct(*[F.try_element_at(m, F.lit(name)).alias(f"c{k}") for k, name in enumerate(names)]) if names else F.struct(F.lit(0).alias("c0"))
+        return F.when(m.isNull(), F.expr(_NONE)).otherwise(_let(own, lambda x: judged(m, {name: x[f"c{k}"] for k, name in enumerate(names)})))
+
+    def judged(m: Column, own: dict[str, Column]) -> Column:
+        found = [_error(own[name].isNull(), path, "required", F.lit(f"{name!r} is a required property")) for name in s.get("required", [])]
         for name, sub in properties.items():
-            child = F.try_element_at(m, F.lit(name))
-            found.append(F.when(child.isNotNull(), errors(sub, child, F.concat(path, F.lit(f".{name}")))).otherwise(F.expr(_NONE)))
+            found.append(F.when(own[name].isNotNull(), errors(sub, own[name], F.concat(path, F.lit(f".{name}")))).otherwise(F.expr(_NONE)))
         others = F.array_sort(F.array_except(F.map_keys(m), F.array(*[F.lit(p) for p in properties]) if properties else F.array().cast("array<string>")))
+        more = F.size(m) > sum([own[p].isNotNull().cast("int") for p in properties], F.lit(0))
         if extra is False:
             quoted = F.array_join(F.transform(others, lambda k: F.concat(F.lit("'"), k, F.lit("'"))), ", ")
             were = F.when(F.size(others) == 1, " was unexpected)").otherwise(" were unexpected)")
-            found.append(_error(F.size(others) > 0, path, "additionalProperties", F.concat(F.lit("Additional properties are not allowed ("), quoted, were)))
+            found.append(_error(more, path, "additionalProperties", F.concat(F.lit("Additional properties are not allowed ("), quoted, were)))
         elif isinstance(extra, dict):
-            found.append(F.flatten(F.transform(others, lambda k: errors(extra, F.try_element_at(m, k), F.concat(path, F.lit("."), k)))))
-        return F.when(m.isNull(), F.expr(_NONE)).otherwise(F.concat(*found) if found else F.expr(_NONE))
+            each = F.flatten(F.transform(others, lambda k: errors(extra, F.try_element_at(m, k), F.concat(path, F.lit("."), k))))
+            found.append(F.when(more, each).otherwise(F.expr(_NONE)))
+        return _all(found)
 
     return [_let(_map(v), told)]
 
@@ -129,7 +145,7 @@ def _array(s: dict, v: Column, path: Column) -> list[Column]:
             found.append(_error(n > s["maxItems"], path, "maxItems", F.concat(F.to_json(v), F.lit(" is too long"))))
         if "items" in s:
             found.append(F.flatten(F.transform(items, lambda x, i: errors(s["items"], x, F.concat(path, F.lit("["), i, F.lit("]"))))))
-        return F.when(items.isNull(), F.expr(_NONE)).otherwise(F.concat(*found))
+        return F.when(items.isNull(), F.expr(_NONE)).otherwise(_all(found))
 
     return [_let(_list(v), told)]
 
@@ -146,7 +162,7 @@ def errors(schema: dict, v: Column, path: Column) -> Column:
     if unknown:
         raise ValueError(f"unknown keywords: {sorted(unknown)}")
     found = _scalar(schema, v, path) + _object(schema, v, path) + _array(schema, v, path)
-    return F.concat(*found) if found else F.expr(_NONE)
+    return _all(found)
 
 
 def validate_json(lines: DataFrame, schema: dict, value: str = "value") -> DataFrame:
