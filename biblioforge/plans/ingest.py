@@ -42,9 +42,9 @@ def crawl_batch(spark, sf_dir):
 
 
 def crawl_stream(spark, sf_dir):
-    """The same crawl as a stream of three listing pages per category and batch, stopped and started again on the way."""
+    """The same crawl as a stream that begins with three listing pages per category and batch and then catches up, stopped and started again on the way."""
     crawl = site(spark, sf_dir)
-    crawl.pages_per_batch = 3
+    crawl.pages_per_batch, crawl.catch_up = 3, True
     register_crawl(spark, "pages_stream", crawl)
     out, state = fresh(spark, "crawled"), fresh(spark, "crawl-state")
     for limit in (2, None):

@@ -3,7 +3,9 @@
 A catalogue lists items page by page below each category. The source reads a category in one partition (in ranges of
 pages where the catalogue knows how many there are), page after page until one is missing or max_pages is reached. As a
 stream, its offsets are the pages read of each category, so a restarted query goes on where it stopped and pages that
-appear later are read then. A page that can't be read is one row with its error, and the crawl goes on after it.
+appear later are read then. A crawl that may catch up takes as many pages in a batch as it has read before, in tasks of
+equal ranges, so its batches grow with the logarithm of the site. A page that can't be read is one row with its error,
+and the crawl goes on after it.
 """
 
 from __future__ import annotations
@@ -79,6 +81,7 @@ class Crawl:
     delay: float = 0.0
     pages_per_task: int = 50
     pages_per_batch: int = 50
+    catch_up: bool = False
 
     def rows(self, span: Span) -> Iterator[tuple]:
         c, page = span.category, span.first
@@ -103,6 +106,9 @@ class Crawl:
                 yield (c.url, c.segment, c.subsegment, page, pos, item.get("url"), item.get("title"), fields, error)
             page += 1
 
+    def ranges(self, category: Category, first: int, last: int) -> list[Span]:
+        return [Span(category, k, min(last, k + self.pages_per_task - 1)) for k in range(first, last + 1, self.pages_per_task)]
+
     def spans(self) -> list[Span]:
         out = []
         for c in self.categories:
@@ -111,7 +117,7 @@ class Crawl:
                 out.append(Span(c, 1, None))
             else:
                 n = n if self.max_pages is None else min(n, self.max_pages)
-                out += [Span(c, k, min(n, k + self.pages_per_task - 1)) for k in range(1, n + 1, self.pages_per_task)]
+                out += self.ranges(c, 1, n)
         return out
 
 
@@ -127,7 +133,7 @@ class _Reader(DataSourceReader):
 
 
 class _StreamReader(DataSourceStreamReader):
-    """Offsets: {category: pages read}. A batch takes up to pages_per_batch further pages of each category."""
+    """Offsets: {category: pages read}. A batch takes up to pages_per_batch further pages of each category; to catch up, up to as many as were read before."""
 
     def __init__(self, crawl: Crawl):
         self.crawl, self.now = crawl, {}
@@ -138,15 +144,19 @@ class _StreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         out = self.initialOffset() | self.now
         for c in self.crawl.categories:
-            stop = out[c.url] + self.crawl.pages_per_batch
+            stop = out[c.url] + max(self.crawl.pages_per_batch, out[c.url] if self.crawl.catch_up else 0)
             stop = stop if self.crawl.max_pages is None else min(stop, self.crawl.max_pages)
+            n = self.crawl.catalogue.pages(c) if out[c.url] < stop else None
+            if n is not None:
+                out[c.url] = max(out[c.url], min(stop, n))
+                continue
             while out[c.url] < stop and self.crawl.catalogue.has(page_url(c.url, out[c.url] + 1)):
                 out[c.url] += 1
         return out
 
     def partitions(self, start: dict, end: dict):
         self.now = self.now | end  # after a restart too, when the engine repeats the last batch
-        return [Span(c, start.get(c.url, 0) + 1, end[c.url]) for c in self.crawl.categories if end.get(c.url, 0) > start.get(c.url, 0)]
+        return [s for c in self.crawl.categories for s in self.crawl.ranges(c, start.get(c.url, 0) + 1, end.get(c.url, 0))]
 
     def read(self, partition):
         yield from self.crawl.rows(partition)
@@ -175,27 +185,50 @@ def register_crawl(spark: SparkSession, name: str, crawl: Crawl) -> None:
     spark.dataSource.register(CrawlSource)
 
 
+READ_AHEAD = 50  # listing pages that are read from files at once
+
+
 class StoredSite(Catalogue):
     """A site whose listing pages are a Parquet folder (category, page, body): body is a JSON array of items."""
 
     def __init__(self, path: str):
-        self.path = path
+        self.path, self._held = path, {}
 
-    def _page(self, url: str, columns: list[str]):
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_held": {}}
+
+    def _table(self, category: str, columns: list[str], first: int | None = None, last: int | None = None):
         import pyarrow.dataset as ds
         import pyarrow.fs as fs
 
-        parts = urlsplit(url)
-        page = int(dict(parse_qsl(parts.query)).get("pn", 1))
         system, path = fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
-        table = ds.dataset(path, filesystem=system, exclude_invalid_files=True).to_table(columns=columns, filter=(ds.field("category") == parts.path.strip("/")) & (ds.field("page") == page))
-        return table.to_pylist()
+        wanted = ds.field("category") == urlsplit(category).path.strip("/")
+        if first is not None:
+            wanted &= (ds.field("page") >= first) & (ds.field("page") <= last)
+        return ds.dataset(path, filesystem=system, exclude_invalid_files=True).to_table(columns=columns, filter=wanted)
 
     def has(self, url: str) -> bool:
-        return bool(self._page(url, ["page"]))
+        page = _page_number(url)
+        return self._table(url, ["page"], page, page).num_rows > 0
 
     def listing(self, url: str) -> list[dict]:
-        return json.loads(self._page(url, ["body"])[0]["body"])
+        page = _page_number(url)
+        if (url.partition("?")[0], page) not in self._held:  # the pages behind it are asked for next
+            t = self._table(url, ["page", "body"], page, page + READ_AHEAD - 1)
+            self._held = {(url.partition("?")[0], p): b for p, b in zip(t["page"].to_pylist(), t["body"].to_pylist(), strict=True)}
+        return json.loads(self._held[url.partition("?")[0], page])
+
+    def pages(self, category: Category) -> int | None:
+        """The highest number; None if pages are missing in between."""
+        import pyarrow.compute as pc
+
+        numbers = self._table(category.url, ["page"])["page"]
+        high = pc.max(numbers).as_py() or 0
+        return high if len(numbers) == high else None
+
+
+def _page_number(url: str) -> int:
+    return int(dict(parse_qsl(urlsplit(url).query)).get("pn", 1))
 
 
 def store_site(items: DataFrame, order: str, per_page: int = 20, broken: F.Column | None = None) -> str:
@@ -208,5 +241,5 @@ def store_site(items: DataFrame, order: str, per_page: int = 20, broken: F.Colum
     if broken is not None:
         pages = pages.withColumn("body", F.when(broken, F.left("body", F.lit(10))).otherwise(F.col("body")))
     path = fresh(items.sparkSession, "site")
-    pages.select("category", "page", "body").repartitionByRange("category", "page").sortWithinPartitions("category", "page").write.parquet(path)
+    pages.select("category", "page", "body").repartitionByRange("category", "page").sortWithinPartitions("category", "page").write.option("parquet.block.size", 1 << 20).parquet(path)
     return path

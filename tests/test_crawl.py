@@ -2,7 +2,7 @@
 
 import pytest
 
-from biblioforge.sources.crawl import Catalogue, Category, Crawl, page_url, register_crawl
+from biblioforge.sources.crawl import Catalogue, Category, Crawl, StoredSite, page_url, register_crawl, store_site
 
 
 def Shelf(content, counts=None, extra=None):  # noqa: N802
@@ -76,3 +76,32 @@ def test_stream_resumes_and_sees_new_pages(spark, tmp_path):
     later = CONTENT | {"http://s/b?x=1&pn=2": items("new"), "http://s/none": items("first")}
     more = [("http://s/b?x=1", 2, 0, "new", None), ("http://s/b?x=1", 3, 0, "lost", None), ("http://s/none", 1, 0, "first", None)]
     assert run(later) == sorted(WANT + more, key=repr)
+
+
+def test_a_stream_of_a_large_site_takes_few_batches_and_reads_ahead(spark, tmp_path, monkeypatch):
+    items = spark.range(301).selectExpr("if(id < 300, 'a', 'b') AS category", "id", "concat('u', id) AS url", "concat('t', id) AS title")
+    site, batches = StoredSite(store_site(items, "id", per_page=2)), 0
+    a, b = Category("http://s/a", "S", "A"), Category("http://s/b", "S", "B")
+    assert (site.pages(a), site.pages(b), site.pages(Category("http://s/c", "S", "C"))) == (150, 1, 0)
+    for limit in (5, None):
+        register_crawl(spark, "large", Crawl(site, [a, b], max_pages=limit, pages_per_batch=1, pages_per_task=40, catch_up=True))
+        q = spark.readStream.format("large").load().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).start(str(tmp_path / "out"))
+        q.processAllAvailable()
+        batches = q.lastProgress["batchId"]
+        q.stop()
+    got = spark.read.parquet(str(tmp_path / "out")).selectExpr("category", "page", "pos", "title").collect()
+    assert sorted(map(tuple, got)) == sorted([("http://s/a", k // 2 + 1, k % 2, f"t{k}") for k in range(300)] + [("http://s/b", 1, 0, "t300")])
+    assert batches <= 12  # 150 pages one by one before
+
+    import pyarrow.dataset as ds
+
+    opened, plain = [], ds.dataset
+    monkeypatch.setattr(ds, "dataset", lambda *x, **more: opened.append(1) or plain(*x, **more))
+    assert [i["title"] for k in range(1, 151) for i in site.listing(page_url(a.url, k))] == [f"t{k}" for k in range(300)]
+    assert len(opened) <= 4
+
+
+def test_a_stored_site_with_a_gap_ends_there(spark, tmp_path):
+    spark.createDataFrame([("a", k, "[]") for k in (1, 2, 4)], "category string, page int, body string").write.parquet(str(tmp_path / "site"))
+    site = StoredSite(str(tmp_path / "site"))
+    assert site.pages(Category("http://s/a", "S", "A")) is None and [site.has(page_url("http://s/a", k)) for k in (1, 2, 3, 4)] == [True, True, False, True]
