@@ -188,7 +188,8 @@ def _chunks(spark, sf_dir) -> list[DataFrame]:
 def keyword_state_stream(spark, sf_dir):
     """Purchases and errors as results of one keyword per user and day."""
     results = [c.where("event_type in ('purchase', 'error')").select("event_id", "keyword_id", "ts", (F.col("event_type") == "purchase").alias("ok"), F.col("value").alias("added")) for c in _chunks(spark, sf_dir)]
-    out = replay(results, lambda s: keyword_states(s, "2 hours", 720))
+    buckets = table(spark, sf_dir, "events").count() // 500 + 1  # of about 130 keywords
+    out = replay(results, lambda s: keyword_states(s, "2 hours", 720, buckets=buckets))
     return out.select("keyword_id", F.unix_micros("at").alias("at"), "status", "attempts", F.round("added", 6).alias("added"))
 
 
