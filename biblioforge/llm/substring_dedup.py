@@ -69,36 +69,54 @@ class WaveletMatrix:
         return self.place(symbols, at) - self.base[symbols]
 
 
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of pieces of words (numbers from 1) in order, and the longest common prefix of each with the next. Piece ends (0) differ from each other, so no prefix goes across one."""
+    n = len(text)
+    ends = text == 0
+    rank = text + int(ends.sum()) - 1
+    rank[ends] = np.arange(ends.sum())
+    rank = np.unique(rank, return_inverse=True)[1]
+    ranks, step = [rank], 1
+    while rank.max() < n - 1:
+        next_rank = np.full(n, -1)
+        next_rank[: n - step] = rank[step:]
+        key = rank * (n + 1) + next_rank + 1
+        order = np.argsort(key)
+        fresh = np.ones(n, np.int64)
+        fresh[1:] = key[order[1:]] != key[order[:-1]]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(fresh) - 1
+        ranks.append(rank)
+        step *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    # LCP of neighbours from the ranks at each depth.
+    same = np.zeros(n - 1, np.int64)
+    for depth in range(len(ranks) - 1, -1, -1):
+        a, b = order[:-1] + same, order[1:] + same
+        inside = np.maximum(a, b) < n
+        equal = inside & (ranks[depth][np.minimum(a, n - 1)] == ranks[depth][np.minimum(b, n - 1)])
+        same[equal] += 1 << depth
+    return order, same
+
+
+def joined(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One text of pieces of word hashes for suffix_array(), and where each begins."""
+    lengths = np.array([len(p) for p in pieces])
+    ends = np.cumsum(lengths + 1) - 1
+    text = np.zeros(int(ends[-1]) + 1, np.int64)
+    inside = np.ones(len(text), bool)
+    inside[ends] = False
+    text[inside] = np.unique(np.concatenate(pieces), return_inverse=True)[1] + 1
+    return text, ends - lengths
+
+
 class FMIndex:
     """Index of pieces of words (numbers from 1). Piece ends (0) differ from each other, so no match goes across one."""
 
     def __init__(self, text: np.ndarray):
         n = len(text)
-        ends = text == 0
-        rank = text + int(ends.sum()) - 1
-        rank[ends] = np.arange(ends.sum())
-        rank = np.unique(rank, return_inverse=True)[1]
-        ranks, step = [rank], 1
-        while rank.max() < n - 1:
-            next_rank = np.full(n, -1)
-            next_rank[: n - step] = rank[step:]
-            key = rank * (n + 1) + next_rank + 1
-            order = np.argsort(key)
-            fresh = np.ones(n, np.int64)
-            fresh[1:] = key[order[1:]] != key[order[:-1]]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh) - 1
-            ranks.append(rank)
-            step *= 2
-        order = np.empty(n, np.int64)
-        order[rank] = np.arange(n)
-        # LCP of neighbours from the ranks at each depth.
-        same = np.zeros(n - 1, np.int64)
-        for depth in range(len(ranks) - 1, -1, -1):
-            a, b = order[:-1] + same, order[1:] + same
-            inside = np.maximum(a, b) < n
-            equal = inside & (ranks[depth][np.minimum(a, n - 1)] == ranks[depth][np.minimum(b, n - 1)])
-            same[equal] += 1 << depth
+        order, same = suffix_array(text)
         self.n, self.lcp = n, np.concatenate([[-1], same, [-1]])
         self.before, self.after = self._smaller()
         counts = np.bincount(text)
@@ -244,18 +262,12 @@ def _piece_batch(rows: list) -> pa.RecordBatch:
 def repeated_starts(pieces: list[np.ndarray], asked: np.ndarray, size: int) -> list[np.ndarray]:
     """Pieces of word hashes, all different, in one index -> for each piece asked for, the places from which `size` words occur twice."""
     lengths = np.array([len(p) for p in pieces])
-    ids = np.unique(np.concatenate(pieces), return_inverse=True)[1] + 1
-    text = np.zeros(len(ids) + len(pieces), np.int64)
-    ends = np.cumsum(lengths + 1) - 1
-    inside = np.ones(len(text), bool)
-    inside[ends] = False
-    text[inside] = ids
+    text, begins = joined(pieces)
     index = FMIndex(text)
-    begins = ends - lengths
     some = np.flatnonzero(asked)
     table = np.zeros((len(some), lengths.max()), np.int64)
     for row, p in enumerate(some):
-        table[row, : lengths[p]] = text[begins[p] : ends[p]]
+        table[row, : lengths[p]] = text[begins[p] : begins[p] + lengths[p]]
     found = index.matching_statistics(table) >= size
     return [np.flatnonzero(f) for f in found]
 
