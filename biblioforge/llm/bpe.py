@@ -176,12 +176,27 @@ class WordCache:
         stay = np.sort(order[: np.searchsorted(cost, self.limit // 2)])
         self._renew([keys[k] for k in stay.tolist()], self.size[stay], self._take(stay), self.uses[stay] // 2)
 
+    def _place(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts, and how many each text has. Each different piece of the plain texts is looked up once."""
+        plain = [folded(t) for t in texts]
+        pieces, count = plain_pieces([p or b"" for p in plain])
+        coded = pieces.dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.number.__getitem__, keys), np.int32, len(keys))[np.asarray(coded.indices)]
+        if None not in plain:
+            return numbers, count
+        parts = np.split(numbers, np.cumsum(count)[:-1])
+        for i in (i for i, p in enumerate(plain) if p is None):
+            own = keys_of(texts[i])
+            parts[i] = np.fromiter(map(self.number.__getitem__, own), np.int32, len(own))
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
     def ids(self, texts: list[str | None], learn: Callable[[list[bytes]], list[bytes]]) -> list[np.ndarray]:
         """Ids of each text; learn gives the packed ids of the pieces that are new."""
         if self.held > self.limit:
             self._forget()
         known = len(self.size)
-        placed = [np.fromiter(map(self.number.__getitem__, s), np.int32, len(s)) for s in map(keys_of, texts)]
+        placed, count = self._place(texts)
         if len(self.number) > known:
             new = list(itertools.islice(self.number, known, None))
             packed = learn(new)
@@ -191,9 +206,9 @@ class WordCache:
             self.flat = np.append(self.flat, np.frombuffer(flat, np.int32))
             self.start = np.cumsum(self.size) - self.size
             self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
-        if placed:
-            self.uses += np.bincount(np.concatenate(placed), minlength=len(self.uses))
-        return [self._take(p) for p in placed]
+        self.uses += np.bincount(placed, minlength=len(self.uses))
+        ends = np.concatenate(([0], np.cumsum(self.size[placed])))[np.cumsum(count)]
+        return np.split(self._take(placed), ends[:-1]) if texts else []
 
 
 _coders: dict = {}
@@ -221,6 +236,45 @@ def keys_of(text: str | None) -> list[bytes]:
     return _PLAIN.findall(data.lower() if data.isascii() else text.lower().encode())
 
 
+def folded(text: str | None) -> bytes | None:
+    """A plain text in lower case; None for any other text."""
+    data = (text or "").encode()
+    if b"<|" in data or not data.isascii() and _OTHER.search(data):
+        return None
+    return data.lower() if data.isascii() else text.lower().encode()
+
+
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+_KIND = np.full(256, _SIGN, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KIND[97:123] = _KIND[128:] = _LETTER
+_KIND[48:58] = _DIGIT
+
+
+def plain_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of folded texts, those of _PLAIN, one after the other, and how many each text has."""
+    raw = np.frombuffer(b"\n".join([*texts, b"", b"", b""]), np.uint8)  # ends in white space, so that what follows a sign can be looked at
+    kind = _KIND[raw]
+    begins = np.empty(len(raw), bool)
+    begins[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+    signs = np.flatnonzero((raw == 39) & begins)  # 's, 't, 're, 've, 'm, 'll, 'd where a run of signs begins
+    one, two = raw[signs + 1], raw[signs + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = np.isin(one, list(b"rv")) & (two == 101) | (one == 108) & (two == 108)
+    begins |= kind == _DIGIT
+    begins[signs[short | long] + 1] = False
+    begins[signs[short] + 2] = begins[signs[long] + 3] = True
+    inside = kind != _SPACE
+    begins &= inside
+    at = np.flatnonzero(begins)
+    data = raw[inside]
+    offsets = np.append(np.flatnonzero(begins[inside]), len(data)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.empty(0, np.int64)
+    return pieces, np.diff(np.searchsorted(at, ends), prepend=0)
+
+
 class CachedEncoder:
     """Encodes and decodes whole texts."""
 

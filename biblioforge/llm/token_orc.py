@@ -28,13 +28,17 @@ _learners: dict = {}  # by tokenizer, in each Python worker: how to learn pieces
 
 
 def _learner(coder):
-    """Gives the ids of pieces. Words go to the library as one text: each ends with a token that ends a word."""
+    """Gives the ids of pieces. Words go to the library as one text: each ends with a token that ends a word. They are folded and split already, so the library's model gets them at white space."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    plain = Tokenizer(coder.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     ends = np.zeros(coder.get_vocab_size(), bool)
     ends[[i for t, i in coder.get_vocab().items() if t.endswith("</w>")]] = True
 
     def some(pieces: list[bytes]) -> list[bytes]:
         words = [p for p in pieces if not p.startswith(WHOLE)]
-        ids = np.array(coder.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.int32)
+        ids = np.array(plain.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.int32)
         cuts = np.flatnonzero(ends[ids]) + 1 if len(ids) else np.empty(0, np.int64)
         known = {}
         if len(cuts) == len(words):
