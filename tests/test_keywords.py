@@ -57,3 +57,18 @@ def test_long_lists_stay_off_the_driver(spark, most_rows):
     got = rows.collect()
     assert {x.id: [(c.segment, c.subsegment, c.hits, c.first, c.words) for c in x.cells] for x in got} == brute([t[:2] for t in texts], keywords)
     assert sorted((x.id, x.text, x.other) for x in got) == sorted(texts)
+
+
+@pytest.mark.parametrize("most_rows", [12_000_000, 40])
+def test_texts_are_shuffled_once(spark, most_rows):
+    """However many blocks there are: packed, without columns that nobody asked for, and no list of cells is joined to its text."""
+    r = random.Random(6)
+    keywords = [(k, "".join(r.choice("abc") for _ in range(r.randint(3, 5))), f"s{k % 6}", f"u{k % 5}") for k in range(200)]
+    texts = [(i, "".join(r.choice("abc") for _ in range(r.randint(0, 40)))) for i in range(700)]
+    d = spark.createDataFrame(texts, "id long, text string")
+    kw = spark.createDataFrame(keywords, "kw_ord int, keyword string, segment string, subsegment string")
+    rows = classify.keyword_cells(d, kw, most_bytes=0, most_rows=most_rows, columns=["id"], best=2)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.columns == ["id", "cells"] and plan.count("Repartition") == 1 and "Join" not in plan
+    got = {x.id: [(c.segment, c.subsegment, c.hits, c.first, c.words) for c in x.cells] for x in rows.collect()}
+    assert got == {i: cells[:2] for i, cells in brute(texts, keywords).items()}
